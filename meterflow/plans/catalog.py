@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.timebuckets import bucket_start, day_string
-from ..operators import usage
+from ..operators import forex, sessions, usage
 from ..session import prepare
 from ..sources.fixtures import load
 
@@ -81,3 +81,53 @@ def _daily_voice(spark, sf):
 @job("cdr_daily_costs")
 def _daily_costs(spark, sf):
     return usage.daily_costs(usage.daily_type_usage(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice")))
+
+
+# -- mart 4: forex -----------------------------------------------------------------------
+
+@job("tick_mid_price")
+def _mid(spark, sf):
+    return forex.with_mid(load(spark, sf, "forex_ticks")).select(
+        "tick_time", "pair_name", "bid_price", "ask_price", "mid_units", "mid_price")
+
+
+@job("ohlc_m1")
+def _m1(spark, sf):
+    return forex.candles(load(spark, sf, "forex_ticks"), 1)
+
+
+@job("ohlc_m30")
+def _m30(spark, sf):
+    return forex.candles(load(spark, sf, "forex_ticks"), 30)
+
+
+@job("ohlc_h1")
+def _h1(spark, sf):
+    return forex.candles(load(spark, sf, "forex_ticks"), 60)
+
+
+@job("ohlc_m1_windowed")
+def _m1w(spark, sf):
+    return forex.m1_candles_windowed(load(spark, sf, "forex_ticks"))
+
+
+@job("forex_ohlc_indicators")
+def _ind(spark, sf):
+    return forex.ohlc_indicators(load(spark, sf, "forex_ticks"))
+
+
+@job("tick_partition_key")
+def _tick_key(spark, sf):
+    return forex.tick_key(load(spark, sf, "forex_ticks")).select("tick_time", "pair_name", "message_key")
+
+
+# -- mart 2: tower sessions --------------------------------------------------------------
+
+@job("tower_interactions")
+def _inter(spark, sf):
+    return sessions.tower_interactions(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))
+
+
+@job("tower_sessions")
+def _sessions(spark, sf):
+    return sessions.tower_sessions(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))

@@ -139,3 +139,89 @@ def _():
         CAST({_cents_voice('voice_seconds')} AS DOUBLE) / 100 AS voice_cost_wak,
         CAST({_cents_total('data_bytes', 'voice_seconds')} AS DOUBLE) / 100 AS total_cost_wak
       FROM g"""
+
+
+# -- mart 4 ---------------------------------------------------------------------------------
+
+_MU = "CAST(round((bid_price + ask_price) * 10000) AS BIGINT)"
+
+
+@oracle("tick_mid_price", "forex_ticks")
+def _():
+    return f"""SELECT tick_time, pair_name, bid_price, ask_price, {_MU} AS mid_units,
+        CAST({_MU} AS DOUBLE) / 20000 AS mid_price FROM forex_ticks"""
+
+
+def _candle_ctes(minutes: int, name: str) -> str:
+    b = B("tick_time", minutes)
+    return f"""{name}_w AS (
+        SELECT pair_name, {b} AS candle_time,
+          first_value(mu) OVER w AS o, max(mu) OVER w AS h, min(mu) OVER w AS l, last_value(mu) OVER w AS c,
+          count(*) OVER w AS n
+        FROM ticks
+        WINDOW w AS (PARTITION BY pair_name, {b} ORDER BY tick_time, mu
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+      {name} AS (SELECT DISTINCT ON (pair_name, candle_time) * FROM {name}_w)"""
+
+
+_TICKS = f"ticks AS (SELECT tick_time, pair_name, {_MU} AS mu FROM forex_ticks)"
+
+
+def _priced_sql(name: str, with_count: bool) -> str:
+    n = ", n AS tick_count" if with_count else ""
+    return (f"SELECT pair_name, candle_time, CAST(o AS DOUBLE) / 20000 AS open_price, CAST(h AS DOUBLE) / 20000 AS high_price, "
+            f"CAST(l AS DOUBLE) / 20000 AS low_price, CAST(c AS DOUBLE) / 20000 AS close_price{n} FROM {name}")
+
+
+for _key, _m, _cnt in (("ohlc_m1", 1, True), ("ohlc_m30", 30, False), ("ohlc_h1", 60, False),
+                       ("ohlc_m1_windowed", 1, True)):
+    ORACLE[_key] = cte("forex_ticks") + ",\n" + _TICKS + ",\n" + _candle_ctes(_m, "k") + "\n" + _priced_sql("k", _cnt)
+
+
+def _ind_sql(name: str, tag: str) -> str:
+    def avg(x: str, n: int) -> str:
+        w = f"(PARTITION BY pair_name ORDER BY candle_time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        return f"CAST(SUM({x}) OVER {w} AS DOUBLE) / COUNT(*) OVER {w} / 20000"
+    return (f"SELECT pair_name, candle_time, CAST(o AS DOUBLE) / 20000 AS open_price, CAST(h AS DOUBLE) / 20000 AS high_price, "
+            f"CAST(l AS DOUBLE) / 20000 AS low_price, CAST(c AS DOUBLE) / 20000 AS close_price, '{tag}' AS timeframe, "
+            f"{avg('o', 8)} AS ema_8, {avg('o', 21)} AS ema_21, {avg('h - l', 8)} AS atr_8, {avg('h - l', 21)} AS atr_21 "
+            f"FROM {name}")
+
+
+ORACLE["forex_ohlc_indicators"] = (
+    cte("forex_ticks") + ",\n" + _TICKS + ",\n" + _candle_ctes(1, "m1") + ",\n" + _candle_ctes(30, "m30") + ",\n"
+    + _candle_ctes(60, "h1") + "\n" + "\nUNION ALL\n".join(
+        _ind_sql(n, t) for n, t in (("m1", "M1"), ("m30", "M30"), ("h1", "H1")))
+    + "\nORDER BY pair_name, timeframe, candle_time")
+
+
+@oracle("tick_partition_key", "forex_ticks")
+def _():
+    return "SELECT tick_time, pair_name, pair_name || '-' || strftime(tick_time, '%Y-%m-%d %H:%M') AS message_key FROM forex_ticks"
+
+
+# -- mart 2 ---------------------------------------------------------------------------------
+
+_INTER = """i AS (SELECT msisdn, tower_id, event_datetime FROM cdr_data
+               UNION SELECT msisdn, tower_id, start_time FROM cdr_voice),
+      n AS (SELECT msisdn, tower_id, event_datetime,
+              lag(tower_id) OVER w AS prev_tower, lag(event_datetime) OVER w AS prev_time,
+              lead(tower_id) OVER w AS next_tower, lead(event_datetime) OVER w AS next_time
+            FROM i WINDOW w AS (PARTITION BY msisdn ORDER BY event_datetime, tower_id))"""
+
+
+@oracle("tower_interactions", "cdr_data", "cdr_voice")
+def _():
+    return _INTER + "\nSELECT * FROM n"
+
+
+@oracle("tower_sessions", "cdr_data", "cdr_voice")
+def _():
+    return _INTER + """,
+      f AS (SELECT *, SUM(CASE WHEN prev_tower IS NOT DISTINCT FROM tower_id THEN 0 ELSE 1 END)
+                 OVER (PARTITION BY msisdn ORDER BY event_datetime, tower_id ROWS UNBOUNDED PRECEDING) AS sid FROM n),
+      g AS (SELECT msisdn, tower_id, MIN(event_datetime) AS session_start, MAX(event_datetime) AS session_end
+            FROM f GROUP BY msisdn, sid, tower_id)
+      SELECT msisdn, tower_id, session_start, session_end,
+        CAST(epoch_us(session_end) - epoch_us(session_start) AS DOUBLE) / 3600000000 AS duration_hours
+      FROM g WHERE session_start < session_end"""
