@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.timebuckets import bucket_start, day_string
-from ..operators import forex, sessions, usage
+from ..operators import crm, forex, sessions, usage
 from ..session import prepare
 from ..sources.fixtures import load
 
@@ -131,3 +131,46 @@ def _inter(spark, sf):
 @job("tower_sessions")
 def _sessions(spark, sf):
     return sessions.tower_sessions(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))
+
+
+# -- mart 3: CRM -------------------------------------------------------------------------
+
+def _info(spark, sf):
+    return crm.account_info(load(spark, sf, "accounts"), load(spark, sf, "addresses"), load(spark, sf, "devices"))
+
+
+@job("crm_account_info")
+def _crm_info(spark, sf):
+    return _info(spark, sf)
+
+
+@job("hourly_data_cost")
+def _hdc(spark, sf):
+    return crm.hourly_data_cost(load(spark, sf, "cdr_data"))
+
+
+@job("hourly_voice_cost")
+def _hvc(spark, sf):
+    return crm.hourly_voice_cost(load(spark, sf, "cdr_voice"))
+
+
+@job("hourly_costs")
+def _hc(spark, sf):
+    return crm.join_hourly_costs(crm.hourly_data_cost(load(spark, sf, "cdr_data")),
+                                 crm.hourly_voice_cost(load(spark, sf, "cdr_voice")))
+
+
+@job("hourly_costs_union")
+def _hcu(spark, sf):
+    return crm.hourly_costs(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))
+
+
+@job("running_balance")
+def _rb(spark, sf):
+    return crm.running_balance(crm.hourly_costs(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice")))
+
+
+@job("crm_flattened")
+def _crm(spark, sf):
+    bal = crm.running_balance(crm.hourly_costs(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice")))
+    return crm.crm_flattened(bal, _info(spark, sf))
