@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 EVENT_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 COMPACT_TIME_FORMAT = "yyyyMMddHHmmss"
 COMPACT_TIME_PATTERN = r"^\d{14}$"
+INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
 
 
 def _col(c) -> Column:
@@ -41,4 +42,6 @@ def to_int(s) -> Column:
 
 
 def _try_cast(s, t: str) -> Column:
-    return _col(s).try_cast(t)
+    # Only integer text: a bare cast would accept (and round) "12.5".
+    s = _col(s)
+    return F.when(s.rlike(INTEGER_PATTERN), F.trim(s).try_cast(t))

@@ -10,8 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schemas
+from ..functions.parsing import parse_event_time
 from ..functions.timebuckets import bucket_start, day_string
-from ..operators import crm, forex, sessions, usage
+from ..operators import cdc as cdc_ops
+from ..operators import crm, forex, quality, sessions, usage
+from ..sinks import topics as topic_sink
+from ..sources import cdc as cdc_src
+from ..sources import topics
 from ..session import prepare
 from ..sources.fixtures import load
 
@@ -174,3 +180,84 @@ def _rb(spark, sf):
 def _crm(spark, sf):
     bal = crm.running_balance(crm.hourly_costs(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice")))
     return crm.crm_flattened(bal, _info(spark, sf))
+
+
+# -- raw layer: typed parse, quarantine, topics, change feeds -------------------------------
+
+def _wire_data(spark, sf):
+    return quality.split_cdr_data(load(spark, sf, "cdr_data_wire"))
+
+
+@job("cdr_data_typed")
+def _data_typed(spark, sf):
+    return _wire_data(spark, sf).good
+
+
+@job("cdr_quarantine")
+def _data_quarantine(spark, sf):
+    return _wire_data(spark, sf).quarantine
+
+
+@job("cdr_voice_typed")
+def _voice_typed(spark, sf):
+    return quality.split_cdr_voice(load(spark, sf, "cdr_voice_wire")).good
+
+
+@job("cdr_voice_quarantine")
+def _voice_quarantine(spark, sf):
+    return quality.split_cdr_voice(load(spark, sf, "cdr_voice_wire")).quarantine
+
+
+@job("timestamp_parse")
+def _ts_parse(spark, sf):
+    w = load(spark, sf, "cdr_data_wire")
+    return w.select(F.col("event_datetime").alias("event_text"), parse_event_time("event_datetime").alias("event_time"))
+
+
+def _all_messages(spark, sf):
+    return (topic_sink.to_messages(load(spark, sf, "cdr_data_wire"), topics.CDR_DATA_TOPIC, "msisdn")
+            .unionByName(topic_sink.to_messages(load(spark, sf, "cdr_voice_wire"), topics.CDR_VOICE_TOPIC, "msisdn"))
+            .unionByName(topic_sink.to_messages(load(spark, sf, "tick_wire"), topics.TICK_TOPIC, None)))
+
+
+@job("cdr_to_topic_json")
+def _to_topic(spark, sf):
+    return topic_sink.to_messages(load(spark, sf, "cdr_data_wire"), topics.CDR_DATA_TOPIC, "msisdn")
+
+
+@job("topic_json_parse")
+def _topic_parse(spark, sf):
+    m = topics.parse_messages(_all_messages(spark, sf), schemas.CDR_DATA_WIRE, topics.CDR_DATA_TOPIC)
+    return quality.split_cdr_data(m).good
+
+
+@job("ticks_typed")
+def _ticks_typed(spark, sf):
+    m = topics.parse_messages(_all_messages(spark, sf), schemas.TICK_WIRE, topics.TICK_TOPIC)
+    return quality.split_ticks(m).good
+
+
+def _changes(spark, sf, table):
+    name = {"accounts": "account_changes", "addresses": "address_changes", "devices": "device_changes"}[table]
+    ev = cdc_src.to_change_events(load(spark, sf, name), schemas.CDC_ROWS[table], schemas.CDC_KEYS[table], table)
+    return cdc_src.parse_changes(ev, schemas.CDC_ROWS[table], schemas.CDC_KEYS[table])
+
+
+@job("cdc_parse_changes")
+def _cdc_parse(spark, sf):
+    return _changes(spark, sf, "accounts")
+
+
+@job("cdc_latest_accounts")
+def _cdc_acc(spark, sf):
+    return cdc_ops.latest_by_key(_changes(spark, sf, "accounts"), ["account_id"]).drop("op", "lsn")
+
+
+@job("cdc_latest_addresses")
+def _cdc_addr(spark, sf):
+    return cdc_ops.latest_by_key(_changes(spark, sf, "addresses"), ["account_id"]).drop("op", "lsn")
+
+
+@job("cdc_latest_devices")
+def _cdc_dev(spark, sf):
+    return cdc_ops.latest_by_key(_changes(spark, sf, "devices"), ["device_id"]).drop("op", "lsn")

@@ -122,6 +122,14 @@ ADAPTERS: dict[str, Adapter] = {a.name: a for a in [
         "AS call_duration_sec",
         f"CASE WHEN event_id % 2 = 0 THEN substr({TS_TEXT}, 1, 19) ELSE {TS_TEXT} END AS start_time",
     ], VOICE_EVENTS, ("events",)),
+    # Tick messages: text time (some unreadable), numeric prices.
+    Adapter("tick_wire", "events", [
+        f"CASE WHEN event_id % 83 = 0 THEN 'n/a' ELSE {TS_TEXT} END AS timestamp",
+        f"{PAIR_OF_ID} AS pair_name",
+        f"{BID_UNITS} / 10000 AS bid_price",
+        f"({BID_UNITS} + {SPREAD_UNITS}) / 10000 AS ask_price",
+        f"{SPREAD_UNITS} / 10000 AS spread",
+    ], None, ("events",)),
     # Change feed of the three CRM tables, one change per order.
     Adapter("account_changes", "orders", [
         "o_custkey AS account_id",
