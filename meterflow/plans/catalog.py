@@ -14,7 +14,7 @@ from .. import schemas
 from ..functions.parsing import parse_event_time
 from ..functions.timebuckets import bucket_start, day_string
 from ..operators import cdc as cdc_ops
-from ..operators import crm, forex, quality, sessions, usage
+from ..operators import crm, forex, quality, serving, sessions, usage
 from ..sinks import topics as topic_sink
 from ..sources import cdc as cdc_src
 from ..sources import topics
@@ -261,3 +261,41 @@ def _cdc_addr(spark, sf):
 @job("cdc_latest_devices")
 def _cdc_dev(spark, sf):
     return cdc_ops.latest_by_key(_changes(spark, sf, "devices"), ["device_id"]).drop("op", "lsn")
+
+
+# -- daily serving table and lookups --------------------------------------------------------
+
+def _type_usage(spark, sf):
+    return usage.daily_type_usage(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))
+
+
+@job("daily_usage_rows")
+def _rows(spark, sf):
+    return serving.daily_usage_rows(_type_usage(spark, sf))
+
+
+@job("daily_summary_rows")
+def _summary_rows(spark, sf):
+    return serving.summary_to_rows(serving.daily_summary(_type_usage(spark, sf)))
+
+
+@job("daily_summary_nested")
+def _nested(spark, sf):
+    return serving.daily_summary(_type_usage(spark, sf))
+
+
+@job("classify_usage")
+def _classify(spark, sf):
+    return serving.classify_usage(serving.daily_usage_rows(_type_usage(spark, sf)))
+
+
+@job("lookup_request_errors")
+def _req_errors(spark, sf):
+    v = quality.validate_requests(load(spark, sf, "lookup_requests"))
+    return v.where(F.col("error").isNotNull()).select("request_id", "msisdn", "start_time", "end_time", "error")
+
+
+@job("usage_lookup")
+def _lookup(spark, sf):
+    v = quality.validate_requests(load(spark, sf, "lookup_requests"))
+    return serving.usage_lookup(v, serving.daily_usage_rows(_type_usage(spark, sf)))

@@ -400,3 +400,70 @@ ORACLE["cdc_latest_addresses"] = cte("address_changes") + "\n" + _latest(
     "address_changes", "account_id", "street_address, city, state, postal_code, country")
 ORACLE["cdc_latest_devices"] = cte("device_changes") + "\n" + _latest(
     "device_changes", "device_id", "account_id, device_name, device_type, device_os")
+
+
+# -- serving ----------------------------------------------------------------------------------
+
+_TYPE_USAGE = """tu0 AS (
+        SELECT msisdn, strftime(event_datetime, '%Y-%m-%d') AS date, 'data' AS category, data_type AS usage_type,
+               up_bytes, down_bytes, 0 AS dur, 0 AS calls FROM cdr_data
+        UNION ALL
+        SELECT msisdn, strftime(start_time, '%Y-%m-%d'), 'voice', call_type, 0, 0, call_duration_sec, 1 FROM cdr_voice),
+      tu AS (SELECT msisdn, date, category, usage_type, CAST(SUM(up_bytes) AS BIGINT) AS up_bytes,
+               CAST(SUM(down_bytes) AS BIGINT) AS down_bytes, CAST(SUM(dur) AS BIGINT) AS call_duration_sec,
+               CAST(SUM(calls) AS BIGINT) AS call_count FROM tu0 GROUP BY ALL)"""
+_ROWS = f"""rows AS (SELECT msisdn, date, CAST(0 AS INTEGER) AS hour, category, usage_type, up_bytes, down_bytes,
+          call_duration_sec, call_count,
+          CASE WHEN category = 'data' THEN CAST({_cents_data('up_bytes + down_bytes')} AS DOUBLE) / 100 ELSE 0.0 END
+            AS data_cost_wak,
+          CASE WHEN category <> 'data' THEN CAST({_cents_voice('call_duration_sec')} AS DOUBLE) / 100 ELSE 0.0 END
+            AS voice_cost_wak
+        FROM tu)"""
+_ROWS_SELECT = "SELECT *, data_cost_wak + voice_cost_wak AS total_cost_wak FROM rows"
+
+
+@oracle("daily_usage_rows", "cdr_data", "cdr_voice")
+def _():
+    return _TYPE_USAGE + ",\n" + _ROWS + "\n" + _ROWS_SELECT
+
+
+ORACLE["daily_summary_rows"] = ORACLE["daily_usage_rows"]
+
+
+@oracle("classify_usage", "cdr_data", "cdr_voice")
+def _():
+    return _TYPE_USAGE + """
+      SELECT msisdn, date, usage_type,
+        CASE WHEN up_bytes > 0 OR down_bytes > 0 THEN 'data' ELSE 'call' END AS category,
+        CASE WHEN up_bytes > 0 OR down_bytes > 0 THEN up_bytes + down_bytes ELSE call_duration_sec END AS total,
+        CASE WHEN up_bytes > 0 OR down_bytes > 0 THEN 'bytes' ELSE 'seconds' END AS measure
+      FROM tu"""
+
+
+_REQ = """req AS (SELECT *,
+          CASE WHEN regexp_matches(start_time, '^\\d{14}$') THEN try_strptime(start_time, '%Y%m%d%H%M%S') END AS st,
+          CASE WHEN regexp_matches(end_time, '^\\d{14}$') THEN try_strptime(end_time, '%Y%m%d%H%M%S') END AS et
+        FROM lookup_requests),
+      req2 AS (SELECT *, CASE
+          WHEN msisdn IS NULL OR msisdn = '' OR start_time IS NULL OR start_time = '' OR end_time IS NULL OR end_time = ''
+            THEN 'Missing required parameters: msisdn, start_time, end_time'
+          WHEN st IS NULL OR et IS NULL THEN 'Invalid timestamp format. Use YYYYMMDDHHmmss' END AS error FROM req)"""
+
+
+@oracle("lookup_request_errors", "lookup_requests")
+def _():
+    return _REQ + "\nSELECT request_id, msisdn, start_time, end_time, error FROM req2 WHERE error IS NOT NULL"
+
+
+@oracle("usage_lookup", "lookup_requests", "cdr_data", "cdr_voice")
+def _():
+    return _REQ + ",\n" + _TYPE_USAGE + """
+      SELECT r.request_id, u.msisdn, strftime(r.st, '%Y-%m-%d %H:%M:%S') AS request_start,
+        strftime(r.et, '%Y-%m-%d %H:%M:%S') AS request_end,
+        CASE WHEN u.category = 'data' THEN 'data' ELSE 'call' END AS category, u.usage_type,
+        CASE WHEN u.category = 'data' THEN u.up_bytes + u.down_bytes ELSE u.call_duration_sec END AS total,
+        CASE WHEN u.category = 'data' THEN 'bytes' ELSE 'seconds' END AS measure,
+        u.date || ' 00:00:00' AS start_time
+      FROM req2 r JOIN tu u ON r.msisdn = u.msisdn
+        AND u.date BETWEEN strftime(r.st, '%Y-%m-%d') AND strftime(r.et, '%Y-%m-%d')
+      WHERE r.error IS NULL"""
