@@ -15,11 +15,14 @@ from ..functions.parsing import parse_event_time
 from ..functions.timebuckets import bucket_start, day_string
 from ..operators import cdc as cdc_ops
 from ..operators import crm, forex, quality, serving, sessions, usage
+from ..session import work_dir
+from ..sinks import tables as table_sink
 from ..sinks import topics as topic_sink
 from ..sources import cdc as cdc_src
 from ..sources import topics
 from ..session import prepare
-from ..sources.fixtures import load
+from ..sources.fixtures import load, load_stream
+from ..streaming import daily, ingest
 
 Job = Callable[[SparkSession, str], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -299,3 +302,85 @@ def _req_errors(spark, sf):
 def _lookup(spark, sf):
     v = quality.validate_requests(load(spark, sf, "lookup_requests"))
     return serving.usage_lookup(v, serving.daily_usage_rows(_type_usage(spark, sf)))
+
+
+# -- streams -----------------------------------------------------------------------------
+
+STREAM_TIMEOUT_S = 900
+
+
+def _await(q) -> None:
+    """Bounded wait for an availableNow query (H5)."""
+    try:
+        done = q.awaitTermination(STREAM_TIMEOUT_S)
+        if not done:
+            raise TimeoutError(f"stream {q.name or q.id} did not finish in {STREAM_TIMEOUT_S}s")
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+    finally:
+        if q.isActive:
+            q.stop()
+
+
+def _daily_stream(spark, sf, watermark, summary=False):
+    base = work_dir(spark, "streams", "daily")
+    q = daily.start_daily_usage(load_stream(spark, sf, "cdr_data"), load_stream(spark, sf, "cdr_voice"),
+                                f"{base}/serving", f"{base}/checkpoint", watermark=watermark,
+                                summary_path=f"{base}/summary" if summary else None)
+    _await(q)
+    return base
+
+
+@job("stream_daily_usage")
+def _stream_daily(spark, sf):
+    """Daily usage state in update mode, upserted into the serving table."""
+    base = _daily_stream(spark, sf, None)
+    return daily.read_serving(spark, f"{base}/serving").select(*daily.TYPE_USAGE_COLUMNS)
+
+
+@job("stream_daily_usage_late")
+def _stream_daily_late(spark, sf):
+    """The same with a one-day watermark (state evicted, late rows dropped)."""
+    base = _daily_stream(spark, sf, "1 day")
+    return daily.read_serving(spark, f"{base}/serving").select(*daily.TYPE_USAGE_COLUMNS)
+
+
+@job("stream_daily_summary")
+def _stream_summary(spark, sf):
+    """Nested summaries published per touched subscriber-day, read back and flattened."""
+    base = _daily_stream(spark, sf, None, summary=True)
+    m = spark.read.schema(schemas.TOPIC_MESSAGE).json(f"{base}/summary")
+    s = topics.parse_messages(m, schemas.USAGE_SUMMARY)
+    return s.select("msisdn", "date", F.size("data_usage").alias("data_types"),
+                    F.size("voice_usage").alias("voice_types"), "costs.*")
+
+
+def _write_topic(spark, sf, name, topic, key):
+    path = work_dir(spark, "topics", topic)
+    topic_sink.write_messages(topic_sink.to_messages(load(spark, sf, name), topic, key), "json", path)
+    return path
+
+
+@job("stream_raw_ingest")
+def _stream_raw(spark, sf):
+    """A JSON topic of data-usage records streamed into the typed raw table + quarantine."""
+    tpath = _write_topic(spark, sf, "cdr_data_wire", topics.CDR_DATA_TOPIC, "msisdn")
+    base = work_dir(spark, "streams", "raw")
+    msgs = topics.read_topics(spark, [topics.CDR_DATA_TOPIC], "json", tpath, streaming=True)
+    q = ingest.start_raw_ingest(msgs, topics.CDR_DATA_TOPIC, schemas.CDR_DATA_WIRE, "cdr_data",
+                                f"{base}/raw", f"{base}/quarantine", f"{base}/checkpoint")
+    _await(q)
+    return spark.read.parquet(f"{base}/raw").drop("batch")
+
+
+@job("stream_cdc_accounts")
+def _stream_cdc(spark, sf):
+    """The account change feed applied continuously to the keyed accounts table."""
+    path = work_dir(spark, "topics", "cdc-accounts")
+    ev = cdc_src.to_change_events(load(spark, sf, "account_changes"), schemas.ACCOUNTS, ["account_id"], "accounts")
+    topic_sink.write_messages(ev, "json", path)
+    base = work_dir(spark, "streams", "cdc")
+    msgs = topics.read_topics(spark, ["crm.crm_system.accounts"], "json", path, streaming=True)
+    q = ingest.start_cdc_apply(msgs, schemas.ACCOUNTS, ["account_id"], f"{base}/accounts", f"{base}/checkpoint")
+    _await(q)
+    return table_sink.read_latest_version(spark, f"{base}/accounts", schemas.ACCOUNTS)

@@ -467,3 +467,25 @@ def _():
       FROM req2 r JOIN tu u ON r.msisdn = u.msisdn
         AND u.date BETWEEN strftime(r.st, '%Y-%m-%d') AND strftime(r.et, '%Y-%m-%d')
       WHERE r.error IS NULL"""
+
+
+# -- streams ----------------------------------------------------------------------------------
+
+ORACLE["stream_daily_usage"] = cte("cdr_data", "cdr_voice") + ",\n" + _TYPE_USAGE + "\nSELECT * FROM tu"
+ORACLE["stream_daily_usage_late"] = ORACLE["stream_daily_usage"]
+ORACLE["stream_raw_ingest"] = ORACLE["cdr_data_typed"]
+ORACLE["stream_cdc_accounts"] = ORACLE["cdc_latest_accounts"]
+
+
+@oracle("stream_daily_summary", "cdr_data", "cdr_voice")
+def _():
+    return _TYPE_USAGE + f""",
+      s AS (SELECT msisdn, date, COUNT(*) FILTER (WHERE category = 'data') AS data_types,
+                   COUNT(*) FILTER (WHERE category = 'voice') AS voice_types,
+                   CAST(SUM(up_bytes + down_bytes) AS BIGINT) AS b, CAST(SUM(call_duration_sec) AS BIGINT) AS s
+            FROM tu GROUP BY ALL)
+      SELECT msisdn, date, CAST(data_types AS INTEGER) AS data_types, CAST(voice_types AS INTEGER) AS voice_types,
+        CAST({_cents_data('b')} AS DOUBLE) / 100 AS data_cost_wak,
+        CAST({_cents_voice('s')} AS DOUBLE) / 100 AS voice_cost_wak,
+        CAST({_cents_total('b', 's')} AS DOUBLE) / 100 AS total_cost_wak
+      FROM s"""

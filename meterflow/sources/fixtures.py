@@ -199,3 +199,17 @@ def load_all(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFra
 def cte(*names: str) -> str:
     """``WITH`` prefix defining the named domain tables for the DuckDB oracle."""
     return "WITH " + ",\n".join(f"{n} AS ({ADAPTERS[n].sql()})" for n in names)
+
+
+def load_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same adapter over a file stream of its base table (one-table adapters only)."""
+    a = ADAPTERS[name]
+    if len(a.tables) != 1:
+        raise ValueError(f"{name} joins several tables; stream one table at a time")
+    src = a.tables[0]
+    schema = read_table(spark, sf_dir, src).schema
+    df = (spark.readStream.schema(schema).option("pathGlobFilter", f"{src}.parquet")
+          .parquet(sf_dir.rstrip("/")))
+    if a.where:
+        df = df.where(a.where)
+    return df.selectExpr(*a.columns)
