@@ -384,3 +384,8 @@ def _stream_cdc(spark, sf):
     q = ingest.start_cdc_apply(msgs, schemas.ACCOUNTS, ["account_id"], f"{base}/accounts", f"{base}/checkpoint")
     _await(q)
     return table_sink.read_latest_version(spark, f"{base}/accounts", schemas.ACCOUNTS)
+
+
+@job("tower_session_pair_summary")
+def _pair_summary(spark, sf):
+    return sessions.session_pair_summary(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))

@@ -489,3 +489,23 @@ def _():
         CAST({_cents_voice('s')} AS DOUBLE) / 100 AS voice_cost_wak,
         CAST({_cents_total('b', 's')} AS DOUBLE) / 100 AS total_cost_wak
       FROM s"""
+
+
+@oracle("tower_session_pair_summary", "cdr_data", "cdr_voice")
+def _():
+    return _INTER + """,
+      r AS (SELECT msisdn, tower_id, event_datetime,
+              COALESCE(next_tower = tower_id, false) OR prev_tower IS NULL AS is_s,
+              COALESCE(prev_tower = tower_id, false) OR next_tower IS NULL AS is_e
+            FROM n),
+      w AS (SELECT *,
+              COUNT(*) FILTER (WHERE is_e) OVER later AS end_count,
+              MIN(event_datetime) FILTER (WHERE is_e) OVER later AS first_end,
+              MAX(event_datetime) FILTER (WHERE is_e) OVER later AS last_end,
+              SUM(epoch_us(event_datetime)) FILTER (WHERE is_e) OVER later AS sum_us
+            FROM r WHERE is_s OR is_e
+            WINDOW later AS (PARTITION BY msisdn, tower_id ORDER BY event_datetime
+                             ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+      SELECT msisdn, tower_id, event_datetime AS session_start, end_count, first_end, last_end,
+        CAST(sum_us - end_count * epoch_us(event_datetime) AS DOUBLE) / 3600000000 AS total_duration_hours
+      FROM w WHERE is_s AND end_count > 0"""

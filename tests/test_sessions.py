@@ -72,3 +72,38 @@ def test_every_interaction_in_exactly_one_island(spark):
     by_time = sorted(n, key=lambda r: (r.event_datetime, r.tower_id))
     for a, b in zip(by_time, by_time[1:]):
         assert a.next_tower == b.tower_id and b.prev_tower == a.tower_id
+
+
+def _brute_pairs(path):
+    """The source's pairing, literally: lag/lead per subscriber, candidates, all later pairs."""
+    rows = sorted(set(path), key=lambda r: (r[1], r[0]))
+    starts, ends = [], []
+    for i, (t, x) in enumerate(rows):
+        prev = rows[i - 1][0] if i else None
+        nxt = rows[i + 1][0] if i + 1 < len(rows) else None
+        if nxt == t or prev is None:
+            starts.append((t, x))
+        if prev == t or nxt is None:
+            ends.append((t, x))
+    out = {}
+    for t, s in starts:
+        later = [e for te, e in ends if te == t and e > s]
+        if later:
+            hours = sum((e - s).total_seconds() * 1e6 for e in later)
+            out[(t, s)] = (len(later), min(later), max(later), hours)
+    return out
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 3), st.integers(0, 60 * 30)), min_size=1, max_size=60))
+def test_pair_summary_matches_all_pairs_brute_force(spark, pts):
+    base = datetime(2024, 1, 1)
+    path = [(t, base + timedelta(minutes=m)) for t, m in pts]
+    d = cdr_data(spark, [(M, t, 1, 1, "text", x.strftime("%Y-%m-%d %H:%M:%S")) for t, x in path])
+    got = {(r.tower_id, r.session_start): (r.end_count, r.first_end, r.last_end, r.total_duration_hours)
+           for r in sessions.session_pair_summary(d, empty_voice(spark)).collect()}
+    want = _brute_pairs(path)
+    assert set(got) == set(want)
+    for k, (n, f, l, us) in want.items():
+        assert got[k][:3] == (n, f, l)
+        assert got[k][3] == us / 3600000000
