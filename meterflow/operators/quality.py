@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.barrier import evaluate_once
 from ..functions.parsing import parse_compact_time, parse_event_time, to_int, to_long
 
 ERRORS = "errors"
@@ -37,11 +38,11 @@ class Split:
 def _split(wire: DataFrame, typed: dict[str, Column], required: list[str]) -> Split:
     """``typed`` maps output column → parse expression; ``required`` must be non-NULL."""
     raw_cols = wire.columns
-    fails = [F.when(typed[c].isNull(), F.lit(c)) for c in required]
-    x = wire.select(F.struct(*[F.col(c) for c in raw_cols]).alias("_raw"),
-                    *[e.alias(c) for c, e in typed.items()],
-                    F.concat_ws(",", *fails).alias(ERRORS))
-    return Split(x, list(typed), raw_cols)
+    fails = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    x = wire.select(F.struct(*[F.col(c) for c in raw_cols]).alias("_raw"), *[e.alias(c) for c, e in typed.items()])
+    x = x.select("*", F.concat_ws(",", *fails).alias(ERRORS))
+    # Parse once: the good/quarantine filters must not re-run the parse.
+    return Split(evaluate_once(x), list(typed), raw_cols)
 
 
 def split_cdr_data(wire: DataFrame) -> Split:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
+from ..functions.barrier import evaluate_once
 from ..schemas import cdc_envelope
 
 
@@ -28,8 +29,8 @@ def parse_changes(messages: DataFrame, row: StructType, keys: list[str]) -> Data
     def pick(field: str) -> Column:
         return F.coalesce(F.col(f"v.payload.{field}"), F.col(f"v.{field}"))
 
-    x = x.select(pick("op").alias("op"), pick("before").alias("before"), pick("after").alias("after"),
-                 pick("ts_ms").alias("ts_ms"), pick("source").alias("source"))
+    x = evaluate_once(x.select(pick("op").alias("op"), pick("before").alias("before"), pick("after").alias("after"),
+                               pick("ts_ms").alias("ts_ms"), pick("source").alias("source")))
     # An event without a row image is only meaningful as a delete.
     x = x.where(F.col("after").isNotNull() | (F.col("op") == "d"))
     ts = _ts_fields(row)
