@@ -307,6 +307,9 @@ def _lookup(spark, sf):
 # -- streams -----------------------------------------------------------------------------
 
 STREAM_TIMEOUT_S = 900
+# The test tables hold a few MB of serving rows per day: one bucket per date
+# keeps each partition one file. (Cluster tables use SERVING_BUCKETS.)
+FIXTURE_SERVING_BUCKETS = 1
 
 
 def _await(q) -> None:
@@ -326,7 +329,8 @@ def _daily_stream(spark, sf, watermark, summary=False):
     base = work_dir(spark, "streams", "daily")
     q = daily.start_daily_usage(load_stream(spark, sf, "cdr_data"), load_stream(spark, sf, "cdr_voice"),
                                 f"{base}/serving", f"{base}/checkpoint", watermark=watermark,
-                                summary_path=f"{base}/summary" if summary else None)
+                                summary_path=f"{base}/summary" if summary else None,
+                                buckets=FIXTURE_SERVING_BUCKETS)
     _await(q)
     return base
 

@@ -51,35 +51,40 @@ def _reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_col: str = "date",
+def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols: list[str],
                       sort_cols: list[str] | None = None) -> None:
-    """Upsert ``rows`` into a table partitioned by ``partition_col``: last write wins per key.
+    """Upsert ``rows`` into a table partitioned by ``partition_cols``: last write wins per key.
 
     Only the partitions present in ``rows`` are read and rewritten (dynamic
-    partition overwrite). The merged result is checkpointed before the
-    overwrite so the write never reads the files it replaces.
+    partition overwrite); ``key`` must include the partition columns. The
+    merged result is checkpointed before the overwrite so the write never
+    reads the files it replaces.
     """
     spark = rows.sparkSession
     merged = rows
     if _exists(spark, path):
-        touched = rows.select(partition_col).distinct()
+        touched = rows.select(*partition_cols).distinct()
         # Read with the rows' schema: partition values keep their type (no inference).
-        old = spark.read.schema(rows.schema).parquet(path).join(touched, partition_col, "left_semi")
+        old = spark.read.schema(rows.schema).parquet(path).join(touched, partition_cols, "left_semi")
         keep = old.join(rows.select(*key), key, "left_anti")
         merged = keep.unionByName(rows.select(*old.columns))
         merged = _reliable_checkpoint(merged)
-    out = merged.repartition(partition_col)
+    out = merged.repartition(*partition_cols)
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
-
-
-def write_daily_usage(rows: DataFrame, path: str) -> None:
-    """Serving table write: partitioned by date, rows clustered as (msisdn, hour,
-    category, usage_type) inside each date (G3)."""
-    from ..operators.serving import SERVING_KEY
-    upsert_partitions(rows, path, SERVING_KEY, "date", ["msisdn", "hour", "category", "usage_type"])
+     .partitionBy(*partition_cols).parquet(path))
+
+
+def write_daily_usage(rows: DataFrame, path: str, buckets: int | None = None) -> None:
+    """Serving table write (B5, G3): partitioned by (date, bucket of msisdn) — the
+    source store's (msisdn, date) partition key — with rows clustered as
+    (msisdn, hour, category, usage_type) inside each partition. A micro-batch
+    rewrites only the (date, bucket) partitions it touches."""
+    from ..operators.serving import SERVING_KEY, with_bucket
+    b = with_bucket(rows, buckets)
+    upsert_partitions(b, path, SERVING_KEY + ["bucket"], ["date", "bucket"],
+                      ["msisdn", "hour", "category", "usage_type"])
 
 
 # -- versioned keyed table ---------------------------------------------------------------------

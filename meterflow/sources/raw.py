@@ -8,7 +8,7 @@ Catalyst once the caller selects and filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas
 
@@ -27,11 +27,24 @@ def load_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
 
 
-def scan_serving(spark: SparkSession, path: str, msisdn: str, start_date: str, end_date: str) -> DataFrame:
+SERVING_STORED = T.StructType(schemas.DAILY_USAGE.fields + [T.StructField("bucket", T.IntegerType(), True)])
+
+
+def read_serving_table(spark: SparkSession, path: str) -> DataFrame:
+    """The stored serving table, including its ``bucket`` partition column."""
+    return spark.read.schema(SERVING_STORED).parquet(path)
+
+
+def scan_serving(spark: SparkSession, path: str, msisdn: str, start_date: str, end_date: str,
+                 buckets: int | None = None) -> DataFrame:
     """Keyed range scan of the serving table: one subscriber, dates inclusive.
 
-    ``date`` is the partition column, so only the partitions in range are
-    listed and read; ``msisdn`` is pushed to the parquet row-group filter.
+    ``date`` and the subscriber's ``bucket`` are partition columns, so only
+    one bucket of each date in range is listed and read; ``msisdn`` is
+    pushed down to the parquet row-group filter.
     """
-    t = spark.read.schema(schemas.DAILY_USAGE).parquet(path)
-    return t.where((F.col("date") >= start_date) & (F.col("date") <= end_date) & (F.col("msisdn") == msisdn))
+    from ..operators.serving import bucket_of
+    t = read_serving_table(spark, path)
+    cond = ((F.col("date") >= start_date) & (F.col("date") <= end_date)
+            & (F.col("bucket") == bucket_of(F.lit(msisdn), buckets)) & (F.col("msisdn") == msisdn))
+    return t.where(cond).select(*schemas.DAILY_USAGE.fieldNames())

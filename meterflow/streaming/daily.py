@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.serving import daily_summary, daily_usage_rows, SERVING_COLUMNS
-from ..schemas import DAILY_USAGE
+from ..sources.raw import read_serving_table
 from ..operators.usage import usage_stream
 from ..sinks.tables import write_daily_usage
 from ..sinks.topics import to_messages
@@ -48,7 +48,7 @@ def daily_usage_state(cdr_data: DataFrame | None, cdr_voice: DataFrame | None,
     return g.select(*TYPE_USAGE_COLUMNS)
 
 
-def serving_writer(serving_path: str, summary_path: str | None = None):
+def serving_writer(serving_path: str, summary_path: str | None = None, buckets: int | None = None):
     """foreachBatch function: upsert changed serving rows (J9); optionally publish
     the nested daily summary of every touched subscriber-day (B2, J4)."""
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -56,7 +56,7 @@ def serving_writer(serving_path: str, summary_path: str | None = None):
         try:
             if batch.isEmpty():
                 return
-            write_daily_usage(daily_usage_rows(batch), serving_path)
+            write_daily_usage(daily_usage_rows(batch), serving_path, buckets)
             if summary_path:
                 spark = batch.sparkSession
                 touched = batch.select("msisdn", "date").distinct()
@@ -71,14 +71,21 @@ def serving_writer(serving_path: str, summary_path: str | None = None):
 
 def start_daily_usage(cdr_data: DataFrame | None, cdr_voice: DataFrame | None, serving_path: str,
                       checkpoint: str, watermark: str | None = None, summary_path: str | None = None,
-                      available_now: bool = True, processing_time: str = "10 seconds") -> StreamingQuery:
-    """Start the daily usage stream into the serving table."""
+                      available_now: bool = True, processing_time: str = "10 seconds",
+                      buckets: int | None = None) -> StreamingQuery:
+    """Start the daily usage stream into the serving table.
+
+    ``buckets`` is the serving table's msisdn bucket count per date (a table
+    property: keep it fixed for the life of the table). Size it so one
+    (date, bucket) partition is about one file of ~128 MB; the default suits
+    tens of millions of subscribers.
+    """
     agg = daily_usage_state(cdr_data, cdr_voice, watermark)
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(serving_writer(serving_path, summary_path)))
+         .foreachBatch(serving_writer(serving_path, summary_path, buckets)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
 
 def read_serving(spark, serving_path: str) -> DataFrame:
-    return spark.read.schema(DAILY_USAGE).parquet(serving_path).select(*SERVING_COLUMNS)
+    return read_serving_table(spark, serving_path).select(*SERVING_COLUMNS)

@@ -3,7 +3,10 @@ import os
 from meterflow import schemas
 from meterflow.operators import cdc, quality
 from meterflow.sinks import tables, topics as topic_sink
-from meterflow.sources import cdc as cdc_src, files, topics
+from pyspark.sql import functions as F
+
+from meterflow.operators.serving import bucket_of
+from meterflow.sources import cdc as cdc_src, files, raw, topics
 
 
 def _write(path, name, text):
@@ -95,6 +98,8 @@ def test_serving_upsert_last_write_wins(spark, tmp_dir):
     tables.write_daily_usage(daily_usage_rows(b), p)
     got = sorted((r.date, r.category, r.usage_type, r.up_bytes, r.call_duration_sec)
                  for r in spark.read.schema(schemas.DAILY_USAGE).parquet(p).collect())
+    assert {r.bucket for r in raw.read_serving_table(spark, p).collect()} == {
+        spark.range(1).select(bucket_of(F.lit("271"))).first()[0]}
     # Data video and voice video are separate rows; the second write replaced only its key.
     assert got == [("2024-01-01", "data", "video", 10, 0), ("2024-01-01", "voice", "video", 0, 60),
                    ("2024-01-02", "data", "text", 5, 0)]

@@ -39,7 +39,7 @@ def test_serving_scan_and_lookup_literal_case(spark, tmp_dir):
     tables.write_daily_usage(daily_usage_rows(tu), p)
     s = raw.scan_serving(spark, p, "2712345678", "2024-01-01", "2024-01-01")
     plan = s._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "partitionFilters" in plan.lower()
+    assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:300]
     assert s.count() == 1
     req = spark.createDataFrame([(1, "2712345678", "20240101000000", "20240101235959")], schemas.LOOKUP_REQUEST)
     r = usage_lookup(validate_requests(req), spark.read.schema(schemas.DAILY_USAGE).parquet(p)).collect()
