@@ -99,6 +99,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     def missing(c: str) -> Column:
         return F.col(c).isNull() | (F.col(c) == "")
     st, et = parse_compact_time("start_time"), parse_compact_time("end_time")
+    x = requests.select("*", st.alias("start_ts"), et.alias("end_ts"))
     err = (F.when(missing("msisdn") | missing("start_time") | missing("end_time"), F.lit(MISSING_PARAMS))
-           .when(st.isNull() | et.isNull(), F.lit(BAD_TIME)))
-    return requests.select("*", st.alias("start_ts"), et.alias("end_ts"), err.alias("error"))
+           .when(F.col("start_ts").isNull() | F.col("end_ts").isNull(), F.lit(BAD_TIME)))
+    return evaluate_once(x.select("*", err.alias("error")))

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.serving import daily_summary, daily_usage_rows, SERVING_COLUMNS
+from ..operators.serving import daily_summary, daily_usage_rows, SERVING_COLUMNS, with_bucket
 from ..sources.raw import read_serving_table
 from ..operators.usage import usage_stream
 from ..sinks.tables import write_daily_usage
@@ -59,8 +59,11 @@ def serving_writer(serving_path: str, summary_path: str | None = None, buckets:
             write_daily_usage(daily_usage_rows(batch), serving_path, buckets)
             if summary_path:
                 spark = batch.sparkSession
-                touched = batch.select("msisdn", "date").distinct()
-                rows = read_serving(spark, serving_path).join(touched, ["msisdn", "date"], "left_semi")
+                # Join on the partition columns too, so dynamic partition pruning
+                # reads only the touched (date, bucket) partitions.
+                touched = with_bucket(batch.select("msisdn", "date").distinct(), buckets)
+                rows = (read_serving_table(spark, serving_path)
+                        .join(touched, ["date", "bucket", "msisdn"], "left_semi").select(*SERVING_COLUMNS))
                 summ = daily_summary(rows.select(*TYPE_USAGE_COLUMNS))
                 (to_messages(summ, "cdr-usage-summary", "msisdn")
                  .write.mode("overwrite").json(f"{summary_path}/batch={batch_id}"))
