@@ -88,7 +88,8 @@ def running_balance(costs: DataFrame, rates: Rates = RATES) -> DataFrame:
     The window is per subscriber over hourly rows, so a subscriber holds at
     most one row per hour of the time range however much traffic it has.
     """
-    w = Window.partitionBy("msisdn").orderBy("hour").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = (Window.partitionBy("msisdn").orderBy(F.col("hour").asc_nulls_last())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = (data_cost(F.sum("data_bytes").over(w), rates) + voice_cost(F.sum("voice_seconds").over(w), rates))
     x = costs.withColumn("cumulative_cost_zar", cum)
     k = rates.wak_per_zar
@@ -106,4 +107,5 @@ def crm_flattened(balance: DataFrame, info: DataFrame, ordered: bool = True) ->
     b = balance.select("msisdn", "hour", *COST_COLUMNS)
     j = b.join(info, b.msisdn == info.phone_number, "left")
     out = j.select("msisdn", F.col("hour").alias("datetime"), *ACCOUNT_INFO_COLUMNS, *COST_COLUMNS)
-    return out.orderBy("msisdn", "datetime") if ordered else out
+    # SQL's ascending order puts NULLs last.
+    return out.orderBy(F.col("msisdn").asc_nulls_last(), F.col("datetime").asc_nulls_last()) if ordered else out

@@ -104,7 +104,7 @@ def with_indicators(c: DataFrame, timeframe: str) -> DataFrame:
     Candles per pair are bounded by the time range (one per minute at most),
     so a window partitioned by pair stays small however many ticks arrive.
     """
-    base = Window.partitionBy("pair_name").orderBy("candle_time")
+    base = Window.partitionBy("pair_name").orderBy(F.col("candle_time").asc_nulls_last())
     rng = F.col("high_u") - F.col("low_u")
 
     def avg(x: Column, n: int) -> Column:
@@ -131,7 +131,8 @@ def ohlc_indicators(ticks: DataFrame, ordered: bool = True) -> DataFrame:
         c = m1 if minutes == 1 else roll_candles(m1, minutes)
         part = with_indicators(c, tag)
         out = part if out is None else out.unionByName(part)
-    return out.orderBy("pair_name", "timeframe", "candle_time") if ordered else out
+    order = [F.col(c).asc_nulls_last() for c in ("pair_name", "timeframe", "candle_time")]
+    return out.orderBy(*order) if ordered else out
 
 
 def tick_key(ticks: DataFrame, ts: str = "tick_time") -> DataFrame:

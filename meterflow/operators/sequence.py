@@ -14,21 +14,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def neighbours(df: DataFrame, key: list[str], order: list[str], values: list[str], chunk: str,
+def neighbours(df: DataFrame, key: list[str], order: list, values: list[str], chunk: str,
                prev: str = "prev_", nxt: str = "next_") -> DataFrame:
     """Add ``prev_<v>``/``next_<v>`` for each ``v`` in ``values``: the value on the
     previous/next row of the same ``key`` in ``order`` (NULL at the ends).
 
     ``chunk`` names a column that is non-decreasing along ``order`` within a
-    key (e.g. the hour of the timestamp that leads ``order``).
+    key (e.g. the hour of the timestamp that leads ``order``). ``order``
+    items are column names (ascending, NULLs last — SQL's default) or
+    Column sort expressions.
     """
+    order = [F.col(o).asc_nulls_last() if isinstance(o, str) else o for o in order]
     w = Window.partitionBy(*key, chunk).orderBy(*order)
     marks = [F.lag(F.lit(1)).over(w).isNull().alias("_first"), F.lead(F.lit(1)).over(w).isNull().alias("_last")]
     x = df.select("*", *[F.lag(v).over(w).alias(prev + v) for v in values],
                   *[F.lead(v).over(w).alias(nxt + v) for v in values], *marks)
     edge_flag = F.col("_first") | F.col("_last")
     inner = x.where(~edge_flag)
-    we = Window.partitionBy(*key).orderBy(chunk, *order)
+    we = Window.partitionBy(*key).orderBy(F.col(chunk).asc_nulls_last(), *order)
     fixed = [F.when(F.col("_first"), F.lag(v).over(we)).otherwise(F.col(prev + v)).alias(prev + v) for v in values]
     fixed += [F.when(F.col("_last"), F.lead(v).over(we)).otherwise(F.col(nxt + v)).alias(nxt + v) for v in values]
     keep = [c for c in x.columns if c not in {prev + v for v in values} | {nxt + v for v in values}]

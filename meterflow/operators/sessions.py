@@ -93,13 +93,13 @@ def session_pair_summary(cdr_data: DataFrame, cdr_voice: DataFrame) -> DataFrame
     # Micro sums can exceed 64 bits for a hot group: keep them exact as decimal(38,0).
     e_us = F.when(F.col("is_e"), F.col("us")).otherwise(F.lit(0)).cast("decimal(38,0)")
     e_ts = F.when(F.col("is_e"), F.col(TS))
-    w = Window.partitionBy(*g, "_chunk").orderBy(TS)
+    w = Window.partitionBy(*g, "_chunk").orderBy(F.col(TS).asc_nulls_last())
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = r.select("*", F.sum(e_cnt).over(upto).alias("c_cnt"), F.sum(e_us).over(upto).alias("c_sum"),
                  F.min(e_ts).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("c_next"))
     k = r.groupBy(*g, "_chunk").agg(F.sum(e_cnt).alias("k_cnt"), F.sum(e_us).alias("k_sum"),
                                     F.min(e_ts).alias("k_first"), F.max(e_ts).alias("k_last"))
-    wc = Window.partitionBy(*g).orderBy("_chunk")
+    wc = Window.partitionBy(*g).orderBy(F.col("_chunk").asc_nulls_last())
     before = wc.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*g)
     k = k.select(*g, "_chunk",
