@@ -24,10 +24,10 @@ CALL_TYPE_OF_ID = "CASE WHEN event_id % 2 = 0 THEN 'voice' ELSE 'video' END"
 PAIR_OF_ID = "CASE WHEN event_id % 2 = 0 THEN 'MRVZAR' ELSE 'WAKMRV' END"
 STATE_OF = ("CASE {k} % 9 WHEN 0 THEN 'EC' WHEN 1 THEN 'FS' WHEN 2 THEN 'GP' WHEN 3 THEN 'KZN' "
             "WHEN 4 THEN 'LP' WHEN 5 THEN 'MP' WHEN 6 THEN 'NC' WHEN 7 THEN 'NW' ELSE 'WC' END")
-DEVICE_TYPE_OF = ("CASE {k} % 20 WHEN 0 THEN 'Mobile' WHEN 5 THEN 'Tablet' WHEN 10 THEN 'Laptop' "
+DEVICE_TYPE_OF = ("CASE {k} % 4 WHEN 0 THEN 'Mobile' WHEN 1 THEN 'Tablet' WHEN 2 THEN 'Laptop' "
                   "ELSE 'Desktop' END")
-DEVICE_OS_OF = ("CASE {k} % 25 WHEN 0 THEN 'iOS' WHEN 5 THEN 'Android' WHEN 10 THEN 'Windows' "
-                "WHEN 15 THEN 'macOS' ELSE 'Linux' END")
+DEVICE_OS_OF = ("CASE {k} % 5 WHEN 0 THEN 'iOS' WHEN 1 THEN 'Android' WHEN 2 THEN 'Windows' "
+                "WHEN 3 THEN 'macOS' ELSE 'Linux' END")
 
 UP = "100000 + (event_id * 7919) % 900001"
 DOWN = "100000 + (event_id * 104729) % 900001"
@@ -99,7 +99,7 @@ ADAPTERS: dict[str, Adapter] = {a.name: a for a in [
         "o_orderpriority AS device_name",
         DEVICE_TYPE_OF.format(k="o_orderkey") + " AS device_type",
         DEVICE_OS_OF.format(k="o_orderkey") + " AS device_os",
-    ], "o_orderkey % 5 = 0", ("orders",)),
+    ], "o_orderstatus = 'F'", ("orders",)),   # a device is a delivered order
     # Wire form of the data drop: every field is text; some rows carry a bad
     # measure or a bad time, half the times have no fraction.
     Adapter("cdr_data_wire", "events", [
