@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.serving import daily_summary, daily_usage_rows, SERVING_COLUMNS, with_bucket
 from ..sources.raw import read_serving_table
 from ..operators.usage import usage_stream
+from ..session import use_rocksdb_state
 from ..sinks.tables import write_daily_usage
 from ..sinks.topics import to_messages
 
@@ -83,6 +84,7 @@ def start_daily_usage(cdr_data: DataFrame | None, cdr_voice: DataFrame | None, s
     (date, bucket) partition is about one file of ~128 MB; the default suits
     tens of millions of subscribers.
     """
+    use_rocksdb_state((cdr_data if cdr_data is not None else cdr_voice).sparkSession)
     agg = daily_usage_state(cdr_data, cdr_voice, watermark)
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
          .foreachBatch(serving_writer(serving_path, summary_path, buckets)))

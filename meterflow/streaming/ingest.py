@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators import quality
+from ..session import use_rocksdb_state
 from ..sinks.tables import append_raw, apply_changes_versioned, with_audit
 from ..sources.cdc import parse_changes
 from ..sources.topics import parse_messages
@@ -42,6 +43,7 @@ def start_raw_ingest(messages: DataFrame, topic: str, wire_schema: StructType, k
                      quarantine_path: str, checkpoint: str, available_now: bool = True,
                      processing_time: str = "10 seconds") -> StreamingQuery:
     """Topic → typed raw table + quarantine."""
+    use_rocksdb_state(messages.sparkSession)
     parsed = parse_messages(messages, wire_schema, topic)
     w = (parsed.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(raw_writer(kind, raw_path, quarantine_path)))
@@ -58,6 +60,7 @@ def cdc_writer(table_path: str, row: StructType, keys: list[str]):
 def start_cdc_apply(messages: DataFrame, row: StructType, keys: list[str], table_path: str, checkpoint: str,
                     available_now: bool = True, processing_time: str = "10 seconds") -> StreamingQuery:
     """Change feed → keyed table, one new version per micro-batch."""
+    use_rocksdb_state(messages.sparkSession)
     changes = parse_changes(messages, row, keys)
     w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(cdc_writer(table_path, row, keys))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
