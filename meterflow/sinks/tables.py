@@ -1,7 +1,7 @@
 """Table sinks (B3, B5, B6, B8, G3) and a versioned keyed table.
 
 Without a transactional table format on the classpath, two idempotent
-patterns cover the reference's writes:
+patterns cover the source system's writes:
 
 * date-partitioned serving rows, replaced per touched date with dynamic
   partition overwrite (a replayed micro-batch writes the same rows again);

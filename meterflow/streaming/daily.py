@@ -11,7 +11,7 @@ idempotent sink).
 With ``watermark`` set, state for a day is evicted once event time passes
 the day plus the delay and later rows for it are dropped and counted
 (``stateOperators[].numRowsDroppedByWatermark``). Without it, nothing is
-ever late — the reference's behaviour — and state grows with the number of
+ever late — the source system's behaviour — and state grows with the number of
 subscriber-days.
 """
 
