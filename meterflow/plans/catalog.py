@@ -310,6 +310,7 @@ STREAM_TIMEOUT_S = 900
 # The test tables hold a few MB of serving rows per day: one bucket per date
 # keeps each partition one file. (Cluster tables use SERVING_BUCKETS.)
 FIXTURE_SERVING_BUCKETS = 1
+FIXTURE_KEYED_BUCKETS = 4
 
 
 def _await(q) -> None:
@@ -385,9 +386,10 @@ def _stream_cdc(spark, sf):
     topic_sink.write_messages(ev, "json", path)
     base = work_dir(spark, "streams", "cdc")
     msgs = topics.read_topics(spark, ["crm.crm_system.accounts"], "json", path, streaming=True)
-    q = ingest.start_cdc_apply(msgs, schemas.ACCOUNTS, ["account_id"], f"{base}/accounts", f"{base}/checkpoint")
+    q = ingest.start_cdc_apply(msgs, schemas.ACCOUNTS, ["account_id"], f"{base}/accounts", f"{base}/checkpoint",
+                               buckets=FIXTURE_KEYED_BUCKETS)
     _await(q)
-    return table_sink.read_latest_version(spark, f"{base}/accounts", schemas.ACCOUNTS)
+    return table_sink.read_keyed(spark, f"{base}/accounts", schemas.ACCOUNTS)
 
 
 @job("tower_session_pair_summary")

@@ -62,7 +62,7 @@ def start_persistence(spark: SparkSession, raw_root: str, work_root: str, fmt: s
                       topics_path: str | None = None, bootstrap: str | None = None,
                       available_now: bool = False) -> list[StreamingQuery]:
     """One stream per topic: CDR data, CDR voice, ticks → raw + quarantine (J7);
-    accounts, addresses, devices change feeds → versioned keyed tables (J8)."""
+    accounts, addresses, devices change feeds → bucketed keyed tables (J8)."""
     def src(names):
         return topics.read_topics(spark, names, fmt, topics_path, bootstrap, streaming=True)
 
@@ -75,7 +75,7 @@ def start_persistence(spark: SparkSession, raw_root: str, work_root: str, fmt: s
                                           available_now=available_now))
     for table, row in schemas.CDC_ROWS.items():
         qs.append(ingest.start_cdc_apply(src([topics.CDC_TOPIC_PREFIX + table]), row, schemas.CDC_KEYS[table],
-                                         f"{raw_root}/{table}_versions", f"{work_root}/ckpt/{table}",
+                                         f"{raw_root}/{table}", f"{work_root}/ckpt/{table}",
                                          available_now=available_now))
     return qs
 

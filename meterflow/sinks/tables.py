@@ -1,17 +1,17 @@
-"""Table sinks (B3, B5, B6, B8, G3) and a versioned keyed table.
+"""Table sinks.
 
 Without a transactional table format on the classpath, two idempotent
 patterns cover the source system's writes:
 
 * date-partitioned serving rows, replaced per touched date with dynamic
   partition overwrite (a replayed micro-batch writes the same rows again);
-* keyed dimension tables written as immutable versions ``v=<n>``; a reader
-  takes the highest version and a replayed batch rewrites its own version.
+* keyed dimension tables partitioned by a hash bucket of the key; a batch of
+  changes rewrites only the buckets it touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.cdc import apply_changes
 
@@ -87,38 +87,54 @@ def write_daily_usage(rows: DataFrame, path: str, buckets: int | None = None) ->
                       ["msisdn", "hour", "category", "usage_type"])
 
 
-# -- versioned keyed table ---------------------------------------------------------------------
+# -- keyed dimension table ---------------------------------------------------------------------
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+# Hash buckets of the key in a keyed table (a table property: keep it fixed).
+KEYED_BUCKETS = 64
+
+
+def _with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
+
+
+def read_keyed(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Current rows of a keyed table (empty when it does not exist yet)."""
     if not _exists(spark, path):
-        return []
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v=") and fs.exists(
-                spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
-
-
-def read_latest_version(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
-    vs = _versions(spark, path)
-    if not vs:
-        return spark.createDataFrame([], schema) if schema is not None else None
-    return spark.read.parquet(f"{path}/v={vs[-1]}")
-
-
-def apply_changes_versioned(changes: DataFrame, path: str, keys: list[str], version: int, schema) -> None:
-    """Upsert a batch of changes into the versioned table at ``path`` as version
-    ``version`` (the micro-batch id): reads the newest version below it, so a
-    replay of the same batch produces the same version again."""
+        return spark.createDataFrame([], schema)
+    stored = T.StructType(schema.fields + [T.StructField("bucket", T.IntegerType(), True)])
+    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames())
+
+
+def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, buckets: int = KEYED_BUCKETS) -> None:
+    """Apply a batch of changes (row columns + ``op``, ``lsn``) to the keyed table at
+    ``path`` (B4): insert, replace every non-key column, or delete.
+
+    The table is partitioned by a hash bucket of the key; only the buckets the
+    batch touches are read, merged (``apply_changes``) and rewritten with
+    dynamic partition overwrite, so a batch costs O(touched buckets), not
+    O(table). Replaying a batch yields the same rows (a change never loses to
+    the row it produced), so the write is idempotent.
+    """
     spark = changes.sparkSession
-    prior = [v for v in _versions(spark, path) if v < version]
-    if prior:
-        current = spark.read.parquet(f"{path}/v={prior[-1]}")
-    else:
-        current = spark.createDataFrame([], schema)
-    nxt = apply_changes(current, changes, keys)
-    nxt.write.mode("overwrite").parquet(f"{path}/v={version}")
+    ch = _with_key_bucket(changes, keys, buckets)
+    cur = _with_key_bucket(read_keyed(spark, path, schema), keys, buckets) \
+        .join(ch.select("bucket").distinct(), "bucket", "left_semi")
+    merged = apply_changes(cur.drop("bucket"), ch.drop("bucket"), keys)
+    merged = _with_key_bucket(merged, keys, buckets)
+    if _exists(spark, path):
+        merged = _reliable_checkpoint(merged)
+    touched = ch.select("bucket").distinct()
+    # Buckets whose keys were all deleted must still be rewritten (as empty).
+    empty = touched.join(merged.select("bucket").distinct(), "bucket", "left_anti")
+    if _exists(spark, path) and not empty.isEmpty():
+        _clear_partitions(spark, path, [r.bucket for r in empty.collect()])
+    (merged.repartition("bucket").sortWithinPartitions(*keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+
+
+def _clear_partitions(spark: SparkSession, path: str, buckets: list[int]) -> None:
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for b in buckets:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"bucket={b}"), True)

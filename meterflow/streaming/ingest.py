@@ -3,7 +3,7 @@
 One stream per topic group. Each micro-batch is parsed once, persisted, and
 split into typed rows (appended to the raw table) and quarantined rows
 (appended to a side table): a bad record never stops the stream (B7). The
-CDC stream upserts each batch into a versioned keyed table (B4).
+CDC stream upserts each batch into a bucketed keyed table (B4).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import quality
 from ..session import use_rocksdb_state
-from ..sinks.tables import append_raw, apply_changes_versioned, with_audit
+from ..sinks.tables import KEYED_BUCKETS, append_raw, upsert_changes, with_audit
 from ..sources.cdc import parse_changes
 from ..sources.topics import parse_messages
 
@@ -51,18 +51,24 @@ def start_raw_ingest(messages: DataFrame, topic: str, wire_schema: StructType, k
     return w.start()
 
 
-def cdc_writer(table_path: str, row: StructType, keys: list[str]):
+def cdc_writer(table_path: str, row: StructType, keys: list[str], buckets: int = KEYED_BUCKETS):
     def write(batch: DataFrame, batch_id: int) -> None:
-        apply_changes_versioned(batch, table_path, keys, batch_id, row)
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                upsert_changes(batch, table_path, keys, row, buckets)
+        finally:
+            batch.unpersist()
     return write
 
 
 def start_cdc_apply(messages: DataFrame, row: StructType, keys: list[str], table_path: str, checkpoint: str,
-                    available_now: bool = True, processing_time: str = "10 seconds") -> StreamingQuery:
-    """Change feed → keyed table, one new version per micro-batch."""
+                    available_now: bool = True, processing_time: str = "10 seconds",
+                    buckets: int = KEYED_BUCKETS) -> StreamingQuery:
+    """Change feed → keyed table; each micro-batch rewrites the buckets it touches."""
     use_rocksdb_state(messages.sparkSession)
     changes = parse_changes(messages, row, keys)
-    w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(cdc_writer(table_path, row, keys))
+    w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(cdc_writer(table_path, row, keys, buckets))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 

@@ -75,14 +75,19 @@ def test_cdc_both_envelopes_delete_and_recreate(spark):
     assert [(x.account_id, x.owner_name) for x in latest] == [(2, "b3")]
 
 
-def test_apply_changes_versioned_is_idempotent(spark, tmp_dir):
+def test_keyed_upsert_is_idempotent_and_deletes(spark, tmp_dir):
     path = tmp_dir + "/accounts"
-    ch1 = _changes(spark, [(1, "a1", "2024-01-01", 1, "c"), (2, "b1", "2024-01-01", 2, "c")])
-    ch2 = _changes(spark, [(1, "a2", "2024-01-02", 3, "u"), (2, "b1", "2024-01-02", 4, "d")])
-    for v, ch in ((0, ch1), (1, ch2), (1, ch2)):  # batch 1 replayed
-        tables.apply_changes_versioned(ch, path, ["account_id"], v, schemas.ACCOUNTS)
-    cur = tables.read_latest_version(spark, path).collect()
-    assert [(r.account_id, r.owner_name) for r in cur] == [(1, "a2")]
+    ch1 = _changes(spark, [(1, "a1", "2024-01-01", 1, "c"), (2, "b1", "2024-01-01", 2, "c"),
+                           (3, "c1", "2024-01-01", 3, "c")])
+    ch2 = _changes(spark, [(1, "a2", "2024-01-02", 4, "u"), (2, "b1", "2024-01-02", 5, "d")])
+    for ch in (ch1, ch2, ch2):  # the second batch replayed
+        tables.upsert_changes(ch, path, ["account_id"], schemas.ACCOUNTS, buckets=2)
+    cur = sorted((r.account_id, r.owner_name) for r in tables.read_keyed(spark, path, schemas.ACCOUNTS).collect())
+    assert cur == [(1, "a2"), (3, "c1")]
+    # Deleting every key of a bucket empties that bucket.
+    tables.upsert_changes(_changes(spark, [(1, "x", "2024-01-03", 6, "d"), (3, "x", "2024-01-03", 7, "d")]),
+                          path, ["account_id"], schemas.ACCOUNTS, buckets=2)
+    assert tables.read_keyed(spark, path, schemas.ACCOUNTS).count() == 0
 
 
 def test_serving_upsert_last_write_wins(spark, tmp_dir):
