@@ -79,3 +79,24 @@ def test_rollup_sums_equal_at_every_grain(spark):
 
 def test_empty_inputs(spark):
     assert usage.usage_summary(empty_data(spark), empty_voice(spark)).count() == 0
+
+
+def _half_up_cents(x):
+    from fractions import Fraction
+    c = Fraction(x) * 100
+    return int(c + Fraction(1, 2)) if c >= 0 else -int(-c + Fraction(1, 2))
+
+
+def test_cents_equal_exact_rational_half_up(spark):
+    import random
+    from fractions import Fraction
+    rnd = random.Random(11)
+    vals = [(rnd.randint(0, 1 << 40), rnd.randint(0, 10 ** 7)) for _ in range(400)]
+    # Multiples of 2^23 bytes land on and next to half-cent boundaries.
+    vals += [(k << 23, s) for k in range(0, 40) for s in (0, 3, 30)]
+    df = spark.createDataFrame(vals, "b long, s long")
+    got = df.select("b", "s", usage.data_cents("b").alias("d"), usage.voice_cents("s").alias("v"),
+                    usage.total_cents("b", "s").alias("t")).collect()
+    for r in got:
+        d, v = Fraction(r.b * 49, 1 << 30), Fraction(r.s, 60)
+        assert (r.d, r.v, r.t) == (_half_up_cents(d), _half_up_cents(v), _half_up_cents(d + v)), r
