@@ -8,9 +8,12 @@ with map-side partial aggregation — no per-branch rescans, no self-joins.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import gcd
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.rates import RATES  # noqa: F401  (the cent formulas below encode RATES)
+from ..functions.rates import RATES, Rates
 from ..functions.timebuckets import bucket_start, day_string
 
 # Interval tags and their bucket widths in minutes, category tags.
@@ -146,29 +149,51 @@ def daily_type_usage(cdr_data: DataFrame | None, cdr_voice: DataFrame | None) ->
                  F.sum("calls").cast("bigint").alias("call_count")))
 
 
-# Exact money rounding. A cost is bytes * 49 / 2^30 or seconds / 60 ZAR. Cents
-# are rounded half-up on the exact rational value in integer arithmetic, so
-# the result does not depend on floating-point order or on the engine.
-# cents = floor((2 * num + den) / (2 * den)) with cost = num / den cents.
+# Exact money rounding. A cost is bytes x (data rate) or seconds x (voice
+# rate); each rate is an exact fraction (49 / 2^30 and 1 / 60 ZAR). Cents are
+# rounded half-up on the exact rational value in integer arithmetic, so the
+# result does not depend on floating-point order or on the engine:
+# cents = floor((2 * num + den) / (2 * den)) for a cost of num / den cents.
+
+def _rate(x: float) -> Fraction:
+    """The exact fraction a configured double rate stands for (49/2^30 is exact
+    in binary; 1/60 is recovered from its nearest double)."""
+    f = Fraction(x)
+    return f if f.denominator <= 1 << 40 else f.limit_denominator(10 ** 6)
+
+
+def cents_of(total_bytes: int, seconds: int, rates: Rates = RATES) -> tuple[int, int, int]:
+    """The same three roundings in plain Python (for per-key state code)."""
+    d = _rate(rates.data_per_byte) * 100 * total_bytes
+    v = _rate(rates.voice_per_second) * 100 * seconds
+
+    def half_up(x: Fraction) -> int:
+        return (2 * x.numerator + x.denominator) // (2 * x.denominator)
+    return half_up(d), half_up(v), half_up(d + v)
+
 
 def _half_up_sql(num_sql: str, den: int) -> str:
     return f"(({num_sql}) * 2 + {den}) div {2 * den}"
 
 
-def data_cents(total_bytes: str) -> Column:
-    """Cents for ``total_bytes`` of data (4900 / 2^30 cents per byte)."""
-    return F.expr(_half_up_sql(f"`{total_bytes}` * 4900", 1 << 30))
+def data_cents(total_bytes: str, rates: Rates = RATES) -> Column:
+    """Cents for ``total_bytes`` of data."""
+    r = _rate(rates.data_per_byte) * 100
+    return F.expr(_half_up_sql(f"`{total_bytes}` * {r.numerator}", r.denominator))
 
 
-def voice_cents(seconds: str) -> Column:
-    """Cents for ``seconds`` of calls (100 / 60 cents per second)."""
-    return F.expr(_half_up_sql(f"`{seconds}` * 100", 60))
+def voice_cents(seconds: str, rates: Rates = RATES) -> Column:
+    """Cents for ``seconds`` of calls."""
+    r = _rate(rates.voice_per_second) * 100
+    return F.expr(_half_up_sql(f"`{seconds}` * {r.numerator}", r.denominator))
 
 
-def total_cents(total_bytes: str, seconds: str) -> Column:
+def total_cents(total_bytes: str, seconds: str, rates: Rates = RATES) -> Column:
     """Cents of data + voice, rounded once on the exact sum."""
-    num = f"`{total_bytes}` * {4900 * 60} + `{seconds}` * {100 * (1 << 30)}"
-    return F.expr(_half_up_sql(num, 60 * (1 << 30)))
+    d, v = _rate(rates.data_per_byte) * 100, _rate(rates.voice_per_second) * 100
+    den = d.denominator * v.denominator // gcd(d.denominator, v.denominator)
+    num = f"`{total_bytes}` * {d.numerator * (den // d.denominator)} + `{seconds}` * {v.numerator * (den // v.denominator)}"
+    return F.expr(_half_up_sql(num, den))
 
 
 def cents_to_amount(c: Column) -> Column:

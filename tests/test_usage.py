@@ -100,3 +100,11 @@ def test_cents_equal_exact_rational_half_up(spark):
     for r in got:
         d, v = Fraction(r.b * 49, 1 << 30), Fraction(r.s, 60)
         assert (r.d, r.v, r.t) == (_half_up_cents(d), _half_up_cents(v), _half_up_cents(d + v)), r
+
+
+def test_python_cents_match_spark_cents(spark):
+    vals = [(b, s) for b in (0, 1, 1 << 23, 16 << 23, 123456789, 1 << 40) for s in (0, 1, 30, 90, 3599)]
+    df = spark.createDataFrame(vals, "b long, s long")
+    got = df.select("b", "s", usage.data_cents("b"), usage.voice_cents("s"), usage.total_cents("b", "s")).collect()
+    for r in got:
+        assert tuple(r)[2:] == usage.cents_of(r.b, r.s)
