@@ -101,6 +101,17 @@ def running_balance(costs: DataFrame, rates: Rates = RATES) -> DataFrame:
                     wak("total_cost_zar").alias("total_cost_wak"), wak("cumulative_cost_zar").alias("cumulative_cost_wak"))
 
 
+def crm_mart(cdr_data: DataFrame, cdr_voice: DataFrame, info: DataFrame, ordered: bool = True,
+             rates: Rates = RATES) -> DataFrame:
+    """Mart 3 end to end: hourly costs → running balance → flattened view.
+
+    The final ORDER BY sorts the fanned-out rows (range shuffle). Pre-sorting
+    the much smaller hourly rows cannot replace it: the account info is
+    joined with a sort-merge join at scale, which re-partitions by hash.
+    """
+    return crm_flattened(running_balance(hourly_costs(cdr_data, cdr_voice, rates), rates), info, ordered)
+
+
 def crm_flattened(balance: DataFrame, info: DataFrame, ordered: bool = True) -> DataFrame:
     """Balance rows ⟕ account info on msisdn = phone_number (D4, N:M: one row per
     matching account and device, X8), ordered by msisdn, hour (G1)."""

@@ -181,8 +181,7 @@ def _rb(spark, sf):
 
 @job("crm_flattened")
 def _crm(spark, sf):
-    bal = crm.running_balance(crm.hourly_costs(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice")))
-    return crm.crm_flattened(bal, _info(spark, sf))
+    return crm.crm_mart(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"), _info(spark, sf))
 
 
 # -- raw layer: typed parse, quarantine, topics, change feeds -------------------------------
