@@ -31,17 +31,27 @@ def with_mid(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("mid_units", units).withColumn("mid_price", _price(F.col("mid_units")))
 
 
-def _order_key(ts: str, units: str) -> Column:
-    """Time order inside the minute as one BIGINT: micros into the minute, then price.
+def _order_key(ts: str, units: str, minutes: int = 1) -> Column:
+    """Time order inside the candle as one BIGINT: micros into the bucket, then price.
 
     Ties on the timestamp are broken by the price so open/close are
     deterministic, and a primitive key keeps ``min_by``/``max_by`` in the
     hash aggregate (a struct key would force a sort-based aggregate).
-    Micros into a minute < 2^26 and mid units < 2^32, so the key fits.
+    Micros into an hour < 2^32 and mid units < 2^31, so the key fits.
     """
     t = F.col(ts).cast("timestamp")
-    offset = F.unix_micros(t) - F.unix_micros(F.date_trunc("minute", t))
-    return offset * F.lit(1 << 32) + F.col(units)
+    offset = F.unix_micros(t) - F.unix_micros(bucket_start(F.col(ts), minutes).cast("timestamp"))
+    return offset * F.lit(1 << 31) + F.col(units)
+
+
+def _direct_candles(ticks: DataFrame, minutes: int) -> DataFrame:
+    """Candles of one width straight from ticks: one hash aggregate, one shuffle."""
+    t = with_mid(ticks)
+    k = _order_key("tick_time", "mid_units", minutes)
+    return (t.groupBy("pair_name", bucket_start("tick_time", minutes).alias("candle_time"))
+            .agg(F.min_by("mid_units", k).alias("open_u"), F.max("mid_units").alias("high_u"),
+                 F.min("mid_units").alias("low_u"), F.max_by("mid_units", k).alias("close_u"),
+                 F.count(F.lit(1)).alias("tick_count")))
 
 
 def m1_candles(ticks: DataFrame) -> DataFrame:
@@ -51,12 +61,7 @@ def m1_candles(ticks: DataFrame) -> DataFrame:
     partial aggregate runs map-side and only one row per pair-minute and task
     crosses the shuffle.
     """
-    t = with_mid(ticks)
-    return (t.groupBy("pair_name", bucket_start("tick_time", 1).alias("candle_time"))
-            .agg(F.min_by("mid_units", _order_key("tick_time", "mid_units")).alias("open_u"),
-                 F.max("mid_units").alias("high_u"), F.min("mid_units").alias("low_u"),
-                 F.max_by("mid_units", _order_key("tick_time", "mid_units")).alias("close_u"),
-                 F.count(F.lit(1)).alias("tick_count")))
+    return _direct_candles(ticks, 1)
 
 
 def roll_candles(m1: DataFrame, minutes: int) -> DataFrame:
@@ -69,10 +74,9 @@ def roll_candles(m1: DataFrame, minutes: int) -> DataFrame:
 
 
 def candles(ticks: DataFrame, minutes: int) -> DataFrame:
-    """Priced OHLC candles for one timeframe."""
-    m1 = m1_candles(ticks)
-    c = m1 if minutes == 1 else roll_candles(m1, minutes)
-    return _priced(c, with_count=minutes == 1)
+    """Priced OHLC candles for one timeframe, aggregated directly from the ticks.
+    (The indicator mart instead rolls M30/H1 up from M1 to scan ticks once.)"""
+    return _priced(_direct_candles(ticks, minutes), with_count=minutes == 1)
 
 
 def _priced(c: DataFrame, with_count: bool = False) -> DataFrame:

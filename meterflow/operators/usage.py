@@ -201,10 +201,24 @@ def cents_to_amount(c: Column) -> Column:
 
 
 def daily_costs(type_usage: DataFrame) -> DataFrame:
-    """Cost per (msisdn, day): data, voice and total, each rounded to 2 decimals."""
+    """Cost per (msisdn, day): data, voice and total, each rounded to 2 decimals (E11),
+    from per-type daily rows (as the stream keeps them)."""
     g = (type_usage.groupBy("msisdn", "date")
          .agg(F.sum(F.col("up_bytes") + F.col("down_bytes")).cast("bigint").alias("data_bytes"),
               F.sum("call_duration_sec").cast("bigint").alias("voice_seconds")))
+    return _priced_days(g)
+
+
+def daily_costs_from_feeds(cdr_data: DataFrame | None, cdr_voice: DataFrame | None) -> DataFrame:
+    """The same costs straight from the feeds: one aggregate, one shuffle."""
+    u = usage_stream(cdr_data, cdr_voice)
+    g = (u.groupBy("msisdn", day_string("event_time").alias("date"))
+         .agg((F.sum("up_bytes") + F.sum("down_bytes")).cast("bigint").alias("data_bytes"),
+              F.sum("duration_sec").cast("bigint").alias("voice_seconds")))
+    return _priced_days(g)
+
+
+def _priced_days(g: DataFrame) -> DataFrame:
     return g.select("msisdn", "date", "data_bytes", "voice_seconds",
                     cents_to_amount(data_cents("data_bytes")).alias("data_cost_wak"),
                     cents_to_amount(voice_cents("voice_seconds")).alias("voice_cost_wak"),

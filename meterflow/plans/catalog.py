@@ -89,7 +89,7 @@ def _daily_voice(spark, sf):
 
 @job("cdr_daily_costs")
 def _daily_costs(spark, sf):
-    return usage.daily_costs(usage.daily_type_usage(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice")))
+    return usage.daily_costs_from_feeds(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))
 
 
 # -- mart 4: forex -----------------------------------------------------------------------
