@@ -107,3 +107,16 @@ def test_pair_summary_matches_all_pairs_brute_force(spark, pts):
     for k, (n, f, l, us) in want.items():
         assert got[k][:3] == (n, f, l)
         assert got[k][3] == us / 3600000000
+
+
+def test_neighbours_multiple_keys_and_null_times_last(spark):
+    from pyspark.sql import functions as F
+    from meterflow.operators.sequence import hour_chunk, neighbours
+    rows = [("a", 1, "2024-01-01 10:00:00"), ("a", 2, "2024-01-01 12:00:00"), ("a", 3, None),
+            ("b", 7, "2024-01-01 11:00:00")]
+    df = spark.createDataFrame(rows, "k string, v int, s string").select(
+        "k", "v", F.col("s").cast("timestamp_ntz").alias("t"))
+    df = df.withColumn("c", hour_chunk("t"))
+    got = {(r.k, r.v): (r.prev_v, r.next_v) for r in neighbours(df, ["k"], ["t"], ["v"], "c").collect()}
+    # NULL times sort last, as in SQL.
+    assert got == {("a", 1): (None, 2), ("a", 2): (1, 3), ("a", 3): (2, None), ("b", 7): (None, None)}

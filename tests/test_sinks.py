@@ -46,3 +46,12 @@ def test_serving_scan_and_lookup_literal_case(spark, tmp_dir):
     assert [(x.category, x.usage_type, x.total, x.measure, x.start_time) for x in r] == [
         ("data", "video", 3000000, "bytes", "2024-01-01 00:00:00")]
     assert (r[0].request_start, r[0].request_end) == ("2024-01-01 00:00:00", "2024-01-01 23:59:59")
+
+
+def test_zero_byte_data_row_classified_as_call_by_rule(spark):
+    from meterflow.operators.serving import classify_usage
+    tu = spark.createDataFrame([("271", "2024-01-01", "data", "text", 0, 0, 0, 0),
+                                ("271", "2024-01-01", "voice", "voice", 0, 0, 30, 1)], TU)
+    got = {(r.usage_type, r.category, r.total, r.measure) for r in classify_usage(daily_usage_rows(tu)).collect()}
+    # The bytes rule cannot tell an empty data session from a call (X14); the stored category can.
+    assert got == {("text", "call", 0, "seconds"), ("voice", "call", 30, "seconds")}
