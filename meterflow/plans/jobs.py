@@ -6,6 +6,8 @@
   three CRM change feeds → keyed tables (the persistence service).
 * ``start_usage_service`` — CSV drops → daily usage state → serving table and
   summary topic (ingestion + stream processor + serving writer).
+* ``start_idle_flush`` — CSV drops → nested summaries published per
+  subscriber-day after it has been idle (the processor's flush rule).
 
 Everything here is wiring; the logic lives in ``operators`` and ``sinks``.
 """
@@ -72,7 +74,7 @@ def start_persistence(spark: SparkSession, raw_root: str, work_root: str, fmt: s
                                      (topics.TICK_TOPIC, schemas.TICK_WIRE, "ticks", "forex_ticks")):
         qs.append(ingest.start_raw_ingest(src([topic]), topic, wire, kind, f"{raw_root}/{table}",
                                           f"{raw_root}/_quarantine/{table}", f"{work_root}/ckpt/{table}",
-                                          available_now=available_now))
+                                          available_now=available_now, audit=True))
     for table, row in schemas.CDC_ROWS.items():
         qs.append(ingest.start_cdc_apply(src([topics.CDC_TOPIC_PREFIX + table]), row, schemas.CDC_KEYS[table],
                                          f"{raw_root}/{table}", f"{work_root}/ckpt/{table}",
@@ -88,3 +90,22 @@ def start_usage_service(spark: SparkSession, drop_path: str, serving_path: str,
     v = quality.split_cdr_voice(files.read_cdr_voice(spark, drop_path, streaming=True)).good
     return daily.start_daily_usage(d, v, serving_path, f"{work_root}/ckpt/daily_usage", watermark=watermark,
                                    summary_path=summary_path, available_now=available_now, buckets=buckets)
+
+
+def start_idle_flush(spark: SparkSession, drop_path: str, summary_path: str, work_root: str,
+                     idle_ms: int = 60_000, watermark: str | None = "1 day",
+                     processing_time: str = "10 seconds") -> StreamingQuery:
+    """CSV drops → nested daily summary per subscriber-day, published when the key has
+    been idle for ``idle_ms`` (J2); state is removed once the day is closed (J3)."""
+    from ..streaming.flush import idle_flush_summaries
+    d = quality.split_cdr_data(files.read_cdr_data(spark, drop_path, streaming=True)).good
+    v = quality.split_cdr_voice(files.read_cdr_voice(spark, drop_path, streaming=True)).good
+    s = idle_flush_summaries(d, v, idle_ms=idle_ms, watermark=watermark)
+
+    def publish(batch, batch_id):
+        msgs = batch.select("msisdn", "date", "value").selectExpr(
+            f"'{topics.SUMMARY_TOPIC}' AS topic", "msisdn AS key", "value")
+        msgs.write.mode("overwrite").json(f"{summary_path}/batch={batch_id}")
+
+    return (s.writeStream.outputMode("append").option("checkpointLocation", f"{work_root}/ckpt/idle_flush")
+            .foreachBatch(publish).trigger(processingTime=processing_time).start())

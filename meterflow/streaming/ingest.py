@@ -41,12 +41,12 @@ def raw_writer(kind: str, raw_path: str, quarantine_path: str, audit: bool = Fal
 
 def start_raw_ingest(messages: DataFrame, topic: str, wire_schema: StructType, kind: str, raw_path: str,
                      quarantine_path: str, checkpoint: str, available_now: bool = True,
-                     processing_time: str = "10 seconds") -> StreamingQuery:
-    """Topic → typed raw table + quarantine."""
+                     processing_time: str = "10 seconds", audit: bool = False) -> StreamingQuery:
+    """Topic → typed raw table + quarantine (J7, B3, B7); ``audit`` adds ``ingested_at`` and ``id``."""
     use_rocksdb_state(messages.sparkSession)
     parsed = parse_messages(messages, wire_schema, topic)
     w = (parsed.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(raw_writer(kind, raw_path, quarantine_path)))
+         .foreachBatch(raw_writer(kind, raw_path, quarantine_path, audit)))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
