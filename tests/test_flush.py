@@ -39,3 +39,64 @@ def test_idle_flush_emits_cumulative_summary(spark, tmp_dir):
     assert m["data_usage"] == {"video": {"up": 1500000, "down": 3000000}}
     assert m["voice_usage"] == {"voice": {"duration": 120, "count": 2}}
     assert m["costs"]["voice_cost_wak"] == 2.0
+
+
+def test_idle_flush_job_publishes_to_summary_topic(spark, tmp_dir):
+    from meterflow.plans.jobs import start_idle_flush
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    with open(f"{src}/cdr_data_1.csv", "w") as f:
+        f.write(HDR + "271,1,100,200,text,ip,u,2024-01-15 10:00:00\n")
+    with open(f"{src}/cdr_voice_1.csv", "w") as f:
+        f.write(VHDR)
+    out = f"{tmp_dir}/summary"
+    q = start_idle_flush(spark, src, out, f"{tmp_dir}/work", idle_ms=1000, processing_time="500 milliseconds")
+    try:
+        got, deadline = [], time.time() + 120
+        while time.time() < deadline and not got:
+            time.sleep(1)
+            assert q.exception() is None, q.exception()
+            if os.path.isdir(out):
+                got = spark.read.schema("topic string, key string, value string").json(out).collect()
+    finally:
+        q.stop()
+    assert [(r.topic, r.key) for r in got] == [("cdr-usage-summary", "271")]
+    assert json.loads(got[0].value)["data_usage"] == {"text": {"up": 100, "down": 200}}
+
+
+def test_flushed_day_state_removed_after_watermark_passes(spark, tmp_dir):
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    with open(f"{src}/cdr_data_1.csv", "w") as f:
+        f.write(HDR + "271,1,100,200,text,ip,u,2024-01-15 10:00:00\n")
+    d = quality.split_cdr_data(files.read_cdr_data(spark, src, streaming=True)).good
+    s = idle_flush_summaries(d, None, idle_ms=500, recheck_ms=500, watermark="1 hour")
+    out = f"{tmp_dir}/summary"
+    q = (s.writeStream.outputMode("append").option("checkpointLocation", f"{tmp_dir}/ckpt")
+         .foreachBatch(lambda b, i: None if b.isEmpty() else b.write.mode("overwrite").json(f"{out}/batch={i}"))
+         .trigger(processingTime="300 milliseconds").start())
+
+    def state_rows():
+        p = q.lastProgress
+        return p["stateOperators"][0]["numRowsTotal"] if p and p.get("stateOperators") else None
+
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and not os.path.isdir(out):
+            time.sleep(0.5)
+        assert state_rows() == 1                      # flushed, still kept for later rows of the day
+        with open(f"{src}/cdr_data_2.csv", "w") as f:  # two days later: the watermark passes day 1
+            f.write(HDR + "271,1,1,1,text,ip,u,2024-01-17 10:00:00\n")
+        deadline, seen = time.time() + 90, []
+        while time.time() < deadline:
+            time.sleep(0.5)
+            assert q.exception() is None, q.exception()
+            seen.append(state_rows())
+            if len(spark.read.schema("msisdn string, date string, value string").json(out).collect()) >= 2 \
+                    and seen[-1] == 1:
+                break
+        dates = sorted(r.date for r in spark.read.schema("msisdn string, date string, value string").json(out).collect())
+    finally:
+        q.stop()
+    assert dates == ["2024-01-15", "2024-01-17"]
+    assert seen[-1] == 1   # day 1 evicted (J3); only the open day 3 remains
