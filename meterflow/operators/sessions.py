@@ -22,12 +22,15 @@ ORDER = [TS, TOWER]
 
 
 def interactions(cdr_data: DataFrame, cdr_voice: DataFrame) -> DataFrame:
-    """DISTINCT (msisdn, tower_id, time) over both feeds (E12, H2s), clustered by
-    (msisdn, hour) so the dedupe and the neighbour window share one shuffle."""
+    """DISTINCT (msisdn, tower_id, time) over both feeds (E12, H2s).
+
+    The dedupe is a plain aggregate, so copies collapse map-side before any
+    shuffle: a flood of identical rows never reaches one task. (Clustering by
+    (msisdn, hour) first would save a shuffle but lose that map-side step.)
+    """
     u = (cdr_data.select(KEY, TOWER, TS)
          .unionByName(cdr_voice.select(KEY, TOWER, F.col("start_time").alias(TS))))
-    u = u.withColumn("_chunk", hour_chunk(TS)).repartition(KEY, "_chunk")
-    return u.distinct()
+    return u.distinct().withColumn("_chunk", hour_chunk(TS))
 
 
 def tower_interactions(cdr_data: DataFrame, cdr_voice: DataFrame) -> DataFrame:

@@ -69,7 +69,9 @@ def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols
         keep = old.join(rows.select(*key), key, "left_anti")
         merged = keep.unionByName(rows.select(*old.columns))
         merged = _reliable_checkpoint(merged)
-    out = merged.repartition(*partition_cols)
+    # Cluster rows by partition so each partition is written by few tasks;
+    # ``rebalance`` lets AQE split a hot partition instead of one task writing it.
+    out = merged.hint("rebalance", *partition_cols)
     if sort_cols:
         out = out.sortWithinPartitions(*sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -128,7 +130,7 @@ def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, bucke
     empty = touched.join(merged.select("bucket").distinct(), "bucket", "left_anti")
     if _exists(spark, path) and not empty.isEmpty():
         _clear_partitions(spark, path, [r.bucket for r in empty.collect()])
-    (merged.repartition("bucket").sortWithinPartitions(*keys).write.mode("overwrite")
+    (merged.hint("rebalance", "bucket").sortWithinPartitions(*keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
 
 

@@ -4,7 +4,8 @@ Builds a skewed copy of the usage feeds from the test tables (every event
 with event_id % 3 = 0 is reassigned to one subscriber), runs the session and
 usage jobs through the noop sink, and reads Spark's event log (written to a
 scratch folder) to report, per stage, the total records read from shuffle and
-the largest single task's share. Usage: python tools/skew_probe.py [sf_dir]
+the largest single task's share. With ``--copies`` that third is moreover one and the same record repeated.
+Usage: python tools/skew_probe.py [sf_dir] [--copies]
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import Window, functions as F  # noqa: E402
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.1"
     logdir = tempfile.mkdtemp(prefix="meterflow-eventlog-")
     from meterflow.session import build_session
     spark = build_session("skew-probe", master="local[8]", shuffle_partitions=32,
@@ -37,10 +39,20 @@ def main() -> None:
 
     hot = "27999999999"
 
+    copies = "--copies" in sys.argv
+
     def skew(df):
         # event_id is gone after the adapter; use a stable hash of the row instead.
-        h = F.pmod(F.xxhash64(*df.columns), F.lit(3))
-        return df.withColumn("msisdn", F.when(h == 0, F.lit(hot)).otherwise(F.col("msisdn")))
+        df = df.withColumn("_h", F.pmod(F.xxhash64(*df.columns), F.lit(3)))
+        h = F.col("_h")
+        df = df.withColumn("msisdn", F.when(h == 0, F.lit(hot)).otherwise(F.col("msisdn")))
+        if copies:
+            # A third of all rows become copies of one and the same record.
+            ts = "event_datetime" if "event_datetime" in df.columns else "start_time"
+            df = df.withColumn("tower_id", F.when(h == 0, F.lit(1)).otherwise(F.col("tower_id"))) \
+                   .withColumn(ts, F.when(h == 0, F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))
+                               .otherwise(F.col(ts)))
+        return df.drop("_h")
 
     d, v = skew(load(spark, sf, "cdr_data")), skew(load(spark, sf, "cdr_voice"))
     total = d.count() + v.count()
