@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rates import RATES, Rates
 from ..functions.timebuckets import hour_start
+from .joins import left_join
 from .usage import usage_stream
 
 ACCOUNT_INFO_COLUMNS = ["account_id", "owner_name", "email", "phone_number", "street_address", "city", "state",
@@ -24,6 +25,9 @@ def account_info(accounts: DataFrame, addresses: DataFrame, devices: DataFrame)
     a = accounts.select("account_id", "owner_name", "email", "phone_number")
     ad = addresses.select("account_id", "street_address", "city", "state", "postal_code", "country")
     d = devices.select("account_id", "device_id", "device_name", "device_type", "device_os")
+    # Addresses are 1:1 and devices 1:N: both joins emit at most the rows of
+    # their inputs, so a hot account costs one task linear work; AQE's skew
+    # join splits the (left) accounts side if needed.
     return a.join(ad, "account_id", "left").join(d, "account_id", "left").select(*ACCOUNT_INFO_COLUMNS)
 
 
@@ -116,7 +120,10 @@ def crm_flattened(balance: DataFrame, info: DataFrame, ordered: bool = True) ->
     """Balance rows ⟕ account info on msisdn = phone_number (D4, N:M: one row per
     matching account and device, X8), ordered by msisdn, hour (G1)."""
     b = balance.select("msisdn", "hour", *COST_COLUMNS)
-    j = b.join(info, b.msisdn == info.phone_number, "left")
+    # N:M on the phone number: a number shared by very many accounts multiplies
+    # its hourly rows by all of them. A plain LEFT JOIN cannot split that hot
+    # right-side key; ``left_join`` (an inner join over a padded right side) can.
+    j = left_join(b, info, ["msisdn"], ["phone_number"])
     out = j.select("msisdn", F.col("hour").alias("datetime"), *ACCOUNT_INFO_COLUMNS, *COST_COLUMNS)
     # SQL's ascending order puts NULLs last.
     return out.orderBy(F.col("msisdn").asc_nulls_last(), F.col("datetime").asc_nulls_last()) if ordered else out

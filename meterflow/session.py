@@ -58,14 +58,15 @@ def build_session(app: str = "meterflow", master: str | None = None,
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    prepare(spark)
+    prepare(spark, keep=set(extra or {}))
     return spark
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime SQL settings the library needs on an existing session."""
+def prepare(spark: SparkSession, keep: set[str] | None = None) -> SparkSession:
+    """Pin the runtime SQL settings the library needs on an existing session
+    (settings named in ``keep`` are left as the caller chose them)."""
     for k, v in SQL_DEFAULTS.items():
-        if spark.conf.get(k, None) != v:
+        if k not in (keep or ()) and spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark
 
