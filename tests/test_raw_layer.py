@@ -108,3 +108,15 @@ def test_serving_upsert_last_write_wins(spark, tmp_dir):
     # Data video and voice video are separate rows; the second write replaced only its key.
     assert got == [("2024-01-01", "data", "video", 10, 0), ("2024-01-01", "voice", "video", 0, 60),
                    ("2024-01-02", "data", "text", 5, 0)]
+
+
+def test_raw_writer_replay_overwrites_its_batch(spark, tmp_dir):
+    from meterflow.streaming.ingest import raw_writer
+    w = spark.createDataFrame([("271", "5", "1", "2", "video", "ip", "u", "2024-01-01 00:00:01"),
+                               ("271", "5", "x", "2", "video", "ip", "u", "2024-01-01 00:00:01")], schemas.CDR_DATA_WIRE)
+    write = raw_writer("cdr_data", f"{tmp_dir}/raw", f"{tmp_dir}/q", audit=True)
+    for batch_id in (0, 0, 1):          # batch 0 replayed after a failure
+        write(w, batch_id)
+    raw_rows = spark.read.parquet(f"{tmp_dir}/raw")
+    assert raw_rows.count() == 2 and {"ingested_at", "id"} <= set(raw_rows.columns)
+    assert spark.read.parquet(f"{tmp_dir}/q").count() == 2
