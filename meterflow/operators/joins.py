@@ -38,4 +38,6 @@ def left_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_key
     padded = missing.select(*jk, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in rcols])
     ext = real.unionByName(padded)
     cond = reduce(lambda a, b: a & b, [left[lk].eqNullSafe(ext[j]) for lk, j in zip(left_keys, jk)])
-    return left.join(ext, cond, "inner").select(*[left[c] for c in left.columns], *[ext[c] for c in rcols])
+    # Sort-merge: the strategy AQE can split on a skewed key from either side.
+    return left.join(ext.hint("merge"), cond, "inner").select(*[left[c] for c in left.columns],
+                                                              *[ext[c] for c in rcols])
