@@ -20,3 +20,31 @@ def test_plan_shape(spark, key):
         assert "props" not in schema and "value:" not in schema and "c_acctbal" not in schema
     if "SortAggregate" in plan:
         assert key.startswith("cdc_latest"), key
+
+
+def _final_plan(df) -> str:
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    return qe.executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def _shuffles(plan: str) -> int:
+    return sum(1 for line in plan.splitlines()
+               if line.strip(" :+-*()0123456789").startswith("Exchange hashpartitioning"))
+
+
+@pytest.mark.parametrize("key", ["cdr_usage_summary", "cdr_usage_rollup", "cdr_daily_costs", "ohlc_m1",
+                                 "ohlc_m30", "ohlc_h1", "hourly_costs_union", "daily_usage_rows"])
+def test_single_shuffle_jobs(spark, key):
+    assert _shuffles(_final_plan(E.queries()[key](spark, SF))) == 1
+
+
+def test_forex_mart_reads_ticks_once(spark):
+    plan = _final_plan(E.queries()["forex_ohlc_indicators"](spark, SF))
+    assert plan.count("ReusedExchange") >= 2
+
+
+def test_crm_fan_out_join_is_a_splittable_inner_join(spark):
+    plan = E.queries()["crm_flattened"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    main = [l for l in plan.splitlines() if "Join" in l and "_jk0" in l and "LeftAnti" not in l]
+    assert main and "SortMergeJoin" in main[0] and "Inner" in main[0]
