@@ -297,6 +297,12 @@ def _req_errors(spark, sf):
     return v.where(F.col("error").isNotNull()).select("request_id", "msisdn", "start_time", "end_time", "error")
 
 
+@job("usage_lookup_response")
+def _lookup_response(spark, sf):
+    v = quality.validate_requests(load(spark, sf, "lookup_requests"))
+    return serving.lookup_responses(v, serving.daily_usage_rows(_type_usage(spark, sf)))
+
+
 @job("usage_lookup")
 def _lookup(spark, sf):
     v = quality.validate_requests(load(spark, sf, "lookup_requests"))

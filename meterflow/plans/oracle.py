@@ -509,3 +509,27 @@ def _():
       SELECT msisdn, tower_id, event_datetime AS session_start, end_count, first_end, last_end,
         CAST(sum_us - end_count * epoch_us(event_datetime) AS DOUBLE) / 3600000000 AS total_duration_hours
       FROM w WHERE is_s AND end_count > 0"""
+
+
+@oracle("usage_lookup_response", "lookup_requests", "cdr_data", "cdr_voice")
+def _():
+    return _REQ + ",\n" + _TYPE_USAGE + """,
+      hits AS (
+        SELECT r.request_id,
+          CASE WHEN u.category = 'data' THEN 'data' ELSE 'call' END AS category, u.usage_type,
+          CASE WHEN u.category = 'data' THEN u.up_bytes + u.down_bytes ELSE u.call_duration_sec END AS total,
+          CASE WHEN u.category = 'data' THEN 'bytes' ELSE 'seconds' END AS measure,
+          u.date || ' 00:00:00' AS start_time
+        FROM req2 r JOIN tu u ON r.msisdn = u.msisdn
+          AND u.date BETWEEN strftime(r.st, '%Y-%m-%d') AND strftime(r.et, '%Y-%m-%d')
+        WHERE r.error IS NULL),
+      agg AS (
+        SELECT request_id, list({'category': category, 'usage_type': usage_type, 'total': total,
+                                 'measure': measure, 'start_time': start_time}
+                                ORDER BY category, usage_type, total, measure, start_time) AS usage
+        FROM hits GROUP BY request_id)
+      SELECT r.request_id, to_json({'msisdn': r.msisdn, 'start_time': strftime(r.st, '%Y-%m-%d %H:%M:%S'),
+                                    'end_time': strftime(r.et, '%Y-%m-%d %H:%M:%S'),
+                                    'usage': COALESCE(a.usage, [])}) AS response
+      FROM req2 r LEFT JOIN agg a ON r.request_id = a.request_id
+      WHERE r.error IS NULL"""

@@ -55,3 +55,20 @@ def test_zero_byte_data_row_classified_as_call_by_rule(spark):
     got = {(r.usage_type, r.category, r.total, r.measure) for r in classify_usage(daily_usage_rows(tu)).collect()}
     # The bytes rule cannot tell an empty data session from a call (X14); the stored category can.
     assert got == {("text", "call", 0, "seconds"), ("voice", "call", 30, "seconds")}
+
+
+def test_lookup_response_body_shape(spark):
+    import json
+    from meterflow.operators.serving import lookup_responses
+    tu = spark.createDataFrame([("2712345678", "2024-01-01", "data", "video", 1000000, 2000000, 0, 0)], TU)
+    req = spark.createDataFrame([(1, "2712345678", "20240101000000", "20240101235959"),
+                                 (2, "2799999999", "20240101000000", "20240101235959"),
+                                 (3, None, None, None)], schemas.LOOKUP_REQUEST)
+    got = {r.request_id: json.loads(r.response) for r in
+           lookup_responses(validate_requests(req), daily_usage_rows(tu)).collect()}
+    assert got == {
+        1: {"msisdn": "2712345678", "start_time": "2024-01-01 00:00:00", "end_time": "2024-01-01 23:59:59",
+            "usage": [{"category": "data", "usage_type": "video", "total": 3000000, "measure": "bytes",
+                       "start_time": "2024-01-01 00:00:00"}]},
+        2: {"msisdn": "2799999999", "start_time": "2024-01-01 00:00:00", "end_time": "2024-01-01 23:59:59",
+            "usage": []}}
