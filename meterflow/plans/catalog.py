@@ -283,7 +283,11 @@ def _summary_rows(spark, sf):
 
 @job("daily_summary_nested")
 def _nested(spark, sf):
-    return serving.daily_summary(_type_usage(spark, sf))
+    """The nested summary message per subscriber-day, as its JSON body
+    (without the emission timestamp, which is wall-clock time)."""
+    s = serving.daily_summary(_type_usage(spark, sf))
+    body = F.struct("msisdn", "date", "data_usage", "voice_usage", "costs")
+    return s.select("msisdn", "date", F.to_json(body).alias("summary"))
 
 
 @job("classify_usage")

@@ -533,3 +533,23 @@ def _():
                                     'usage': COALESCE(a.usage, [])}) AS response
       FROM req2 r LEFT JOIN agg a ON r.request_id = a.request_id
       WHERE r.error IS NULL"""
+
+
+@oracle("daily_summary_nested", "cdr_data", "cdr_voice")
+def _():
+    return _TYPE_USAGE + f""",
+      s AS (
+        SELECT msisdn, date,
+          COALESCE(map_from_entries(list({{'key': usage_type, 'value': {{'up': up_bytes, 'down': down_bytes}}}}
+                   ORDER BY usage_type) FILTER (WHERE category = 'data')), MAP {{}}) AS data_usage,
+          COALESCE(map_from_entries(list({{'key': usage_type, 'value': {{'duration': call_duration_sec,
+                   'count': call_count}}}} ORDER BY usage_type) FILTER (WHERE category = 'voice')), MAP {{}}) AS voice_usage,
+          CAST(SUM(CASE WHEN category = 'data' THEN up_bytes + down_bytes ELSE 0 END) AS BIGINT) AS b,
+          CAST(SUM(CASE WHEN category = 'voice' THEN call_duration_sec ELSE 0 END) AS BIGINT) AS s
+        FROM tu GROUP BY msisdn, date)
+      SELECT msisdn, date, to_json({{'msisdn': msisdn, 'date': date, 'data_usage': data_usage,
+          'voice_usage': voice_usage,
+          'costs': {{'data_cost_wak': CAST({_cents_data('b')} AS DOUBLE) / 100,
+                    'voice_cost_wak': CAST({_cents_voice('s')} AS DOUBLE) / 100,
+                    'total_cost_wak': CAST({_cents_total('b', 's')} AS DOUBLE) / 100}}}}) AS summary
+      FROM s"""

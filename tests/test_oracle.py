@@ -44,5 +44,5 @@ def test_entry_smoke(spark):
     assert df.columns and df.count() >= 0
 
 
-def test_every_job_has_an_oracle_or_is_nested():
-    assert set(E.queries()) - set(ORACLE) <= {"daily_summary_nested"}
+def test_every_job_has_an_oracle():
+    assert set(E.queries()) == set(ORACLE)
