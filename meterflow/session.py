@@ -78,16 +78,20 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     cluster; it is read from the session. Only when it is unset (local tests)
     is a private temporary folder created and registered.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no local context
+        sc = None
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             # A machine-local folder is invisible to other executors and lost with the host.
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         base = tempfile.mkdtemp(prefix="meterflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        sc.setCheckpointDir(base)
+        base = sc.getCheckpointDir() or base
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, *parts, uuid.uuid4().hex)
