@@ -32,3 +32,8 @@ def test_persistence_then_marts(spark, tmp_dir):
     jobs.refresh_marts(spark, raw, out)
     for name in jobs.MARTS:
         assert spark.read.parquet(f"{out}/{name}").count() > 0
+    # The same refresh through the command line (reuses the active session).
+    from meterflow.__main__ import main
+    main(["marts", "--raw", raw, "--out", f"{tmp_dir}/marts_cli"])
+    assert spark.read.parquet(f"{tmp_dir}/marts_cli/crm_flattened").count() == \
+        spark.read.parquet(f"{out}/crm_flattened").count()
