@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from ..operators import quality
 from ..session import use_rocksdb_state
-from ..sinks.tables import KEYED_BUCKETS, append_raw, upsert_changes, with_audit
+from ..sinks.tables import KEYED_BUCKETS, upsert_changes, with_audit
 from ..sources.cdc import parse_changes
 from ..sources.topics import parse_messages
 
@@ -71,7 +71,3 @@ def start_cdc_apply(messages: DataFrame, row: StructType, keys: list[str], table
     w = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(cdc_writer(table_path, row, keys, buckets))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
-
-
-# Re-exported for callers that append without streaming.
-__all__ = ["start_raw_ingest", "start_cdc_apply", "raw_writer", "cdc_writer", "append_raw"]
