@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.timebuckets import bucket_start
+from ..session import reliable_checkpoint
 
 MID_SCALE = 20000            # mid price units per 1.0
 # Timeframe tags and their widths in minutes; indicator lengths.
@@ -100,14 +101,8 @@ def m1_candles_windowed(ticks: DataFrame) -> DataFrame:
     return _priced(x.dropDuplicates(["pair_name", "candle_time"]), with_count=True)
 
 
-def with_indicators(c: DataFrame, timeframe: str) -> DataFrame:
-    """Moving averages over the last 8 / 21 candles of a pair.
-
-    The source names them ``ema`` but they are simple averages of the open,
-    and ``atr`` is the simple average of high - low; values and names are kept.
-    Candles per pair are bounded by the time range (one per minute at most),
-    so a window partitioned by pair stays small however many ticks arrive.
-    """
+def with_indicators_per_pair(c: DataFrame, timeframe: str) -> DataFrame:
+    """Moving averages with one window per pair (the plain form; see ``with_indicators``)."""
     base = Window.partitionBy("pair_name").orderBy(F.col("candle_time").asc_nulls_last())
     rng = F.col("high_u") - F.col("low_u")
 
@@ -115,26 +110,94 @@ def with_indicators(c: DataFrame, timeframe: str) -> DataFrame:
         w = base.rowsBetween(-(n - 1), Window.currentRow)
         return F.sum(x).over(w).cast("double") / F.count(F.lit(1)).over(w) / MID_SCALE
 
+    return _indicator_select(c, timeframe, avg(F.col("open_u"), SHORT), avg(F.col("open_u"), LONG),
+                             avg(rng, SHORT), avg(rng, LONG))
+
+
+def _indicator_select(c: DataFrame, timeframe: str, e8: Column, e21: Column, a8: Column, a21: Column) -> DataFrame:
     return c.select(
         "pair_name", "candle_time",
         *[_price(F.col(f"{p}_u")).alias(f"{p}_price") for p in ("open", "high", "low", "close")],
         F.lit(timeframe).alias("timeframe"),
-        avg(F.col("open_u"), SHORT).alias("ema_8"), avg(F.col("open_u"), LONG).alias("ema_21"),
-        avg(rng, SHORT).alias("atr_8"), avg(rng, LONG).alias("atr_21"))
+        e8.alias("ema_8"), e21.alias("ema_21"), a8.alias("atr_8"), a21.alias("atr_21"))
+
+
+BLOCK_ROWS = 4096   # candles per window partition (plus a halo of LONG - 1 rows)
+
+
+def with_indicators(c: DataFrame, timeframe: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Moving averages over the last 8 / 21 candles of a pair.
+
+    The source names them ``ema`` but they are simple averages of the open,
+    and ``atr`` is the simple average of high - low; values and names are kept.
+    See ``_blocked_averages`` for how the windows stay bounded.
+    """
+    return _blocked_averages(c.withColumn("timeframe", F.lit(timeframe)), ["pair_name", "timeframe"], block_rows)
+
+
+def _blocked_averages(c: DataFrame, key: list[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Indicator columns per ``key`` (a pair, or a pair and timeframe) without a
+    window over a whole key.
+
+    Each candle gets its position in its key's sequence (row numbers per
+    (key, day) plus the running count of earlier days — a window over one row
+    per day), positions are cut into blocks of ``block_rows``, and the last
+    ``LONG - 1`` candles of each block are copied into the next one so the
+    21-row frames are complete there. Every window partition then holds at
+    most ``block_rows + 20`` rows, however long the history and however few
+    the keys.
+    """
+    halo = LONG - 1
+    if block_rows < halo:
+        raise ValueError("block_rows must be at least the longest frame")
+    # The day counts and the candles themselves are two branches over the same
+    # candles; materialise them once (they are small next to the ticks) so the
+    # ticks are aggregated once, not once per branch.
+    c = reliable_checkpoint(c)
+    x = c.withColumn("_day", F.date_trunc("day", F.col("candle_time")))
+    x = x.withColumn("_rn", F.row_number().over(
+        Window.partitionBy(*key, "_day").orderBy(F.col("candle_time").asc_nulls_last())))
+    days = x.groupBy(*key, "_day").agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy(*key).orderBy(F.col("_day").asc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    days = days.select(*key, "_day", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    x = x.join(days, [*key, "_day"]).withColumn("_idx", F.col("_off") + F.col("_rn") - 1)
+    blk = F.floor(F.col("_idx") / block_rows).cast("bigint")
+    own = x.withColumn("_blk", blk).withColumn("_own", F.lit(True))
+    copies = (x.where(F.pmod(F.col("_idx"), F.lit(block_rows)) >= block_rows - halo)
+              .withColumn("_blk", blk + 1).withColumn("_own", F.lit(False)))
+    u = own.unionByName(copies)
+    base = Window.partitionBy(*key, "_blk").orderBy("_idx")
+    rng = F.col("high_u") - F.col("low_u")
+
+    def avg(v: Column, n: int) -> Column:
+        w = base.rowsBetween(-(n - 1), Window.currentRow)
+        return F.sum(v).over(w).cast("double") / F.count(F.lit(1)).over(w) / MID_SCALE
+
+    y = u.select("*", avg(F.col("open_u"), SHORT).alias("_e8"), avg(F.col("open_u"), LONG).alias("_e21"),
+                 avg(rng, SHORT).alias("_a8"), avg(rng, LONG).alias("_a21")).where("_own")
+    return y.select(
+        "pair_name", "candle_time",
+        *[_price(F.col(f"{p}_u")).alias(f"{p}_price") for p in ("open", "high", "low", "close")],
+        "timeframe", F.col("_e8").alias("ema_8"), F.col("_e21").alias("ema_21"),
+        F.col("_a8").alias("atr_8"), F.col("_a21").alias("atr_21"))
 
 
 def ohlc_indicators(ticks: DataFrame, ordered: bool = True) -> DataFrame:
     """Mart 4: M1, M30 and H1 candles with indicators, one scan of the ticks (H3s, G2).
 
     M30 and H1 are rolled up from the M1 aggregate, whose shuffle output is
-    reused by all three branches.
+    reused by all three branches; the three timeframes then share one
+    bounded moving-average pass.
     """
     m1 = m1_candles(ticks)
-    out = None
+    tagged = None
     for tag, minutes in TIMEFRAMES:
-        c = m1 if minutes == 1 else roll_candles(m1, minutes)
-        part = with_indicators(c, tag)
-        out = part if out is None else out.unionByName(part)
+        c = (m1 if minutes == 1 else roll_candles(m1, minutes)).select(
+            "pair_name", "candle_time", "open_u", "high_u", "low_u", "close_u", F.lit(tag).alias("timeframe"))
+        tagged = c if tagged is None else tagged.unionByName(c)
+    # One bounded indicator pass for all three timeframes, keyed by (pair, timeframe).
+    out = _blocked_averages(tagged, ["pair_name", "timeframe"])
     order = [F.col(c).asc_nulls_last() for c in ("pair_name", "timeframe", "candle_time")]
     return out.orderBy(*order) if ordered else out
 

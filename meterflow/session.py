@@ -95,3 +95,10 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, *parts, uuid.uuid4().hex)
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage
+    (never a local checkpoint): later branches read the written copy."""
+    work_dir(df.sparkSession)   # makes sure a checkpoint folder is set (tests only)
+    return df.checkpoint(eager=True)

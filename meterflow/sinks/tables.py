@@ -46,9 +46,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def _reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the session's shared checkpoint folder (never executor-local)."""
-    from ..session import work_dir
-    work_dir(df.sparkSession)  # makes sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
+    from ..session import reliable_checkpoint
+    return reliable_checkpoint(df)
 
 
 def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols: list[str],

@@ -78,3 +78,21 @@ def test_crm_fan_out_and_running_balance(spark):
     assert flat.count() == 9
     joined = crm.join_hourly_costs(crm.hourly_data_cost(d), crm.hourly_voice_cost(v))
     assert joined.exceptAll(crm.hourly_costs(d, v)).count() == 0
+
+
+def test_blocked_indicators_equal_per_pair_window(spark):
+    import random
+    rnd = random.Random(5)
+    base = datetime(2024, 1, 1)
+    rows = []
+    for pair in ("MRVZAR", "WAKMRV"):
+        t = base
+        for _ in range(300):
+            t += timedelta(minutes=rnd.choice([1, 1, 2, 7, 60, 600, 3000]))   # sparse days, gaps
+            rows.append((t.strftime("%Y-%m-%d %H:%M:%S"), pair, rnd.randint(10000, 20000), rnd.randint(100, 500)))
+    m1 = forex.m1_candles(_ticks(spark, rows))
+    want = forex.with_indicators_per_pair(m1, "M1")
+    for block in (21, 25, 64, 4096):
+        got = forex.with_indicators(m1, "M1", block_rows=block)
+        assert got.count() == want.count() == 600
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, block

@@ -40,8 +40,9 @@ def test_single_shuffle_jobs(spark, key):
 
 
 def test_forex_mart_reads_ticks_once(spark):
+    # Candles are aggregated once and materialised; the indicator pass reads them.
     plan = _final_plan(E.queries()["forex_ohlc_indicators"](spark, SF))
-    assert plan.count("ReusedExchange") >= 2
+    assert plan.count("FileScan") <= 1
 
 
 def test_crm_fan_out_join_is_a_splittable_inner_join(spark):
