@@ -119,3 +119,18 @@ def test_replayed_batch_after_failure_is_idempotent(spark, tmp_dir):
     rows, _ = _run(spark, src, base)          # restart on the same checkpoint: batch replayed
     got = {(k[1], k[2]): (r.up_bytes, r.call_duration_sec) for k, r in rows.items()}
     assert got == first == {("data", "video"): (101, 0), ("voice", "voice"): (0, 60)}
+
+
+def test_usage_service_wiring(spark, tmp_dir):
+    from meterflow.plans.jobs import start_usage_service
+    src = f"{tmp_dir}/in"
+    os.makedirs(src)
+    _drop(src, "cdr_data_1.csv", DATA_HDR, [f"{M},1,10,20,text,ip,u,2024-01-15 10:00:00"])
+    _drop(src, "cdr_voice_1.csv", VOICE_HDR, [f"{M},1,voice,2700,30,2024-01-15 10:00:00"])
+    q = start_usage_service(spark, src, f"{tmp_dir}/serving", f"{tmp_dir}/work", summary_path=f"{tmp_dir}/summary",
+                            available_now=True, buckets=4)
+    assert q.awaitTermination(300) and q.exception() is None
+    rows = {(r.category, r.usage_type): (r.up_bytes, r.call_duration_sec, r.total_cost_wak)
+            for r in daily.read_serving(spark, f"{tmp_dir}/serving").collect()}
+    assert rows == {("data", "text"): (10, 0, 0.0), ("voice", "voice"): (0, 30, 0.5)}
+    assert spark.read.schema("topic string, key string, value string").json(f"{tmp_dir}/summary").count() == 1
