@@ -35,10 +35,26 @@ class Split:
         return self.parsed.where(F.col(ERRORS) != "").select(*raw, ERRORS)
 
 
-def _split(wire: DataFrame, typed: dict[str, Column], required: list[str]) -> Split:
-    """``typed`` maps output column → parse expression; ``required`` must be non-NULL."""
+# Maximum lengths of the raw tables' text columns.
+MAX_LENGTHS = {
+    "cdr_data": {"msisdn": 20, "data_type": 50, "ip_address": 45, "website_url": 500},
+    "cdr_voice": {"msisdn": 20, "call_type": 50, "dest_nr": 20},
+    "ticks": {"pair_name": 10},
+}
+
+
+def _split(wire: DataFrame, typed: dict[str, Column], required: list[str],
+           max_lengths: dict[str, int] | None = None) -> Split:
+    """``typed`` maps output column → parse expression; ``required`` must be non-NULL;
+    text in ``max_lengths`` must fit its column (a longer value would not be stored)."""
     raw_cols = wire.columns
-    fails = [F.when(F.col(c).isNull(), F.lit(c)) for c in required]
+    fails = []
+    for c in typed:
+        bad = F.col(c).isNull() if c in required else F.lit(False)
+        if max_lengths and c in max_lengths:
+            bad = bad | F.coalesce(F.length(F.col(c)) > max_lengths[c], F.lit(False))
+        if c in required or (max_lengths and c in max_lengths):
+            fails.append(F.when(bad, F.lit(c)))
     x = wire.select(F.struct(*[F.col(c) for c in raw_cols]).alias("_raw"), *[e.alias(c) for c, e in typed.items()])
     x = x.select("*", F.concat_ws(",", *fails).alias(ERRORS))
     # Parse once: the good/quarantine filters must not re-run the parse.
@@ -57,7 +73,7 @@ def split_cdr_data(wire: DataFrame) -> Split:
         "website_url": F.col("website_url"),
         "event_datetime": parse_event_time("event_datetime"),
     }
-    return _split(wire, typed, ["tower_id", "up_bytes", "down_bytes", "event_datetime"])
+    return _split(wire, typed, ["tower_id", "up_bytes", "down_bytes", "event_datetime"], MAX_LENGTHS["cdr_data"])
 
 
 def split_cdr_voice(wire: DataFrame) -> Split:
@@ -70,7 +86,7 @@ def split_cdr_voice(wire: DataFrame) -> Split:
         "call_duration_sec": to_int("call_duration_sec"),
         "start_time": parse_event_time("start_time"),
     }
-    return _split(wire, typed, ["tower_id", "call_duration_sec", "start_time"])
+    return _split(wire, typed, ["tower_id", "call_duration_sec", "start_time"], MAX_LENGTHS["cdr_voice"])
 
 
 def split_ticks(wire: DataFrame) -> Split:
@@ -82,7 +98,7 @@ def split_ticks(wire: DataFrame) -> Split:
         "ask_price": F.col("ask_price").cast("double"),
         "spread": F.col("spread").cast("double"),
     }
-    return _split(wire, typed, ["tick_time", "bid_price", "ask_price"])
+    return _split(wire, typed, ["tick_time", "bid_price", "ask_price"], MAX_LENGTHS["ticks"])
 
 
 # The two request error messages of the lookup service.

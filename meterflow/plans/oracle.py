@@ -315,8 +315,12 @@ _DATA_PARSED = f"""p AS (SELECT msisdn AS r_msisdn, tower_id AS r_tower_id, up_b
           {_int('down_bytes', 'BIGINT')} AS down_bytes, data_type, ip_address, website_url,
           {_ts('event_datetime')} AS event_datetime
         FROM cdr_data_wire),
-      q AS (SELECT *, concat_ws(',', CASE WHEN tower_id IS NULL THEN 'tower_id' END,
+      q AS (SELECT *, concat_ws(',', CASE WHEN length(msisdn) > 20 THEN 'msisdn' END,
+                 CASE WHEN tower_id IS NULL THEN 'tower_id' END,
                  CASE WHEN up_bytes IS NULL THEN 'up_bytes' END, CASE WHEN down_bytes IS NULL THEN 'down_bytes' END,
+                 CASE WHEN length(data_type) > 50 THEN 'data_type' END,
+                 CASE WHEN length(ip_address) > 45 THEN 'ip_address' END,
+                 CASE WHEN length(website_url) > 500 THEN 'website_url' END,
                  CASE WHEN event_datetime IS NULL THEN 'event_datetime' END) AS errors FROM p)"""
 
 _DATA_GOOD = ("SELECT msisdn, tower_id, up_bytes, down_bytes, data_type, ip_address, website_url, event_datetime "
@@ -344,7 +348,10 @@ _VOICE_PARSED = f"""p AS (SELECT msisdn AS r_msisdn, tower_id AS r_tower_id, cal
           msisdn, {_int('tower_id')} AS tower_id, call_type, dest_nr, {_int('call_duration_sec')} AS call_duration_sec,
           {_ts('start_time')} AS start_time
         FROM cdr_voice_wire),
-      q AS (SELECT *, concat_ws(',', CASE WHEN tower_id IS NULL THEN 'tower_id' END,
+      q AS (SELECT *, concat_ws(',', CASE WHEN length(msisdn) > 20 THEN 'msisdn' END,
+                 CASE WHEN tower_id IS NULL THEN 'tower_id' END,
+                 CASE WHEN length(call_type) > 50 THEN 'call_type' END,
+                 CASE WHEN length(dest_nr) > 20 THEN 'dest_nr' END,
                  CASE WHEN call_duration_sec IS NULL THEN 'call_duration_sec' END,
                  CASE WHEN start_time IS NULL THEN 'start_time' END) AS errors FROM p)"""
 
@@ -369,7 +376,8 @@ def _():
 @oracle("ticks_typed", "tick_wire")
 def _():
     return f"""SELECT * FROM (SELECT {_ts('timestamp')} AS tick_time, pair_name, bid_price, ask_price, spread FROM tick_wire)
-      WHERE tick_time IS NOT NULL"""
+      WHERE tick_time IS NOT NULL AND bid_price IS NOT NULL AND ask_price IS NOT NULL
+        AND COALESCE(length(pair_name) <= 10, true)"""
 
 
 @oracle("cdr_to_topic_json", "cdr_data_wire")

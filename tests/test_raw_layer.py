@@ -120,3 +120,12 @@ def test_raw_writer_replay_overwrites_its_batch(spark, tmp_dir):
     raw_rows = spark.read.parquet(f"{tmp_dir}/raw")
     assert raw_rows.count() == 2 and {"ingested_at", "id"} <= set(raw_rows.columns)
     assert spark.read.parquet(f"{tmp_dir}/q").count() == 2
+
+
+def test_over_length_text_is_quarantined(spark):
+    w = spark.createDataFrame([("2" * 21, "5", "1", "2", "video", "ip", "u", "2024-01-01 00:00:01"),
+                               ("271", "5", "1", "2", "v" * 51, "ip", "u" * 501, "2024-01-01 00:00:01"),
+                               ("271", "5", "1", "2", "video", "ip", "u", "2024-01-01 00:00:01")], schemas.CDR_DATA_WIRE)
+    s = quality.split_cdr_data(w)
+    assert s.good.count() == 1
+    assert sorted(r.errors for r in s.quarantine.collect()) == ["data_type,website_url", "msisdn"]
