@@ -45,7 +45,11 @@ def parse_changes(messages: DataFrame, row: StructType, keys: list[str]) -> Data
             if f.name == "modified_ts":
                 c = F.coalesce(c, F.timestamp_millis(F.col("ts_ms")).cast("timestamp_ntz"))
         cols.append(c.cast(f.dataType).alias(f.name))
-    return x.select("op", F.col("source.lsn").alias("lsn"), *cols)
+    out = x.select("op", F.col("source.lsn").alias("lsn"), *cols)
+    # A change without its key cannot be applied to a keyed table: skip it.
+    for k in keys:
+        out = out.where(F.col(k).isNotNull())
+    return out
 
 
 def to_change_events(changes: DataFrame, row: StructType, keys: list[str], table: str) -> DataFrame:

@@ -129,3 +129,12 @@ def test_over_length_text_is_quarantined(spark):
     s = quality.split_cdr_data(w)
     assert s.good.count() == 1
     assert sorted(r.errors for r in s.quarantine.collect()) == ["data_type,website_url", "msisdn"]
+
+
+def test_change_without_key_is_skipped(spark):
+    import json
+    msgs = spark.createDataFrame([("t", "k", json.dumps({"op": "c", "after": {"owner_name": "x"}, "source": {"lsn": 1}})),
+                                  ("t", "k", json.dumps({"op": "c", "after": {"account_id": 7, "owner_name": "y"},
+                                                         "source": {"lsn": 2}}))], schemas.TOPIC_MESSAGE)
+    got = [(r.account_id, r.owner_name) for r in cdc_src.parse_changes(msgs, schemas.ACCOUNTS, ["account_id"]).collect()]
+    assert got == [(7, "y")]
