@@ -39,12 +39,15 @@ def scan_serving(spark: SparkSession, path: str, msisdn: str, start_date: str, e
                  buckets: int | None = None) -> DataFrame:
     """Keyed range scan of the serving table: one subscriber, dates inclusive.
 
-    ``date`` and the subscriber's ``bucket`` are partition columns, so only
-    one bucket of each date in range is listed and read; ``msisdn`` is
-    pushed down to the parquet row-group filter.
+    ``date`` is a partition column, so only the dates in range are listed;
+    ``msisdn`` is pushed down to the parquet row-group filter (rows are
+    sorted by msisdn inside each file). Pass the table's ``buckets`` count to
+    also prune to the subscriber's one bucket per date; without it no bucket
+    is assumed, so a table written with another count is still read right.
     """
     from ..operators.serving import bucket_of
     t = read_serving_table(spark, path)
-    cond = ((F.col("date") >= start_date) & (F.col("date") <= end_date)
-            & (F.col("bucket") == bucket_of(F.lit(msisdn), buckets)) & (F.col("msisdn") == msisdn))
+    cond = (F.col("date") >= start_date) & (F.col("date") <= end_date) & (F.col("msisdn") == msisdn)
+    if buckets:
+        cond = cond & (F.col("bucket") == bucket_of(F.lit(msisdn), buckets))
     return t.where(cond).select(*schemas.DAILY_USAGE.fieldNames())

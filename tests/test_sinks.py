@@ -37,7 +37,8 @@ def test_serving_scan_and_lookup_literal_case(spark, tmp_dir):
                                 ("2712345678", "2024-01-02", "data", "video", 7, 7, 0, 0)], TU)
     p = f"{tmp_dir}/serving"
     tables.write_daily_usage(daily_usage_rows(tu), p)
-    s = raw.scan_serving(spark, p, "2712345678", "2024-01-01", "2024-01-01")
+    assert raw.scan_serving(spark, p, "2712345678", "2024-01-01", "2024-01-01").count() == 1
+    s = raw.scan_serving(spark, p, "2712345678", "2024-01-01", "2024-01-01", buckets=64)
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "bucket" in plan.split("PartitionFilters")[1][:300]
     assert s.count() == 1
