@@ -50,6 +50,18 @@ def _reliable_checkpoint(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+def partition_filter(df: DataFrame, partition_cols: list[str]):
+    """A static predicate on ``partition_cols`` covering the partitions ``df``
+    touches, for partition pruning at planning time (joins on partition
+    columns are not pruned dynamically here). Only the distinct partition
+    values travel to the driver: at most one row per touched partition."""
+    vals = df.select(*partition_cols).distinct().collect()
+    cond = F.lit(True)
+    for c in partition_cols:
+        cond = cond & F.col(c).isin(sorted({r[c] for r in vals}))
+    return cond
+
+
 def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols: list[str],
                       sort_cols: list[str] | None = None) -> None:
     """Upsert ``rows`` into a table partitioned by ``partition_cols``: last write wins per key.
@@ -63,8 +75,10 @@ def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols
     merged = rows
     if _exists(spark, path):
         touched = rows.select(*partition_cols).distinct()
-        # Read with the rows' schema: partition values keep their type (no inference).
-        old = spark.read.schema(rows.schema).parquet(path).join(touched, partition_cols, "left_semi")
+        # Read with the rows' schema (partition values keep their type), listing
+        # only the touched partitions; the semi join keeps the exact pairs.
+        old = (spark.read.schema(rows.schema).parquet(path).where(partition_filter(rows, partition_cols))
+               .join(touched, partition_cols, "left_semi"))
         keep = old.join(rows.select(*key), key, "left_anti")
         merged = keep.unionByName(rows.select(*old.columns))
         merged = _reliable_checkpoint(merged)
@@ -98,12 +112,16 @@ def _with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
 
 
-def read_keyed(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Current rows of a keyed table (empty when it does not exist yet)."""
+def read_keyed(spark: SparkSession, path: str, schema, bucket_filter=None) -> DataFrame:
+    """Current rows of a keyed table (empty when it does not exist yet),
+    optionally only from the buckets selected by ``bucket_filter``."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     stored = T.StructType(schema.fields + [T.StructField("bucket", T.IntegerType(), True)])
-    return spark.read.schema(stored).parquet(path).select(*schema.fieldNames())
+    t = spark.read.schema(stored).parquet(path)
+    if bucket_filter is not None:
+        t = t.where(bucket_filter)
+    return t.select(*schema.fieldNames())
 
 
 def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, buckets: int = KEYED_BUCKETS) -> None:
@@ -118,8 +136,8 @@ def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, bucke
     """
     spark = changes.sparkSession
     ch = _with_key_bucket(changes, keys, buckets)
-    cur = _with_key_bucket(read_keyed(spark, path, schema), keys, buckets) \
-        .join(ch.select("bucket").distinct(), "bucket", "left_semi")
+    cur = read_keyed(spark, path, schema, bucket_filter=partition_filter(ch, ["bucket"]))
+    cur = _with_key_bucket(cur, keys, buckets)
     merged = apply_changes(cur.drop("bucket"), ch.drop("bucket"), keys)
     merged = _with_key_bucket(merged, keys, buckets)
     if _exists(spark, path):

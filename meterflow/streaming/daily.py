@@ -24,7 +24,7 @@ from ..operators.serving import daily_summary, daily_usage_rows, SERVING_COLUMNS
 from ..sources.raw import read_serving_table
 from ..operators.usage import usage_stream
 from ..session import use_rocksdb_state
-from ..sinks.tables import write_daily_usage
+from ..sinks.tables import partition_filter, write_daily_usage
 from ..sinks.topics import to_messages
 
 TYPE_USAGE_COLUMNS = ["msisdn", "date", "category", "usage_type", "up_bytes", "down_bytes",
@@ -60,10 +60,10 @@ def serving_writer(serving_path: str, summary_path: str | None = None, buckets:
             write_daily_usage(daily_usage_rows(batch), serving_path, buckets)
             if summary_path:
                 spark = batch.sparkSession
-                # Join on the partition columns too, so dynamic partition pruning
-                # reads only the touched (date, bucket) partitions.
+                # Only the touched (date, bucket) partitions are listed and read.
                 touched = with_bucket(batch.select("msisdn", "date").distinct(), buckets)
                 rows = (read_serving_table(spark, serving_path)
+                        .where(partition_filter(touched, ["date", "bucket"]))
                         .join(touched, ["date", "bucket", "msisdn"], "left_semi").select(*SERVING_COLUMNS))
                 summ = daily_summary(rows.select(*TYPE_USAGE_COLUMNS))
                 (to_messages(summ, "cdr-usage-summary", "msisdn")

@@ -73,3 +73,22 @@ def test_lookup_response_body_shape(spark):
                        "start_time": "2024-01-01 00:00:00"}]},
         2: {"msisdn": "2799999999", "start_time": "2024-01-01 00:00:00", "end_time": "2024-01-01 23:59:59",
             "usage": []}}
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
+    from meterflow.operators.serving import with_bucket
+    rows = [(f"27{i:08d}", f"2024-01-{1 + i % 20:02d}", "data", "video", i, i, 0, 0) for i in range(400)]
+    p = f"{tmp_dir}/serving"
+    tables.write_daily_usage(daily_usage_rows(spark.createDataFrame(rows, TU)), p, buckets=8)
+    batch = with_bucket(daily_usage_rows(spark.createDataFrame(rows[:2], TU)), 8)
+    read = raw.read_serving_table(spark, p).where(tables.partition_filter(batch, ["date", "bucket"]))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    pf = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "date" in pf and "bucket" in pf
+    # Two touched (date, bucket) pairs: at most 2 dates x 2 buckets are listed, not 20 x 8.
+    assert read.select("date", "bucket").distinct().count() <= 4
+    tables.write_daily_usage(daily_usage_rows(spark.createDataFrame([("2700000000", "2024-01-01", "data", "video",
+                                                                      99, 99, 0, 0)], TU)), p, buckets=8)
+    after = raw.read_serving_table(spark, p)
+    assert after.count() == 400
+    assert after.where("msisdn = '2700000000'").first().up_bytes == 99
