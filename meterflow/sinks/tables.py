@@ -136,16 +136,17 @@ def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, bucke
     """
     spark = changes.sparkSession
     ch = _with_key_bucket(changes, keys, buckets)
-    cur = read_keyed(spark, path, schema, bucket_filter=partition_filter(ch, ["bucket"]))
+    exists = _exists(spark, path)
+    cur = read_keyed(spark, path, schema, bucket_filter=partition_filter(ch, ["bucket"]) if exists else None)
     cur = _with_key_bucket(cur, keys, buckets)
     merged = apply_changes(cur.drop("bucket"), ch.drop("bucket"), keys)
     merged = _with_key_bucket(merged, keys, buckets)
-    if _exists(spark, path):
+    if exists:
         merged = _reliable_checkpoint(merged)
     touched = ch.select("bucket").distinct()
     # Buckets whose keys were all deleted must still be rewritten (as empty).
     empty = touched.join(merged.select("bucket").distinct(), "bucket", "left_anti")
-    if _exists(spark, path) and not empty.isEmpty():
+    if exists and not empty.isEmpty():
         _clear_partitions(spark, path, [r.bucket for r in empty.collect()])
     (merged.hint("rebalance", "bucket").sortWithinPartitions(*keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
