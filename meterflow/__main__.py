@@ -30,8 +30,8 @@ def main(argv: list[str] | None = None) -> None:
     if a.cmd == "marts":
         jobs.refresh_marts(spark, a.raw, a.out)
     elif a.cmd == "persist":
-        for q in jobs.start_persistence(spark, a.raw, a.work, a.format, a.topics_path, a.bootstrap):
-            q.awaitTermination()
+        jobs.start_persistence(spark, a.raw, a.work, a.format, a.topics_path, a.bootstrap)
+        spark.streams.awaitAnyTermination()     # any stream failing stops the service
     else:
         jobs.start_usage_service(spark, a.drops, a.serving, a.work, summary_path=a.summary).awaitTermination()
 
