@@ -120,3 +120,24 @@ def test_neighbours_multiple_keys_and_null_times_last(spark):
     got = {(r.k, r.v): (r.prev_v, r.next_v) for r in neighbours(df, ["k"], ["t"], ["v"], "c").collect()}
     # NULL times sort last, as in SQL.
     assert got == {("a", 1): (None, 2), ("a", 2): (1, 3), ("a", 3): (2, None), ("b", 7): (None, None)}
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1, 3), st.integers(0, 60 * 30)), min_size=1, max_size=80))
+def test_sessions_and_pairs_per_subscriber(spark, pts):
+    """Several subscribers interleaved in time: each one's runs and pairs are its own."""
+    base = datetime(2024, 1, 1)
+    rows = [(f"27{s:08d}", t, 1, 1, "text", (base + timedelta(minutes=m)).strftime("%Y-%m-%d %H:%M:%S"))
+            for s, t, m in pts]
+    d = cdr_data(spark, rows)
+    got_s = sorted((r.msisdn, r.tower_id, r.session_start, r.session_end)
+                   for r in sessions.tower_sessions(d, empty_voice(spark)).collect())
+    got_p = {(r.msisdn, r.tower_id, r.session_start): (r.end_count, r.first_end, r.last_end)
+             for r in sessions.session_pair_summary(d, empty_voice(spark)).collect()}
+    want_s, want_p = [], {}
+    for s in sorted({p[0] for p in pts}):
+        path = [(t, base + timedelta(minutes=m)) for s2, t, m in pts if s2 == s]
+        want_s += [(f"27{s:08d}", t, a, b) for t, a, b in _brute(path)]
+        want_p.update({(f"27{s:08d}", t, x): v[:3] for (t, x), v in _brute_pairs(path).items()})
+    assert got_s == sorted(want_s)
+    assert got_p == want_p

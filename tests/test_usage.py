@@ -108,3 +108,31 @@ def test_python_cents_match_spark_cents(spark):
     got = df.select("b", "s", usage.data_cents("b"), usage.voice_cents("s"), usage.total_cents("b", "s")).collect()
     for r in got:
         assert tuple(r)[2:] == usage.cents_of(r.b, r.s)
+
+
+def test_rollup_equals_brute_force(spark):
+    import random
+    from collections import defaultdict
+    from datetime import datetime, timedelta
+    rnd = random.Random(3)
+    base = datetime(2024, 1, 1)
+    data = [(f"27{rnd.randint(0, 3):08d}", 1, rnd.randint(1, 9), rnd.randint(1, 9), rnd.choice(["video", "text"]),
+             (base + timedelta(seconds=rnd.randint(0, 6 * 3600))).strftime("%Y-%m-%d %H:%M:%S")) for _ in range(300)]
+    voice = [(f"27{rnd.randint(0, 3):08d}", 1, rnd.choice(["voice", "video"]), rnd.randint(1, 99),
+              (base + timedelta(seconds=rnd.randint(0, 6 * 3600))).strftime("%Y-%m-%d %H:%M:%S")) for _ in range(200)]
+    want = defaultdict(lambda: [0, 0, 0, 0])
+    for tag, n in usage.INTERVALS:
+        for m, _, up, down, typ, t in data:
+            ts = datetime.strptime(t, "%Y-%m-%d %H:%M:%S")
+            b = ts.replace(minute=(ts.minute // n) * n if n < 60 else 0, second=0)
+            w = want[(tag, m, b, typ, "data")]
+            w[0] += up; w[1] += down; w[3] += 1
+        for m, _, typ, sec, t in voice:
+            ts = datetime.strptime(t, "%Y-%m-%d %H:%M:%S")
+            b = ts.replace(minute=(ts.minute // n) * n if n < 60 else 0, second=0)
+            w = want[(tag, m, b, typ, "voice")]
+            w[2] += sec; w[3] += 1
+    got = {(r.interval_type, r.msisdn, r.datetime, r.usage_type, r.category):
+           [r.total_up_bytes, r.total_down_bytes, r.call_duration_sec, r.session_count]
+           for r in usage.usage_rollup(cdr_data(spark, data), cdr_voice(spark, voice)).collect()}
+    assert got == dict(want)
