@@ -86,7 +86,9 @@ def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols
     # ``rebalance`` lets AQE split a hot partition instead of one task writing it.
     out = merged.hint("rebalance", *partition_cols)
     if sort_cols:
-        out = out.sortWithinPartitions(*sort_cols)
+        # Partition columns first: the partitioned writer needs that order, and
+        # would otherwise re-sort and lose the clustering inside each file.
+        out = out.sortWithinPartitions(*partition_cols, *sort_cols)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(path))
 
@@ -148,7 +150,7 @@ def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, bucke
     empty = touched.join(merged.select("bucket").distinct(), "bucket", "left_anti")
     if exists and not empty.isEmpty():
         _clear_partitions(spark, path, [r.bucket for r in empty.collect()])
-    (merged.hint("rebalance", "bucket").sortWithinPartitions(*keys).write.mode("overwrite")
+    (merged.hint("rebalance", "bucket").sortWithinPartitions("bucket", *keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
 
 

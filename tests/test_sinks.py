@@ -92,3 +92,21 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
     after = raw.read_serving_table(spark, p)
     assert after.count() == 400
     assert after.where("msisdn = '2700000000'").first().up_bytes == 99
+
+
+def test_serving_files_are_clustered_by_key(spark, tmp_dir):
+    import glob
+    import random
+    import pyarrow.parquet as pq
+    rnd = random.Random(2)
+    rows = [(f"27{rnd.randint(0, 50):08d}", "2024-01-01", rnd.choice(["data", "voice"]), rnd.choice(["video", "text", "voice"]),
+             rnd.randint(0, 9), 1, 1, 1) for _ in range(300)]
+    tu = spark.createDataFrame(rows, TU).dropDuplicates(["msisdn", "date", "category", "usage_type"])
+    p = f"{tmp_dir}/serving"
+    tables.write_daily_usage(daily_usage_rows(tu), p, buckets=2)
+    files = glob.glob(f"{p}/date=*/bucket=*/*.parquet")
+    assert files
+    for f in files:
+        t = pq.read_table(f).to_pydict()
+        keys = list(zip(t["msisdn"], t["hour"], t["category"], t["usage_type"]))
+        assert keys == sorted(keys)
