@@ -1,7 +1,10 @@
 """CSV call-detail drops (A1, A2, A3).
 
 Every field is read as text with an explicit schema (no inference); typing
-happens in ``operators.quality``. The streaming form keeps the list of
+happens in ``operators.quality``. Columns are taken in the drops' fixed
+order: the header row is skipped, not matched by name, and a file with fewer
+columns yields NULLs for the missing ones (which the typed parse then
+quarantines). The streaming form keeps the list of
 processed files in the query checkpoint, so a restart neither loses nor
 repeats a file (the fixed form of a set held in memory).
 """
