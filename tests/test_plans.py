@@ -49,3 +49,16 @@ def test_crm_fan_out_join_is_a_splittable_inner_join(spark):
     plan = E.queries()["crm_flattened"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     main = [l for l in plan.splitlines() if "Join" in l and "_jk0" in l and "LeftAnti" not in l]
     assert main and "SortMergeJoin" in main[0] and "Inner" in main[0]
+
+
+@pytest.mark.parametrize("key", ["topic_json_parse", "ticks_typed", "cdc_parse_changes", "cdc_latest_accounts"])
+def test_json_parsed_once(spark, key):
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+@pytest.mark.parametrize("key", ["cdr_data_typed", "cdr_quarantine"])
+def test_typed_parse_once(spark, key):
+    plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # Four typed fields, one regex guard each: nothing re-evaluated inside filters.
+    assert plan.count("RLIKE") == 4

@@ -134,3 +134,12 @@ def test_usage_service_wiring(spark, tmp_dir):
             for r in daily.read_serving(spark, f"{tmp_dir}/serving").collect()}
     assert rows == {("data", "text"): (10, 0, 0.0), ("voice", "voice"): (0, 30, 0.5)}
     assert spark.read.schema("topic string, key string, value string").json(f"{tmp_dir}/summary").count() == 1
+
+
+def test_state_lives_in_rocksdb(spark, tmp_dir):
+    src, base = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    os.makedirs(src)
+    _drop(src, "cdr_data_1.csv", DATA_HDR, [f"{M},1,10,20,text,ip,u,2024-01-15 10:00:00"])
+    _, progress = _run(spark, src, base)
+    metrics = progress[-1]["stateOperators"][0]["customMetrics"]
+    assert any(k.startswith("rocksdb") for k in metrics), sorted(metrics)
