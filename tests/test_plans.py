@@ -62,3 +62,13 @@ def test_typed_parse_once(spark, key):
     plan = E.queries()[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     # Four typed fields, one regex guard each: nothing re-evaluated inside filters.
     assert plan.count("RLIKE") == 4
+
+
+def test_interactions_dedupe_map_side(spark):
+    from meterflow.operators import sessions
+    from meterflow.sources.fixtures import load
+    df = sessions.interactions(load(spark, SF, "cdr_data"), load(spark, SF, "cdr_voice"))
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    # A partial HashAggregate under the first shuffle: copies collapse before it.
+    assert any("HashAggregate" in line for line in lines[ex + 1:])
