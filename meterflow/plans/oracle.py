@@ -383,9 +383,9 @@ def _():
 @oracle("cdr_to_topic_json", "cdr_data_wire")
 def _():
     return """SELECT 'cdr-data' AS topic, CASE WHEN msisdn <> '' THEN msisdn END AS key,
-        to_json({'msisdn': msisdn, 'tower_id': tower_id, 'up_bytes': up_bytes, 'down_bytes': down_bytes,
+        CAST(to_json({'msisdn': msisdn, 'tower_id': tower_id, 'up_bytes': up_bytes, 'down_bytes': down_bytes,
                  'data_type': data_type, 'ip_address': ip_address, 'website_url': website_url,
-                 'event_datetime': event_datetime}) AS value
+                 'event_datetime': event_datetime}) AS VARCHAR) AS value
       FROM cdr_data_wire"""
 
 
@@ -536,9 +536,9 @@ def _():
                                  'measure': measure, 'start_time': start_time}
                                 ORDER BY category, usage_type, total, measure, start_time) AS usage
         FROM hits GROUP BY request_id)
-      SELECT r.request_id, to_json({'msisdn': r.msisdn, 'start_time': strftime(r.st, '%Y-%m-%d %H:%M:%S'),
+      SELECT r.request_id, CAST(to_json({'msisdn': r.msisdn, 'start_time': strftime(r.st, '%Y-%m-%d %H:%M:%S'),
                                     'end_time': strftime(r.et, '%Y-%m-%d %H:%M:%S'),
-                                    'usage': COALESCE(a.usage, [])}) AS response
+                                    'usage': COALESCE(a.usage, [])}) AS VARCHAR) AS response
       FROM req2 r LEFT JOIN agg a ON r.request_id = a.request_id
       WHERE r.error IS NULL"""
 
@@ -555,9 +555,9 @@ def _():
           CAST(SUM(CASE WHEN category = 'data' THEN up_bytes + down_bytes ELSE 0 END) AS BIGINT) AS b,
           CAST(SUM(CASE WHEN category = 'voice' THEN call_duration_sec ELSE 0 END) AS BIGINT) AS s
         FROM tu GROUP BY msisdn, date)
-      SELECT msisdn, date, to_json({{'msisdn': msisdn, 'date': date, 'data_usage': data_usage,
+      SELECT msisdn, date, CAST(to_json({{'msisdn': msisdn, 'date': date, 'data_usage': data_usage,
           'voice_usage': voice_usage,
           'costs': {{'data_cost_wak': CAST({_cents_data('b')} AS DOUBLE) / 100,
                     'voice_cost_wak': CAST({_cents_voice('s')} AS DOUBLE) / 100,
-                    'total_cost_wak': CAST({_cents_total('b', 's')} AS DOUBLE) / 100}}}}) AS summary
+                    'total_cost_wak': CAST({_cents_total('b', 's')} AS DOUBLE) / 100}}}}) AS VARCHAR) AS summary
       FROM s"""

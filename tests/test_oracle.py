@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracle import TABLES, digest  # noqa: E402
+from check_oracle import TABLES, digest, type_diffs  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 ORACLE = E.oracle_sql()
@@ -32,6 +32,7 @@ def test_job_matches_oracle(spark, con, key):
         assert df.columns
         return
     cur = con.execute(ORACLE[key])
+    assert type_diffs(df, cur) == []
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
