@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import exact_dedup, license_scan, mixing, secret_scan, url_filter
-from .common import table
+from . import decontaminate, exact_dedup, lang_id, license_scan, mixing, secret_scan, token_counts, url_filter
+from .common import fold, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,6 +27,14 @@ def op1_license_scan(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+@query
+def op3_token_counts(spark, sf):
+    """Tokens of every document, counted in flat files made from the table."""
+    docs, path = table(spark, sf, "documents"), shared_dir(spark, "flat")
+    token_counts.write_flat(docs, path)
+    return token_counts.by_document(docs, token_counts.count(spark, path)).select("doc_id", "part", "ordinal", "n_tokens", "closed")
+
+
 @query
 def op4_mix_sources(spark, sf):
     """How often each document is read when sources are mixed by temperature."""
@@ -35,12 +43,27 @@ def op4_mix_sources(spark, sf):
                        F.round("weight", 6).alias("weight"), "copies", "block", "block_rank", "offset")
 
 
+@query
+def op5_language_id(spark, sf):
+    """Language of every document; rows of fold 0 are held out."""
+    docs = table(spark, sf, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = lang_id.fit(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return lang_id.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
 @query
 def op7_secret_scan(spark, sf):
     """Secrets of every document's text."""
     return secret_scan.report(secret_scan.scan(table(spark, sf, "documents")))
 
 
+@query
+def op8_decontaminate(spark, sf):
+    """Documents that hold a benchmark item."""
+    return decontaminate.find_items(table(spark, sf, "documents"), table(spark, sf, "benchmark"), [F.col("doc_id")])
+
+
 @query
 def op9_exact_dedup(spark, sf):
     """Groups of equal texts; the largest doc_id of each stays."""
