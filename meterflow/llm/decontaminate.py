@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 WORDS = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
-K1, B, BLOCK, GROUPS = 1.2, 0.75, 16, 64
+K1, B, BLOCK, GROUPS = 1.2, 0.75, 16, 32
 
 
 def words_of(text: str | None) -> list[str]:
