@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import decontaminate, exact_dedup, lang_id, license_scan, mixing, secret_scan, token_counts, url_filter
+from . import decontaminate, exact_dedup, lang_id, license_scan, lm_score, mixing, secret_scan, token_counts, url_filter
 from .common import fold, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,13 @@ def op1_license_scan(spark, sf):
     return license_scan.scan(table(spark, sf, "documents"))
 
 
+@query
+def op2_lm_score(spark, sf):
+    """Log10 probability of every document; rows of fold 2 are held out."""
+    held_out = fold(F.col("doc_id"), 7) == 2
+    return lm_score.score(table(spark, sf, "documents"), [F.col("doc_id"), held_out.alias("held_out")], ~held_out)
+
+
 @query
 def op3_token_counts(spark, sf):
     """Tokens of every document, counted in flat files made from the table."""

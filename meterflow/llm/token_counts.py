@@ -20,19 +20,20 @@ an empty table gives no file or an empty one, and no row; other columns are igno
 from __future__ import annotations
 
 import base64
-import os
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from .common import save
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed values of that vocabulary: its pattern of words, its end-of-document identifier.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 END = 50256
 DTYPE = np.dtype("<u2")
-WHOLE_FILE = 256 << 20   # files up to this size are read by Spark; larger ones in ranges
+WHOLE_FILE = 64 << 20   # files up to this size are read by Spark; larger ones in ranges
 DOC = "file string, block long, rank long, tokens long, closed boolean"
 
 
@@ -46,8 +47,10 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, end: in
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
         coder = tiktoken.Encoding("flat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(
-                [np.array(coder.encode_ordinary(t or ""), DTYPE).tobytes() for t in batch.column(0).to_pylist()], pa.binary())], ["value"])
+            for at in range(0, batch.num_rows, 128):
+                texts = batch.column(0)[at:at + 128].to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array(
+                    [np.array(coder.encode_ordinary(t or ""), DTYPE).tobytes() for t in texts], pa.binary())], ["value"])
 
     separator = end.to_bytes(2, "little").decode("latin-1")
     tokens = docs.select("text").mapInArrow(encode, "value binary").select(F.col("value").cast("string"))
@@ -100,6 +103,7 @@ def count(spark: SparkSession, path: str, end: int = END, block_tokens: int = 1
         F.col("path").alias("file"), F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 2) / (2 * block_tokens)))).alias("block"))
     if not large.isEmpty():
         found = small.unionByName(large.repartition("file", "block").mapInArrow(_scan_range(block_tokens, end), DOC))
+    found = save(found, "token-pieces")
     # The prefix scan: documents closed in the blocks before. Blocks are one row each here.
     ends = found.groupBy("file", "block").agg(F.sum(F.col("closed").cast("long")).alias("ends"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
