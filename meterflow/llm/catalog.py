@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import decontaminate, exact_dedup, lang_id, license_scan, lm_score, mixing, secret_scan, token_counts, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, lang_id, license_scan, lm_score, mixing, secret_scan, token_counts, url_filter
 from .common import fold, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,12 @@ def op5_language_id(spark, sf):
     return lang_id.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+@query
+def op6_jaccard_join(spark, sf):
+    """Components of documents linked by shingle similarity."""
+    return jaccard_join.components(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op7_secret_scan(spark, sf):
     """Secrets of every document's text."""
