@@ -44,7 +44,7 @@ LOW = str.maketrans(UPPER, LOWER)
 N, NUM, DEN = 5, 80, 100          # words of a shingle; the similarity NUM / DEN
 SLOT_BITS = 25                    # the frequency table: 2**SLOT_BITS bytes
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16)
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 4
 
 
 class Shingler:
@@ -53,7 +53,7 @@ class Shingler:
     def __init__(self, most: int = 400_000):
         self.most, self.seen = most, {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def __call__(self, text: str | None, distinct: bool = True) -> np.ndarray:
         words = WORDS.findall(text.translate(LOW)) if text else []
         if not words:
             return np.zeros(0, np.uint64)
@@ -68,18 +68,8 @@ class Shingler:
             code = (code ^ h[k:len(h) - n + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
             code ^= code >> np.uint64(29)
         code *= np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique(code ^ (code >> np.uint64(32)))
-
-
-def _signed(batches):
-    make = Shingler()
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            sets = [make(t) for t in part.column(1).to_pylist()]
-            keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())],
-                                             ["id", "n_shingles", "key"])
+        code ^= code >> np.uint64(32)
+        return np.unique(code) if distinct else code
 
 
 def _fingerprints(bits: int):
@@ -97,7 +87,7 @@ def _fingerprints(bits: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for t in batch.column(0)[at:at + 256].to_pylist():
-                    held.append(make(t))
+                    held.append(make(t, distinct=False))   # a repeat within a text may only cost a candidate
                     size += len(held[-1])
                     if size > 4_000_000:
                         yield flushed()
@@ -107,9 +97,10 @@ def _fingerprints(bits: int):
     return run
 
 
-def frequency_levels(docs: DataFrame, total: int, slot_bits: int = SLOT_BITS) -> np.ndarray:
+def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
     """Per slot (the top bits of a hash) the log2 of the largest frequency in it, 0 if all occur once."""
-    # Ranges of about two million occurrences each: a task's share follows neither the corpus nor a shingle.
+    total = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    # Ranges of about two million occurrences each, by the texts' bytes: a task's share doesn't follow the corpus.
     bits = min(max(6, math.ceil(math.log2(max(1, total) / (1 << 21)))), slot_bits - 4)
 
     def levels(key, rows):
@@ -146,16 +137,15 @@ def _prefixes(shared, slot_bits: int):
         make, levels = Shingler(), shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                ids, out = batch.column(0)[at:at + 256].to_pylist(), []
-                for i, t in zip(ids, batch.column(1)[at:at + 256].to_pylist()):
-                    s = make(t)
-                    if len(s):
-                        asked, tokens = prefix(s, levels, slot_bits)
-                        if len(tokens):
-                            out.append((i, xxhash.xxh3_128_digest(s.tobytes()), len(s), asked, tokens.view(np.int64), s.tobytes()))
-                kinds = (batch.schema.types[0], pa.binary(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)],
-                                                 ["id", "key", "n", "asked", "tokens", "hashes"])
+                part, out = batch.slice(at, 256), []
+                for t in part.column(1).to_pylist():
+                    h = make(t)
+                    asked, tokens = prefix(h, levels, slot_bits) if len(h) else (0, h)
+                    key = xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None
+                    out.append((len(h), key, asked, *((tokens.view(np.int64), h.tobytes()) if len(tokens) else (None, None))))
+                kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]],
+                                                 ["id", "n", "key", "asked", "tokens", "hashes"])
     return run
 
 
@@ -180,10 +170,11 @@ def _sizes_fit(x: str, y: str):
     return (F.col(x) * DEN >= F.col(y) * NUM) & (F.col(y) * DEN >= F.col(x) * NUM)
 
 
-def _open_groups(members: DataFrame) -> DataFrame:
-    """(token, leader) of the shingles whose sets have different labels."""
-    groups = members.groupBy("token").agg(F.min(F.struct("label", "key", "n")).alias("leader"), F.max("label").alias("last"))
-    return groups.filter(F.col("leader.label") != F.col("last")).select("token", "leader")
+def _open_groups(members: DataFrame, turn: int) -> DataFrame:
+    """(token, leader) of the shingles whose sets have different labels; a leader is drawn by hash in each turn."""
+    drawn = F.struct(F.xxhash64("key", F.lit(turn)).alias("draw"), "label", "key", "n")
+    groups = members.groupBy("token").agg(F.min(drawn).alias("leader"), F.min("label").alias("first"), F.max("label").alias("last"))
+    return groups.filter("first <> last").select("token", "leader")
 
 
 def link_classes(sets: DataFrame) -> DataFrame:
@@ -191,19 +182,21 @@ def link_classes(sets: DataFrame) -> DataFrame:
     index = save(sets.select(F.explode("tokens").alias("token"), "key", "n", "asked"), "jaccard-index")
     nodes = sets.select("key")
     labels, links = nodes.select("key", F.col("key").alias("label")), None
-    for _ in range(LEADER_ROUNDS):
+    for turn in range(LEADER_ROUNDS):   # only saves pairs below: what is still open after them is compared in full
         members = index.join(labels, "key")
-        open_ = save(_open_groups(members), "jaccard-groups")
+        open_ = save(_open_groups(members, turn), "jaccard-groups")
         if open_.isEmpty():
             return labels
         met = members.join(open_, "token").filter((F.col("label") != F.col("leader.label")) & _sizes_fit("n", "leader.n"))
         met = met.groupBy(F.col("leader.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("times"))
         pairs = met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
         found = save(verify(pairs, sets), "jaccard-links")
+        if found.isEmpty():
+            break
         links = found if links is None else links.unionByName(found)
         labels = save(connect(nodes, links), "jaccard-labels")
     members = index.join(labels, "key")
-    open_ = save(_open_groups(members), "jaccard-groups")
+    open_ = save(_open_groups(members, LEADER_ROUNDS), "jaccard-groups")
     members = members.join(open_.select("token"), "token")
     left, right = (members.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "asked", "label")]) for s in "ab")
     pairs = left.join(right, "token").filter((F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & _sizes_fit("n_a", "n_b"))
@@ -212,20 +205,21 @@ def link_classes(sets: DataFrame) -> DataFrame:
     found = save(verify(pairs, sets), "jaccard-links")
     if found.isEmpty():
         return labels
-    return save(connect(nodes, links.unionByName(found)), "jaccard-labels")
+    return save(connect(nodes, found if links is None else links.unionByName(found)), "jaccard-labels")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", slot_bits: int = SLOT_BITS) -> DataFrame:
     """Per row: id, n_shingles, component_id (the smallest identifier that links reach)."""
     spark, rows = docs.sparkSession, docs.select(F.col(id_col).alias("id"), "text")
     kind = rows.schema["id"].dataType.simpleString()
-    signed = save(rows.mapInArrow(_signed, f"id {kind}, n_shingles long, key binary"), "jaccard-signed")
-    total = signed.agg(F.sum("n_shingles")).first()[0] or 0
-    classes = save(signed.filter("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "jaccard-classes")
-    shared = spark.sparkContext.broadcast(frequency_levels(rows, total, slot_bits))
-    found = rows.mapInArrow(_prefixes(shared, slot_bits), f"id {kind}, key binary, n long, asked int, tokens array<long>, hashes binary")
+    shared = spark.sparkContext.broadcast(frequency_levels(rows, slot_bits))
+    signed = save(rows.mapInArrow(_prefixes(shared, slot_bits), f"id {kind}, n long, key binary, asked int, tokens array<long>, hashes binary"),
+                  "jaccard-signed")
+    classes = save(signed.filter("n > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "jaccard-classes")
+    found = signed.filter("tokens is not null")
     same = (found["key"] == classes["key"]) & found["id"].eqNullSafe(classes["least"])
     sets = save(found.join(classes, same, "left_semi").dropDuplicates(["key"]).drop("id"), "jaccard-sets")
+    signed = signed.select("id", F.col("n").alias("n_shingles"), "key")
     labels = link_classes(sets)
     least = labels.join(classes, "key").groupBy("label").agg(F.min("least").alias("component_id"))
     linked = labels.join(least, "label").select("key", "component_id")
