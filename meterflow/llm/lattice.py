@@ -27,34 +27,33 @@ def _hash(piece: str) -> int:
     return int(code[0])
 
 
-def logsumexp(x: np.ndarray, axis: int = 0) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    top = np.where(np.isfinite(top), top, 0.0)
-    with np.errstate(divide="ignore"):
-        return np.log(np.exp(x - top).sum(axis=axis)) + np.squeeze(top, axis)
-
-
 class Lattice:
-    """``pieces`` in order of their hashes, natural-log ``scores`` alike, ``byte_scores`` of the 256 bytes."""
+    """``pieces``, their natural-log ``scores``, and ``byte_scores`` of the 256 bytes."""
 
     def __init__(self, pieces: list[str], scores: np.ndarray, byte_scores: np.ndarray):
-        hashes = np.array([_hash(p) for p in pieces], np.uint64)
-        order = np.argsort(hashes)
-        self.pieces, self.hashes = [pieces[i] for i in order], hashes[order]
-        self.scores, self.byte_scores = np.asarray(scores, float)[order], np.asarray(byte_scores, float)
-        self.longest = max(map(len, pieces), default=1)
-
-    def _arcs(self, chars: np.ndarray):
-        """For words (rows) of one length: per start and end, the piece (-1: none) and its log score."""
-        n = chars.shape[1]
-        for i in range(n):
-            code = np.zeros(len(chars), np.uint64)
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                code = _roll(code, chars[:, j - 1])
-                at = np.minimum(np.searchsorted(self.hashes, code), len(self.hashes) - 1)
-                hit = self.hashes[at] == code
-                if hit.any() or j == i + 1:
-                    yield i, j, np.where(hit, at, -1), np.where(hit, self.scores[at], -np.inf)
+        self.pieces, self.scores, self.byte_scores = list(pieces), np.asarray(scores, float), np.asarray(byte_scores, float)
+        # Hashes of all beginnings of pieces, in order, with the piece that one is, or -1.
+        begins: dict[int, int] = {}
+        for n, piece in enumerate(self.pieces):
+            for k in range(1, len(piece)):
+                begins.setdefault(_hash(piece[:k]), -1)
+            begins[_hash(piece)] = n
+        self.begins = np.array(sorted(begins), np.uint64)
+        self.piece_of = np.array([begins[int(h)] for h in self.begins], np.int64)
+
+    def _arcs(self, chars: np.ndarray, i: int):
+        """For words (rows) of one length: per end of a piece that starts at ``i``, the rows that have one there, and the pieces."""
+        rows, code = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
+        for j in range(i + 1, chars.shape[1] + 1):
+            code = _roll(code, chars[rows, j - 1])
+            at = np.minimum(np.searchsorted(self.begins, code), len(self.begins) - 1)
+            goes = self.begins[at] == code
+            rows, code, piece = rows[goes], code[goes], self.piece_of[at[goes]]
+            if not len(rows):
+                return
+            ends = piece >= 0
+            if ends.any():
+                yield j, rows[ends], piece[ends]
 
     def _bytes(self, chars: np.ndarray) -> np.ndarray:
         """Log score of each character as its bytes."""
@@ -74,24 +73,29 @@ class Lattice:
         return out, uses, byte_uses
 
     def _group(self, chars, counts, uses, byte_uses) -> np.ndarray:
-        n, single, arcs = chars.shape[1], self._bytes(chars), list(self._arcs(chars)) if counts is not None else None
+        n, single = chars.shape[1], self._bytes(chars)
+        arcs = [list(self._arcs(chars, i)) if len(self.begins) else [] for i in range(n)]
         alpha = np.full((n + 1, len(chars)), -np.inf)
         alpha[0] = 0.0
-        for i, j, _, score in arcs if arcs is not None else self._arcs(chars):
-            if j == i + 1:      # all that ends at i is in
-                score = np.logaddexp(score, single[:, i])
-            alpha[j] = np.logaddexp(alpha[j], alpha[i] + score)
+        for i in range(n):      # all that ends at i is in
+            alpha[i + 1] = np.logaddexp(alpha[i + 1], alpha[i] + single[:, i])
+            for j, rows, piece in arcs[i]:
+                alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + self.scores[piece])
         if counts is not None:
-            beta = np.full((n + 1, len(chars)), -np.inf)
+            beta, used, much = np.full((n + 1, len(chars)), -np.inf), [], []
             beta[n] = 0.0
-            for i, j, piece, score in reversed(arcs):
-                both = np.logaddexp(score, single[:, i]) if j == i + 1 else score
-                beta[i] = np.logaddexp(beta[i], both + beta[j])
-            for i, j, piece, score in arcs:
-                use = np.exp(alpha[i] + score + beta[j] - alpha[n]) * counts
-                uses += np.bincount(np.maximum(piece, 0), weights=np.where(piece >= 0, use, 0.0), minlength=len(uses))
+            for i in reversed(range(n)):
+                beta[i] = single[:, i] + beta[i + 1]
+                for j, rows, piece in arcs[i]:
+                    onward = self.scores[piece] + beta[j, rows]
+                    beta[i, rows] = np.logaddexp(beta[i, rows], onward)
+                    used.append(piece)
+                    much.append(np.exp(alpha[i, rows] + onward - alpha[n, rows]) * counts[rows])
+            if used:
+                uses += np.bincount(np.concatenate(used), weights=np.concatenate(much), minlength=len(uses))
             chance = np.exp(alpha[:-1].T + single + beta[1:].T - alpha[n][:, None]) * counts[:, None]
-            for c in np.unique(chars):
+            distinct, place = np.unique(chars, return_inverse=True)
+            for c, x in zip(distinct, np.bincount(place.ravel(), weights=chance.ravel())):
                 for b in chr(int(c)).encode("utf-8", "replace"):
-                    byte_uses[b] += chance[chars == c].sum()
+                    byte_uses[b] += x
         return alpha[n]
