@@ -19,7 +19,7 @@ def latest_by_key(changes: DataFrame, keys: list[str], order: tuple[str, ...] =
     cols = [c for c in changes.columns if c not in keys]
     g = changes.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_l"))
     out = g.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
-    return out if keep_deletes else out.where(F.col("op") != "d")
+    return out if keep_deletes else out.where(~F.col("op").eqNullSafe("d"))   # a change without op is an upsert
 
 
 def apply_changes(current: DataFrame, changes: DataFrame, keys: list[str],

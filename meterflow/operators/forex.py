@@ -1,7 +1,7 @@
 """Price ticks → OHLC candles and indicators (mart 4: C2, E7, F2-F4, B9).
 
 Prices carry four decimals, so the mid price ``(bid + ask) / 2`` is exact in
-units of 1/20000. Candles and moving averages work on those integer units and
+units of 1/2000000. Candles and moving averages work on those integer units and
 convert to a price once at the end; sums then do not depend on the order in
 which a distributed aggregate adds them.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.timebuckets import bucket_start
 from ..session import reliable_checkpoint
 
-MID_SCALE = 20000            # mid price units per 1.0
+MID_SCALE = 2_000_000         # mid price units per 1.0: exact for quotes of up to six decimals
 # Timeframe tags and their widths in minutes; indicator lengths.
 TIMEFRAMES = (("M1", 1), ("M30", 30), ("H1", 60))
 SHORT, LONG = 8, 21
@@ -27,22 +27,15 @@ def _price(units: Column) -> Column:
 
 
 def with_mid(ticks: DataFrame) -> DataFrame:
-    """Adds ``mid_units`` (exact, 1/20000) and ``mid_price``."""
+    """Adds ``mid_units`` (exact, 1/2000000) and ``mid_price``."""
     units = F.round((F.col("bid_price") + F.col("ask_price")) * (MID_SCALE // 2)).cast("bigint")
     return ticks.withColumn("mid_units", units).withColumn("mid_price", _price(F.col("mid_units")))
 
 
 def _order_key(ts: str, units: str, minutes: int = 1) -> Column:
-    """Time order inside the candle as one BIGINT: micros into the bucket, then price.
-
-    Ties on the timestamp are broken by the price so open/close are
-    deterministic, and a primitive key keeps ``min_by``/``max_by`` in the
-    hash aggregate (a struct key would force a sort-based aggregate).
-    Micros into an hour < 2^32 and mid units < 2^31, so the key fits.
-    """
-    t = F.col(ts).cast("timestamp")
-    offset = F.unix_micros(t) - F.unix_micros(bucket_start(F.col(ts), minutes).cast("timestamp"))
-    return offset * F.lit(1 << 31) + F.col(units)
+    """Time order inside the candle; ties on the timestamp are broken by the price,
+    so open and close are deterministic for prices of any size."""
+    return F.struct(F.col(ts), F.col(units))
 
 
 def _direct_candles(ticks: DataFrame, minutes: int) -> DataFrame:

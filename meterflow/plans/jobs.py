@@ -29,17 +29,17 @@ MARTS = ("cdr_data_summary", "cdr_usage_rollup", "cdr_tower_sessions", "cdr_towe
 
 
 def build_marts(spark: SparkSession, raw_root: str) -> dict:
-    """Mart DataFrames over the typed raw tables under ``raw_root``."""
+    """Mart builders over the typed raw tables under ``raw_root``; a mart is planned when its builder is called."""
     d, v = load_raw(spark, raw_root, "cdr_data"), load_raw(spark, raw_root, "cdr_voice")
     info = crm.account_info(load_raw(spark, raw_root, "accounts"), load_raw(spark, raw_root, "addresses"),
                             load_raw(spark, raw_root, "devices"))
     return {
-        "cdr_data_summary": usage.usage_summary(d, v),
-        "cdr_usage_rollup": usage.usage_rollup(d, v),
-        "cdr_tower_sessions": sessions.tower_sessions(d, v),
-        "cdr_tower_session_pairs": sessions.session_pair_summary(d, v),
-        "crm_flattened": crm.crm_flattened(crm.running_balance(crm.hourly_costs(d, v)), info, ordered=False),
-        "forex_ohlc_indicators": forex.ohlc_indicators(load_raw(spark, raw_root, "forex_ticks"), ordered=False),
+        "cdr_data_summary": lambda: usage.usage_summary(d, v),
+        "cdr_usage_rollup": lambda: usage.usage_rollup(d, v),
+        "cdr_tower_sessions": lambda: sessions.tower_sessions(d, v),
+        "cdr_tower_session_pairs": lambda: sessions.session_pair_summary(d, v),
+        "crm_flattened": lambda: crm.crm_flattened(crm.running_balance(crm.hourly_costs(d, v)), info, ordered=False),
+        "forex_ohlc_indicators": lambda: forex.ohlc_indicators(load_raw(spark, raw_root, "forex_ticks"), ordered=False),
     }
 
 
@@ -54,7 +54,7 @@ def refresh_marts(spark: SparkSession, raw_root: str, out_root: str | None = Non
     if out_root is None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in only:
-        df = marts[name]
+        df = marts[name]()
         if name == "crm_flattened":
             df = df.sortWithinPartitions("msisdn", "datetime")
         materialize(df, f"{database}.{name}", f"{out_root.rstrip('/')}/{name}" if out_root else None)

@@ -143,13 +143,13 @@ def _():
 
 # -- mart 4 ---------------------------------------------------------------------------------
 
-_MU = "CAST(round((bid_price + ask_price) * 10000) AS BIGINT)"
+_MU = "CAST(round((bid_price + ask_price) * 1000000) AS BIGINT)"
 
 
 @oracle("tick_mid_price", "forex_ticks")
 def _():
     return f"""SELECT tick_time, pair_name, bid_price, ask_price, {_MU} AS mid_units,
-        CAST({_MU} AS DOUBLE) / 20000 AS mid_price FROM forex_ticks"""
+        CAST({_MU} AS DOUBLE) / 2000000 AS mid_price FROM forex_ticks"""
 
 
 def _candle_ctes(minutes: int, name: str) -> str:
@@ -169,8 +169,8 @@ _TICKS = f"ticks AS (SELECT tick_time, pair_name, {_MU} AS mu FROM forex_ticks)"
 
 def _priced_sql(name: str, with_count: bool) -> str:
     n = ", n AS tick_count" if with_count else ""
-    return (f"SELECT pair_name, candle_time, CAST(o AS DOUBLE) / 20000 AS open_price, CAST(h AS DOUBLE) / 20000 AS high_price, "
-            f"CAST(l AS DOUBLE) / 20000 AS low_price, CAST(c AS DOUBLE) / 20000 AS close_price{n} FROM {name}")
+    return (f"SELECT pair_name, candle_time, CAST(o AS DOUBLE) / 2000000 AS open_price, CAST(h AS DOUBLE) / 2000000 AS high_price, "
+            f"CAST(l AS DOUBLE) / 2000000 AS low_price, CAST(c AS DOUBLE) / 2000000 AS close_price{n} FROM {name}")
 
 
 for _key, _m, _cnt in (("ohlc_m1", 1, True), ("ohlc_m30", 30, False), ("ohlc_h1", 60, False),
@@ -181,9 +181,9 @@ for _key, _m, _cnt in (("ohlc_m1", 1, True), ("ohlc_m30", 30, False), ("ohlc_h1"
 def _ind_sql(name: str, tag: str) -> str:
     def avg(x: str, n: int) -> str:
         w = f"(PARTITION BY pair_name ORDER BY candle_time ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
-        return f"CAST(SUM({x}) OVER {w} AS DOUBLE) / COUNT(*) OVER {w} / 20000"
-    return (f"SELECT pair_name, candle_time, CAST(o AS DOUBLE) / 20000 AS open_price, CAST(h AS DOUBLE) / 20000 AS high_price, "
-            f"CAST(l AS DOUBLE) / 20000 AS low_price, CAST(c AS DOUBLE) / 20000 AS close_price, '{tag}' AS timeframe, "
+        return f"CAST(SUM({x}) OVER {w} AS DOUBLE) / COUNT(*) OVER {w} / 2000000"
+    return (f"SELECT pair_name, candle_time, CAST(o AS DOUBLE) / 2000000 AS open_price, CAST(h AS DOUBLE) / 2000000 AS high_price, "
+            f"CAST(l AS DOUBLE) / 2000000 AS low_price, CAST(c AS DOUBLE) / 2000000 AS close_price, '{tag}' AS timeframe, "
             f"{avg('o', 8)} AS ema_8, {avg('o', 21)} AS ema_21, {avg('h - l', 8)} AS atr_8, {avg('h - l', 21)} AS atr_21 "
             f"FROM {name}")
 
