@@ -7,6 +7,11 @@ shingles among the first ``size - ceil(0.8 size) + l`` of each, for every l
 (the smaller of the two sets' l where they differ). Each set picks its l by the estimated
 cost of the candidates its prefix brings: a longer prefix, more matches asked.
 A shingle that occurs once in the corpus matches nothing and isn't indexed.
+Where a set is the smaller of a pair, ``size - ceil(8/9 size) + l`` shingles do: the larger one is no smaller.
+
+Three exact bounds drop pairs early, given the intersection a pair of their sizes needs: the fewer of
+the shingles that occur elsewhere; for each match, the shingles before and after it in both sets; and the matches
+with what lies behind the prefixes.
 
 The order comes from document frequencies, counted over all texts and kept as
 levels in a fixed table of slots by hash, which every task gets. A slot shared
@@ -14,7 +19,8 @@ by several shingles only costs candidates: any order is exact, as long as it is
 
 Candidates meet per indexed shingle. First every set is compared with the leader
 of its shingles' groups and linked sets get one label, so a large group of near
-copies costs a comparison per member, not per pair. Then all pairs of sets that
+copies costs a comparison per member, not per pair. The first leader is the set with the most
+frequent shingles, what a group's copies were made from; later ones are drawn. Then all pairs of sets that
 share a shingle, have different labels and enough matches are verified: no link
 between two components is lost, and pairs inside one are never made.
 
@@ -30,6 +36,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +49,9 @@ from .components import connect
 WORDS = re.compile(WORD)
 LOW = str.maketrans(UPPER, LOWER)
 N, NUM, DEN = 5, 80, 100          # words of a shingle; the similarity NUM / DEN
-SLOT_BITS = 25                    # the frequency table: 2**SLOT_BITS bytes
+SLOT_BITS = 27                    # the frequency table: 2**SLOT_BITS bytes at most, fewer for small corpora
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16)
-LEADER_ROUNDS = 4
+LEADER_ROUNDS = 2
 
 
 class Shingler:
@@ -98,8 +105,10 @@ def _fingerprints(bits: int):
 
 
 def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
-    """Per slot (the top bits of a hash) the log2 of the largest frequency in it, 0 if all occur once."""
+    """Per slot (the top bits of a hash) the log2 of the largest frequency in it, 0 if all occur once.
+    Two slots a shingle, by the texts' bytes, up to ``2**slot_bits``."""
     total = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
+    slot_bits = min(slot_bits, max(16, math.ceil(math.log2(total + 1)) + 1))
     # Ranges of about two million occurrences each, by the texts' bytes: a task's share doesn't follow the corpus.
     bits = min(max(6, math.ceil(math.log2(max(1, total) / (1 << 21)))), slot_bits - 4)
 
@@ -118,9 +127,17 @@ def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
     return out.reshape(-1)
 
 
-def prefix(hashes: np.ndarray, levels: np.ndarray, slot_bits: int = SLOT_BITS) -> tuple[int, np.ndarray]:
-    """Matches asked for, and the shingles of that prefix that occur more than once."""
-    level = levels[(hashes >> np.uint64(64 - slot_bits)).astype(np.int64)]
+class Signature(NamedTuple):
+    asked: int            # matches asked for
+    matched: int          # shingles that occur more than once
+    mean_level: float     # how frequent the shingles are
+    tokens: np.ndarray    # shingles of the prefix that occur more than once, rare ones first
+    places: np.ndarray    # and their places in the order, from 0
+
+
+def prefix(hashes: np.ndarray, levels: np.ndarray) -> Signature:
+    """The prefix that costs least."""
+    level = levels[(hashes >> np.uint64(65 - len(levels).bit_length())).astype(np.int64)]
     order = np.lexsort((hashes, level))
     cost = np.cumsum(np.where(level[order] > 0, 2.0 ** level[order], 0.0))
     n = len(hashes)
@@ -129,23 +146,30 @@ def prefix(hashes: np.ndarray, levels: np.ndarray, slot_bits: int = SLOT_BITS) -
     # Reading a prefix's groups, and verifying the share of what they bring that has enough matches.
     best = min(choices, key=lambda m: (cost[least + m - 1] * (1 + 8 / m), m))
     first = order[:least + best]
-    return best, hashes[first][level[first] > 0]
+    places = np.flatnonzero(level[first] > 0)
+    return Signature(best, int((level > 0).sum()), float(level.mean()), hashes[first[places]], places)
 
 
-def _prefixes(shared, slot_bits: int):
+SIGNED = "n long, key binary, asked int, matched long, mean_level double, tokens array<long>, places array<int>, hashes binary"
+
+
+def _prefixes(shared):
     def run(batches):
         make, levels = Shingler(), shared.value
+        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
                 for t in part.column(1).to_pylist():
                     h = make(t)
-                    asked, tokens = prefix(h, levels, slot_bits) if len(h) else (0, h)
-                    key = xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None
-                    out.append((len(h), key, asked, *((tokens.view(np.int64), h.tobytes()) if len(tokens) else (None, None))))
-                kinds = (pa.int64(), pa.binary(), pa.int32(), pa.list_(pa.int64()), pa.binary())
+                    if not len(h):
+                        out.append((0, *[None] * 7))
+                        continue
+                    got = prefix(h, levels)
+                    out.append((len(h), xxhash.xxh3_128_digest(h.tobytes()), got.asked, got.matched, got.mean_level,
+                                *((got.tokens.view(np.int64), got.places, h.tobytes()) if len(got.tokens) else (None, None, None))))
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)]],
-                                                 ["id", "n", "key", "asked", "tokens", "hashes"])
+                                                 ["id", "n", "key", "asked", "matched", "mean_level", "tokens", "places", "hashes"])
     return run
 
 
@@ -166,20 +190,48 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_verified, "a binary, b binary")
 
 
-def _sizes_fit(x: str, y: str):
-    return (F.col(x) * DEN >= F.col(y) * NUM) & (F.col(y) * DEN >= F.col(x) * NUM)
+def _up(n: str, num: int, den: int) -> str:
+    """SQL of ``n * num / den``, rounded up."""
+    return f"(({n}) * {num} + {den - 1}) div {den}"
+
+
+def _needed(x: str, y: str) -> str:
+    """SQL of the least intersection of two sets of these sizes that reach the similarity."""
+    return _up(f"{x} + {y}", NUM, NUM + DEN)
+
+
+def _may_reach(x: str, y: str):
+    """Whether sets (columns n and matched under these names) can reach the similarity."""
+    n, matched = (x.format("n"), y.format("n")), (x.format("matched"), y.format("matched"))
+    return F.expr(f"least({matched[0]}, {matched[1]}) >= {_needed(*n)}")
 
 
 def _open_groups(members: DataFrame, turn: int) -> DataFrame:
-    """(token, leader) of the shingles whose sets have different labels; a leader is drawn by hash in each turn."""
-    drawn = F.struct(F.xxhash64("key", F.lit(turn)).alias("draw"), "label", "key", "n")
-    groups = members.groupBy("token").agg(F.min(drawn).alias("leader"), F.min("label").alias("first"), F.max("label").alias("last"))
+    """(token, leader) of the shingles whose sets have different labels; after the first turn a leader is drawn by hash."""
+    rank = F.col("mean_level") if turn == 0 else F.xxhash64("key", F.lit(turn)).cast("double")
+    drawn = F.struct(rank.alias("rank"), "label", "key", "n", "matched")
+    groups = members.groupBy("token").agg(F.max(drawn).alias("leader"), F.min("label").alias("first"), F.max("label").alias("last"))
     return groups.filter("first <> last").select("token", "leader")
 
 
+def _across_labels(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with different labels that the bounds leave, a the larger."""
+    names = ("key", "n", "matched", "asked", "label", "place")
+    large, small = (members.select("token", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+    behind_a, behind_b = f"{_up('n_a', NUM, DEN)} - asked_a", f"{_up('n_b', 2 * NUM, NUM + DEN)} - asked_b"   # shingles after the prefix
+    small = small.filter(F.expr(f"place_b < n_b - ({behind_b})"))
+    needed = _needed("n_a", "n_b")
+    met = large.join(small, "token").filter(F.expr("(n_a > n_b or n_a = n_b and key_a > key_b) and label_a <> label_b")).filter(
+        _may_reach("{}_a", "{}_b")).filter(F.expr(f"least(place_a, place_b) + least(n_a - place_a, n_b - place_b) >= {needed}"))
+    met = met.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("times"), F.min(F.expr(f"{needed} - greatest({behind_a}, {behind_b})")).alias("least_times"))
+    return met.filter("times >= least_times").select("a", "b")
+
+
 def link_classes(sets: DataFrame) -> DataFrame:
-    """``sets``: key, n, asked, tokens, hashes, distinct keys. (key, label) of their components."""
-    index = save(sets.select(F.explode("tokens").alias("token"), "key", "n", "asked"), "jaccard-index")
+    """``sets``: the columns of SIGNED, distinct keys. (key, label) of their components."""
+    index = sets.select(F.explode(F.arrays_zip("tokens", "places")).alias("at"), "key", "n", "matched", "asked", "mean_level")
+    index = save(index.select(F.col("at.tokens").alias("token"), F.col("at.places").alias("place"), "key", "n", "matched", "asked", "mean_level"), "jaccard-index")
     nodes = sets.select("key")
     labels, links = nodes.select("key", F.col("key").alias("label")), None
     for turn in range(LEADER_ROUNDS):   # only saves pairs below: what is still open after them is compared in full
@@ -187,7 +239,7 @@ def link_classes(sets: DataFrame) -> DataFrame:
         open_ = save(_open_groups(members, turn), "jaccard-groups")
         if open_.isEmpty():
             return labels
-        met = members.join(open_, "token").filter((F.col("label") != F.col("leader.label")) & _sizes_fit("n", "leader.n"))
+        met = members.join(open_, "token").filter(F.col("label") != F.col("leader.label")).filter(_may_reach("{}", "leader.{}"))
         met = met.groupBy(F.col("leader.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("times"))
         pairs = met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
         found = save(verify(pairs, sets), "jaccard-links")
@@ -197,12 +249,7 @@ def link_classes(sets: DataFrame) -> DataFrame:
         labels = save(connect(nodes, links), "jaccard-labels")
     members = index.join(labels, "key")
     open_ = save(_open_groups(members, LEADER_ROUNDS), "jaccard-groups")
-    members = members.join(open_.select("token"), "token")
-    left, right = (members.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "n", "asked", "label")]) for s in "ab")
-    pairs = left.join(right, "token").filter((F.col("key_a") < F.col("key_b")) & (F.col("label_a") != F.col("label_b")) & _sizes_fit("n_a", "n_b"))
-    pairs = pairs.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.least("asked_a", "asked_b")).alias("asked")).filter("times >= asked")
-    found = save(verify(pairs, sets), "jaccard-links")
+    found = save(verify(_across_labels(members.join(open_.select("token"), "token")), sets), "jaccard-links")
     if found.isEmpty():
         return labels
     return save(connect(nodes, found if links is None else links.unionByName(found)), "jaccard-labels")
@@ -213,8 +260,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", slot_bits: int = SLOT_BI
     spark, rows = docs.sparkSession, docs.select(F.col(id_col).alias("id"), "text")
     kind = rows.schema["id"].dataType.simpleString()
     shared = spark.sparkContext.broadcast(frequency_levels(rows, slot_bits))
-    signed = save(rows.mapInArrow(_prefixes(shared, slot_bits), f"id {kind}, n long, key binary, asked int, tokens array<long>, hashes binary"),
-                  "jaccard-signed")
+    signed = save(rows.mapInArrow(_prefixes(shared), f"id {kind}, {SIGNED}"), "jaccard-signed")
     classes = save(signed.filter("n > 0").groupBy("key").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies")), "jaccard-classes")
     found = signed.filter("tokens is not null")
     same = (found["key"] == classes["key"]) & found["id"].eqNullSafe(classes["least"])
