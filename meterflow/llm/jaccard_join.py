@@ -34,7 +34,6 @@ row; other columns are ignored, and kept by ``drop_near``.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from typing import NamedTuple
 
@@ -43,32 +42,35 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER, UPPER, WORD, save
+from .common import save
 from .components import connect
 
-WORDS = re.compile(WORD)
-LOW = str.maketrans(UPPER, LOWER)
 N, NUM, DEN = 5, 80, 100          # words of a shingle; the similarity NUM / DEN
 SLOT_BITS = 27                    # the frequency table: 2**SLOT_BITS bytes at most, fewer for small corpora
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16)
 LEADER_ROUNDS = 2
 
 
+class WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
     """Hashes of a text's shingles; word hashes are kept between texts and dropped when there are many."""
 
     def __init__(self, most: int = 400_000):
-        self.most, self.seen = most, {}
+        self.most, self.seen = most, WordHashes()
 
     def __call__(self, text: str | None, distinct: bool = True) -> np.ndarray:
-        words = WORDS.findall(text.translate(LOW)) if text else []
+        # On bytes, lower knows A-Z only, and split cuts at space and tab to carriage return.
+        words = text.encode("utf-8", "replace").lower().split() if text else []
         if not words:
             return np.zeros(0, np.uint64)
         if len(self.seen) > self.most:
-            self.seen = {}
-        for w in set(words).difference(self.seen):
-            self.seen[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "replace"))
-        h = np.array([self.seen[w] for w in words], np.uint64)
+            self.seen = WordHashes()
+        h = np.fromiter(map(self.seen.__getitem__, words), np.uint64, len(words))
         n = min(N, len(h))
         code = np.full(len(h) - n + 1, n, np.uint64)
         for k in range(n):

@@ -36,12 +36,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import LOWER, UPPER, WORD, save
+from .common import WORD, lower_text, save
 from .lattice import Lattice
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 WORDS = re.compile(WORD)
-LOW = str.maketrans(UPPER, LOWER)
 END = "\n"            # stands for the end token: no word has one
 LN10 = math.log(10)
 FLUSH = 500_000
@@ -56,7 +55,7 @@ def read_vocabulary(path: str = VOCABULARY) -> list[str]:
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(text.translate(LOW) if text else "")
+    return WORDS.findall(lower_text(text) if text else "")
 
 
 def count_words(docs: DataFrame, kind: Column, kinds: int) -> DataFrame:

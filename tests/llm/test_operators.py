@@ -54,7 +54,7 @@ def got(df, key="doc_id"):
 
 
 def sets_of(text):
-    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(jaccard_join.LOW))
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
