@@ -34,6 +34,7 @@ row; other columns are ignored, and kept by ``drop_near``.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from typing import NamedTuple
 
@@ -48,29 +49,58 @@ from .components import connect
 N, NUM, DEN = 5, 80, 100          # words of a shingle; the similarity NUM / DEN
 SLOT_BITS = 27                    # the frequency table: 2**SLOT_BITS bytes at most, fewer for small corpora
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16)
-LEADER_ROUNDS = 2
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+# Words are hashed where they stand in a block of bytes: a word's hash is the sum of its bytes' values times rising
+# powers of an odd number, modulo 2**64, read off a running sum over the block; dividing by the first power frees it of its place.
+_VALUES = np.random.default_rng(5).integers(1, 2 ** 64, 256, np.uint64)
+_VALUES[ord("A"):ord("Z") + 1] = _VALUES[ord("a"):ord("z") + 1]
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_SPLIT = re.compile(rb"[\x20\x09-\x0D]")
+_STEP = 0xD1342543DE82EF95
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
 class Shingler:
-    """Hashes of a text's shingles; word hashes are kept between texts and dropped when there are many."""
-
-    def __init__(self, most: int = 400_000):
-        self.most, self.seen = most, WordHashes()
-
-    def __call__(self, text: str | None, distinct: bool = True) -> np.ndarray:
-        # On bytes, lower knows A-Z only, and split cuts at space and tab to carriage return.
-        words = text.encode("utf-8", "replace").lower().split() if text else []
-        if not words:
-            return np.zeros(0, np.uint64)
-        if len(self.seen) > self.most:
-            self.seen = WordHashes()
-        h = np.fromiter(map(self.seen.__getitem__, words), np.uint64, len(words))
+    """Hashes of a text's shingles, from its UTF-8 bytes; blocks end between words, so a word is never cut."""
+
+    def __init__(self, block: int = 1 << 20):
+        self.block, self.up, self.down = block, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    def _words(self, data: bytes) -> np.ndarray:
+        code = np.frombuffer(data, np.uint8)
+        if len(code) >= len(self.up):
+            n = 2 * len(code) + 1
+            self.up, self.down = _powers(_STEP, n), _powers(pow(_STEP, -1, 2 ** 64), n)
+        inside = np.zeros(len(code) + 2, np.int8)
+        inside[1:-1] = ~_SPACE[code]
+        edges = np.diff(inside)
+        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        running = np.zeros(len(code) + 1, np.uint64)
+        np.cumsum(_VALUES[code] * self.up[:len(code)], out=running[1:])
+        h = (running[ends] - running[starts]) * self.down[starts]
+        return h ^ (h >> np.uint64(32))
+
+    def words(self, data: bytes) -> np.ndarray:
+        if len(data) <= self.block:
+            return self._words(data)
+        out, at = [], 0
+        while at < len(data):
+            cut = _SPLIT.search(data, at + self.block)
+            end = cut.start() if cut else len(data)
+            out.append(self._words(data[at:end]))
+            at = end
+        return np.concatenate(out)
+
+    def __call__(self, data: bytes | None, distinct: bool = True) -> np.ndarray:
+        h = self.words(data) if data else np.zeros(0, np.uint64)
+        if not len(h):
+            return h
         n = min(N, len(h))
         code = np.full(len(h) - n + 1, n, np.uint64)
         for k in range(n):
@@ -95,7 +125,7 @@ def _fingerprints(bits: int):
                                               ["range", "blob"])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                for t in batch.column(0)[at:at + 256].to_pylist():
+                for t in batch.column(0)[at:at + 256].cast(pa.binary()).to_pylist():
                     held.append(make(t, distinct=False))   # a repeat within a text may only cost a candidate
                     size += len(held[-1])
                     if size > 4_000_000:
@@ -123,8 +153,9 @@ def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
 
     got = docs.select("text").mapInArrow(_fingerprints(bits), "range long, blob binary").groupBy("range").applyInPandas(
         levels, "range long, blob binary")
+    got = save(got, "jaccard-levels")
     out = np.zeros((1 << bits, 1 << (slot_bits - bits)), np.uint8)
-    for r in got.toLocalIterator():      # 2**slot_bits bytes in all, a range at a time
+    for r in got.toLocalIterator():      # 2**slot_bits bytes in all, a file split at a time
         out[r["range"]] = np.frombuffer(zlib.decompress(r["blob"]), np.uint8)
     return out.reshape(-1)
 
@@ -162,7 +193,7 @@ def _prefixes(shared):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
-                for t in part.column(1).to_pylist():
+                for t in part.column(1).cast(pa.binary()).to_pylist():
                     h = make(t)
                     if not len(h):
                         out.append((0, *[None] * 7))
@@ -230,31 +261,37 @@ def _across_labels(members: DataFrame) -> DataFrame:
     return met.filter("times >= least_times").select("a", "b")
 
 
+def _led(members: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
+    """Links (a, b) found by comparing each set (b) with the leader (a) it shares most shingles with."""
+    met = members.join(_open_groups(members, turn), "token").filter(F.col("label") != F.col("leader.label")).filter(_may_reach("{}", "leader.{}"))
+    met = met.groupBy(F.col("leader.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    pairs = met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+    return save(verify(pairs, sets), "jaccard-links")
+
+
+def _under_leaders(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(key, label): the leader's leader. One link per b: cheaper than components, and sets of one label are linked too."""
+    step = nodes.join(links.select(F.col("b").alias("key"), "a"), "key", "left").select("key", F.coalesce("a", "key").alias("label"))
+    above = step.select(F.col("key").alias("label"), F.col("label").alias("above"))
+    return step.join(above, "label").select("key", F.col("above").alias("label"))
+
+
 def link_classes(sets: DataFrame) -> DataFrame:
     """``sets``: the columns of SIGNED, distinct keys. (key, label) of their components."""
     index = sets.select(F.explode(F.arrays_zip("tokens", "places")).alias("at"), "key", "n", "matched", "asked", "mean_level")
     index = save(index.select(F.col("at.tokens").alias("token"), F.col("at.places").alias("place"), "key", "n", "matched", "asked", "mean_level"), "jaccard-index")
     nodes = sets.select("key")
-    labels, links = nodes.select("key", F.col("key").alias("label")), None
-    for turn in range(LEADER_ROUNDS):   # only saves pairs below: what is still open after them is compared in full
-        members = index.join(labels, "key")
-        open_ = save(_open_groups(members, turn), "jaccard-groups")
-        if open_.isEmpty():
-            return labels
-        met = members.join(open_, "token").filter(F.col("label") != F.col("leader.label")).filter(_may_reach("{}", "leader.{}"))
-        met = met.groupBy(F.col("leader.key").alias("a"), F.col("key").alias("b")).agg(F.count(F.lit(1)).alias("times"))
-        pairs = met.groupBy("b").agg(F.max(F.struct("times", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-        found = save(verify(pairs, sets), "jaccard-links")
-        if found.isEmpty():
-            break
-        links = found if links is None else links.unionByName(found)
-        labels = save(connect(nodes, links), "jaccard-labels")
+    # The leaders only save pairs below: what is still open after them is compared in full.
+    links = _led(index.withColumn("label", F.col("key")), sets, 0)
+    labels = save(_under_leaders(nodes, links), "jaccard-labels")
+    found = _led(index.join(labels, "key"), sets, 1)
+    links = links.unionByName(found)
+    labels = save(connect(nodes, links), "jaccard-labels")
     members = index.join(labels, "key")
-    open_ = save(_open_groups(members, LEADER_ROUNDS), "jaccard-groups")
-    found = save(verify(_across_labels(members.join(open_.select("token"), "token")), sets), "jaccard-links")
+    found = save(verify(_across_labels(members.join(_open_groups(members, 2).select("token"), "token")), sets), "jaccard-links")
     if found.isEmpty():
         return labels
-    return save(connect(nodes, found if links is None else links.unionByName(found)), "jaccard-labels")
+    return save(connect(nodes, links.unionByName(found)), "jaccard-labels")
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", slot_bits: int = SLOT_BITS) -> DataFrame:
