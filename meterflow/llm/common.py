@@ -39,11 +39,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def lower_text(text: str) -> str:
-    """A-Z in lower case, nothing else; much faster than str.translate. bytes.lower only knows ASCII."""
-    return text.encode("utf-8", "replace").lower().decode("utf-8")
-
-
 def fold(c: Column, n: int) -> Column:
     """crc32 of the value as text, modulo ``n``; null counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))

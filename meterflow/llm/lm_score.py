@@ -29,19 +29,18 @@ any length are scored whole; an empty table gives no row; other columns are igno
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import WORD, lower_text, save
+from .common import save
 from .lattice import Lattice
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-WORDS = re.compile(WORD)
 END = "\n"            # stands for the end token: no word has one
+END_WORD = END.encode()
 LN10 = math.log(10)
 FLUSH = 500_000
 
@@ -54,8 +53,9 @@ def read_vocabulary(path: str = VOCABULARY) -> list[str]:
     return [sp.id_to_piece(i) for i in sorted(ids, key=lambda i: (-sp.get_score(i), i))]
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(lower_text(text) if text else "")
+def words_of(text: str | None) -> list[bytes]:
+    """Words as UTF-8: on bytes, lower knows A-Z only, and split cuts at space and tab to carriage return."""
+    return text.encode("utf-8", "replace").lower().split() if text else []
 
 
 def count_words(docs: DataFrame, kind: Column, kinds: int) -> DataFrame:
@@ -64,7 +64,7 @@ def count_words(docs: DataFrame, kind: Column, kinds: int) -> DataFrame:
     names = ["seen", *(f"n{k}" for k in range(kinds))]
 
     def run(batches):
-        seen: dict[str, list[int]] = {}
+        seen: dict[bytes, list[int]] = {}
 
         def flushed():
             columns = np.array(list(seen.values()), np.int64).reshape(-1, kinds + 1).T
@@ -72,7 +72,7 @@ def count_words(docs: DataFrame, kind: Column, kinds: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for text, k in zip(batch.column(0)[at:at + 256].to_pylist(), batch.column(1)[at:at + 256].to_pylist()):
-                    for w, n in Counter([*words_of(text), END]).items():
+                    for w, n in Counter([*words_of(text), END_WORD]).items():
                         x = seen.get(w)
                         if x is None:
                             x = seen[w] = [0] * (kinds + 1)
@@ -178,13 +178,13 @@ def score(docs: DataFrame, extra: list[Column], learn: Column, class_col: str |
 
     def first(batches):
         frequent, values = table.value or ([], np.zeros((0, 1 + len(ks))))
-        place = {w: i for i, w in enumerate(frequent)}
+        place = {w.encode(): i for i, w in enumerate(frequent)}
         values = np.column_stack([np.log10(values[:, 0] + 1) - base, values[:, 0] > 0, values[:, 1:]])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out, rest = batch.slice(at, 256), [], []
                 for text in part.column(part.num_columns - 1).to_pylist():
-                    words = [*words_of(text), END]
+                    words = [*words_of(text), END_WORD]
                     ids = [place.get(w, -1) for w in words]
                     hits = [i for i in ids if i >= 0]
                     rest.append([w for w, i in zip(words, ids) if i < 0] if len(hits) < len(words) else [])

@@ -109,7 +109,9 @@ def test_lm_base_score_and_counts(docs, empty):
     from pyspark.sql import functions as F
     learn = F.coalesce(F.col("doc_id"), F.lit(0)) % 2 == 0
     out = lm_score.score(docs, [F.col("doc_id"), F.col("text")], learn, head=5).collect()
-    words = lambda t: lm_score.words_of(t) + ["\n"]
+    def words(t):
+        lower = (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        return re.findall(r"[^\x20\x09-\x0D]+", lower) + ["\n"]
     counts = Counter(w for r in rows() if (r[0] or 0) % 2 == 0 for w in words(r[1]))
     n, v = sum(counts.values()), len(counts)
     assert len(out) == len(rows())
