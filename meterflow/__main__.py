@@ -33,7 +33,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.start_persistence(spark, a.raw, a.work, a.format, a.topics_path, a.bootstrap)
         spark.streams.awaitAnyTermination()     # any stream failing stops the service
     else:
-        jobs.start_usage_service(spark, a.drops, a.serving, a.work, summary_path=a.summary).awaitTermination()
+        jobs.start_usage_service(spark, a.drops, a.serving, a.work, summary_path=a.summary)
+        spark.streams.awaitAnyTermination()     # usage or quarantine failing stops the service
 
 
 if __name__ == "__main__":

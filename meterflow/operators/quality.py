@@ -61,9 +61,8 @@ def _split(wire: DataFrame, typed: dict[str, Column], required: list[str],
     return Split(evaluate_once(x), list(typed), raw_cols)
 
 
-def split_cdr_data(wire: DataFrame) -> Split:
-    """CSV/topic text of the data feed → typed rows + quarantine."""
-    typed = {
+def _cdr_data_columns() -> dict[str, Column]:
+    return {
         "msisdn": F.col("msisdn"),
         "tower_id": to_int("tower_id"),
         "up_bytes": to_long("up_bytes"),
@@ -73,12 +72,15 @@ def split_cdr_data(wire: DataFrame) -> Split:
         "website_url": F.col("website_url"),
         "event_datetime": parse_event_time("event_datetime"),
     }
-    return _split(wire, typed, ["tower_id", "up_bytes", "down_bytes", "event_datetime"], MAX_LENGTHS["cdr_data"])
 
 
-def split_cdr_voice(wire: DataFrame) -> Split:
-    """CSV/topic text of the voice feed → typed rows + quarantine."""
-    typed = {
+def split_cdr_data(wire: DataFrame) -> Split:
+    """CSV/topic text of the data feed → typed rows + quarantine."""
+    return _split(wire, _cdr_data_columns(), ["tower_id", "up_bytes", "down_bytes", "event_datetime"], MAX_LENGTHS["cdr_data"])
+
+
+def _cdr_voice_columns() -> dict[str, Column]:
+    return {
         "msisdn": F.col("msisdn"),
         "tower_id": to_int("tower_id"),
         "call_type": F.col("call_type"),
@@ -86,7 +88,24 @@ def split_cdr_voice(wire: DataFrame) -> Split:
         "call_duration_sec": to_int("call_duration_sec"),
         "start_time": parse_event_time("start_time"),
     }
-    return _split(wire, typed, ["tower_id", "call_duration_sec", "start_time"], MAX_LENGTHS["cdr_voice"])
+
+
+def split_cdr_voice(wire: DataFrame) -> Split:
+    """CSV/topic text of the voice feed → typed rows + quarantine."""
+    return _split(wire, _cdr_voice_columns(), ["tower_id", "call_duration_sec", "start_time"], MAX_LENGTHS["cdr_voice"])
+
+
+def split_usage_data(wire: DataFrame) -> Split:
+    """The data feed for the usage sums: only what they read is required, so a bad tower or a long
+    URL costs no bytes. A missing usage type, part of the sums' key, is empty text."""
+    typed = _cdr_data_columns() | {"data_type": F.coalesce("data_type", F.lit(""))}
+    return _split(wire, typed, ["msisdn", "up_bytes", "down_bytes", "event_datetime"])
+
+
+def split_usage_voice(wire: DataFrame) -> Split:
+    """The voice feed for the usage sums, as ``split_usage_data``."""
+    typed = _cdr_voice_columns() | {"call_type": F.coalesce("call_type", F.lit(""))}
+    return _split(wire, typed, ["msisdn", "call_duration_sec", "start_time"])
 
 
 def split_ticks(wire: DataFrame) -> Split:

@@ -9,11 +9,16 @@
 * ``start_idle_flush`` — CSV drops → nested summaries published per
   subscriber-day after it has been idle (the processor's flush rule).
 
+The last two require of a record only what the sums read and write the others to a quarantine.
+
 Everything here is wiring; the logic lives in ``operators`` and ``sinks``.
 """
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -82,30 +87,70 @@ def start_persistence(spark: SparkSession, raw_root: str, work_root: str, fmt: s
     return qs
 
 
+def _usage_feeds(spark: SparkSession, drop_path: str) -> tuple[quality.Split, quality.Split]:
+    return (quality.split_usage_data(files.read_cdr_data(spark, drop_path, streaming=True)),
+            quality.split_usage_voice(files.read_cdr_voice(spark, drop_path, streaming=True)))
+
+
+def start_usage_quarantine(spark: SparkSession, drop_path: str, service: str, work_root: str,
+                           available_now: bool = False, processing_time: str = "10 seconds") -> list[StreamingQuery]:
+    """One stream per feed: the records ``service`` cannot sum → ``work_root/quarantine/service/feed``."""
+    qs = []
+    for feed, split in zip(("cdr_data", "cdr_voice"), _usage_feeds(spark, drop_path)):
+        w = (split.quarantine.writeStream.queryName(f"{service}_quarantine_{feed}_{uuid.uuid4().hex[:8]}")
+             .option("checkpointLocation", f"{work_root}/ckpt/{service}_quarantine_{feed}")
+             .foreachBatch(ingest.quarantine_writer(f"{work_root}/quarantine/{service}/{feed}")))
+        qs.append((w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start())
+    return qs
+
+
+def _stop_with(query: StreamingQuery, aside: list[StreamingQuery]) -> StreamingQuery:
+    """``query``; once it ends, for whatever reason, the streams ``aside`` are stopped."""
+    def wait():
+        try:
+            query.awaitTermination()
+        finally:
+            for q in aside:
+                q.stop()
+    threading.Thread(target=wait, daemon=True).start()
+    return query
+
+
 def start_usage_service(spark: SparkSession, drop_path: str, serving_path: str, work_root: str,
-                        watermark: str | None = "1 day", summary_path: str | None = None,
+                        watermark: str | None = None, summary_path: str | None = None,
                         available_now: bool = False, buckets: int | None = None) -> StreamingQuery:
-    """CSV drops → typed rows → daily usage per subscriber → serving table (+ summary topic)."""
-    d = quality.split_cdr_data(files.read_cdr_data(spark, drop_path, streaming=True)).good
-    v = quality.split_cdr_voice(files.read_cdr_voice(spark, drop_path, streaming=True)).good
-    return daily.start_daily_usage(d, v, serving_path, f"{work_root}/ckpt/daily_usage", watermark=watermark,
-                                   summary_path=summary_path, available_now=available_now, buckets=buckets)
+    """CSV drops → typed rows → daily usage per subscriber → serving table (+ summary topic), and the
+    records that cannot be summed → quarantine, by streams of their own: with ``available_now`` they
+    have ended when this returns, otherwise they run beside the returned one and stop with it.
+
+    No usage is late unless a ``watermark`` is given, which drops what comes after it."""
+    aside = start_usage_quarantine(spark, drop_path, "daily_usage", work_root, available_now)
+    if available_now:
+        for q in aside:
+            q.awaitTermination()
+    d, v = _usage_feeds(spark, drop_path)
+    q = daily.start_daily_usage(d.good, v.good, serving_path, f"{work_root}/ckpt/daily_usage", watermark=watermark,
+                                summary_path=summary_path, available_now=available_now, buckets=buckets)
+    return q if available_now else _stop_with(q, aside)
 
 
 def start_idle_flush(spark: SparkSession, drop_path: str, summary_path: str, work_root: str,
-                     idle_ms: int = 60_000, watermark: str | None = "1 day",
+                     idle_ms: int = 60_000, watermark: str | None = None,
                      processing_time: str = "10 seconds") -> StreamingQuery:
     """CSV drops → nested daily summary per subscriber-day, published when the key has
-    been idle for ``idle_ms`` (J2); state is removed once the day is closed (J3)."""
+    been idle for ``idle_ms`` (J2), and the records that cannot be summed → quarantine, by streams
+    of their own that stop with the returned one. With a ``watermark`` state is removed once the day is
+    closed (J3) and later usage starts that day anew; without it a day stays open."""
     from ..streaming.flush import idle_flush_summaries
-    d = quality.split_cdr_data(files.read_cdr_data(spark, drop_path, streaming=True)).good
-    v = quality.split_cdr_voice(files.read_cdr_voice(spark, drop_path, streaming=True)).good
-    s = idle_flush_summaries(d, v, idle_ms=idle_ms, watermark=watermark)
+    aside = start_usage_quarantine(spark, drop_path, "idle_flush", work_root, processing_time=processing_time)
+    d, v = _usage_feeds(spark, drop_path)
+    s = idle_flush_summaries(d.good, v.good, idle_ms=idle_ms, watermark=watermark)
 
     def publish(batch, batch_id):
         msgs = batch.select("msisdn", "date", "value").selectExpr(
             f"'{topics.SUMMARY_TOPIC}' AS topic", "msisdn AS key", "value")
         msgs.write.mode("overwrite").json(f"{summary_path}/batch={batch_id}")
 
-    return (s.writeStream.outputMode("append").option("checkpointLocation", f"{work_root}/ckpt/idle_flush")
-            .foreachBatch(publish).trigger(processingTime=processing_time).start())
+    q = (s.writeStream.outputMode("append").option("checkpointLocation", f"{work_root}/ckpt/idle_flush")
+         .foreachBatch(publish).trigger(processingTime=processing_time).start())
+    return _stop_with(q, aside)

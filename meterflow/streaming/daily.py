@@ -8,7 +8,7 @@ totals stay cumulative for the whole day (X1/X2 fixed) and a replayed batch
 rewrites the same values (checkpointed offsets + state: exactly-once state,
 idempotent sink).
 
-With ``watermark`` set, state for a day is evicted once event time passes
+No watermark is set unless the caller asks for one. With ``watermark`` set, state for a day is evicted once event time passes
 the day plus the delay and later rows for it are dropped and counted
 (``stateOperators[].numRowsDroppedByWatermark``). Without it, nothing is
 ever late — the source system's behaviour — and state grows with the number of

@@ -39,6 +39,12 @@ def raw_writer(kind: str, raw_path: str, quarantine_path: str, audit: bool = Fal
     return write
 
 
+def quarantine_writer(path: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return write
+
+
 def start_raw_ingest(messages: DataFrame, topic: str, wire_schema: StructType, kind: str, raw_path: str,
                      quarantine_path: str, checkpoint: str, available_now: bool = True,
                      processing_time: str = "10 seconds", audit: bool = False) -> StreamingQuery:
