@@ -5,8 +5,9 @@ edges) hashed into a fixed number of buckets, per learnt language, and the
 scripts each language was seen in. The script of a word narrows its candidate
 languages; a candidate's score is the word's mean gram log-likelihood times its
 letters, held within a bound of the best; Viterbi over a text's words, with a
-penalty for every switch, labels spans. A text's language is the one that labels the
-most letters, its score the share of letters it labels.
+penalty for every switch, labels spans. Letters count for a label where a learnt language has the
+word's script. A text's language is the one that labels the most such letters, its score their share
+of all letters: near 0 for a text in a script that no learnt language uses.
 
 The model is fitted on a bounded sample of the labelled rows: about
 ``sample_docs`` whole documents of each language, chosen by hash. It is a table
@@ -91,6 +92,10 @@ class Model:
     def __init__(self, langs: list[str], loglik: np.ndarray, scripts: dict[str, list[bool]]):
         self.langs, self.loglik, self.scripts = langs, loglik, scripts
 
+    def has_candidate(self, words: list[str]) -> np.ndarray:
+        """Whether any language has the word's script."""
+        return np.array([any(self.scripts.get(script_of(w)) or ()) for w in words], bool)
+
     def word_scores(self, words: list[str], bound: float) -> np.ndarray:
         """Scores of the languages per word: the best candidate 0, none below ``-bound``; all 0 where no
         language has the word's script."""
@@ -151,10 +156,11 @@ def viterbi(scores: np.ndarray, penalty: float) -> np.ndarray:
     return np.array(path[::-1])
 
 
-def label(letters: np.ndarray, rows: np.ndarray, model: Model, penalty: float) -> tuple[str, float, str]:
-    """Language, score and spans (lang:first word:last word, comma-joined) of a text's words by their letters and scores."""
+def label(letters: np.ndarray, counted: np.ndarray, rows: np.ndarray, model: Model, penalty: float) -> tuple[str, float, str]:
+    """Language, score and spans (lang:first word:last word, comma-joined) of a text's words by their letters,
+    those of them that count for a label, and scores."""
     path = viterbi(rows, penalty)
-    total = np.bincount(path, weights=letters, minlength=len(model.langs))
+    total = np.bincount(path, weights=counted, minlength=len(model.langs))
     best = int(total.argmax())
     cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(path)]
     spans = ",".join(f"{model.langs[path[a]]}:{a}:{b - 1}" for a, b in zip(cuts, cuts[1:]))
@@ -166,7 +172,7 @@ class WordTable:
 
     def __init__(self, model: Model, bound: float, most: int):
         self.model, self.bound, self.most = model, bound, most
-        self.place, self.scores, self.letters = {}, np.zeros((0, len(model.langs))), np.zeros(0)
+        self.place, self.scores, self.letters, self.counted = {}, np.zeros((0, len(model.langs))), np.zeros(0), np.zeros(0)
 
     def add(self, texts: list[list[str]]) -> None:
         new = list(set().union(*texts).difference(self.place))
@@ -179,11 +185,12 @@ class WordTable:
             letters = np.array([len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new], float)
             scores = np.where(letters[:, None] > 0, self.model.word_scores(new, self.bound), 0.0)
             self.scores, self.letters = np.concatenate([self.scores, scores]), np.concatenate([self.letters, letters])
+            self.counted = np.concatenate([self.counted, np.where(self.model.has_candidate(new), letters, 0.0)])
 
     def judge(self, words: list[str], penalty: float) -> tuple[str, float, str]:
         ids = np.array([self.place[w] for w in words], int)
         letters = self.letters[ids]
-        return label(letters, self.scores[ids], self.model, penalty) if letters.any() else ("und", 0.0, "")
+        return label(letters, self.counted[ids], self.scores[ids], self.model, penalty) if letters.any() else ("und", 0.0, "")
 
 
 def predict(docs: DataFrame, model: Model, extra: list[Column], penalty: float = 18.0, bound: float = 6.0,

@@ -166,6 +166,19 @@ def test_language_id(spark, docs, empty):
     assert {r["lang_pred"] for r in lang_id.predict(docs, lang_id.fit(empty), [F.col("doc_id")]).collect()} == {"und"}
 
 
+def test_unseen_scripts_are_no_language(spark):
+    from pyspark.sql import functions as F
+    learnt = [(1, "the quick brown fox jumps over the lazy dog", "en"), (2, "der schnelle braune fuchs springt weit", "de")] * 4
+    texts = [(10, "быстрая коричневая лиса прыгает"), (11, "η γρήγορη καφέ αλεπού"), (12, "敏捷的棕色狐狸跳过懒狗"),
+             (13, "the быстрая коричневая лиса прыгает через"), (14, "the quick brown dog лиса")]
+    taught = spark.createDataFrame(learnt, "doc_id long, text string, lang string")
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = got(lang_id.predict(docs, lang_id.fit(taught), [F.col("doc_id")]))
+    assert [out[i]["score"] for i in (10, 11, 12)] == [0.0] * 3 and all(r["lang_pred"] in ("de", "en") for r in out.values())
+    assert out[13]["lang_pred"] == "en" and math.isclose(out[13]["score"], 3 / 36) and math.isclose(out[14]["score"], 16 / 20)
+    assert [r["doc_id"] for r in lang_id.keep_known(docs, taught).collect()] == [14]
+
+
 def test_viterbi_is_brute_force():
     import itertools
     rng = np.random.default_rng(5)
