@@ -28,7 +28,7 @@ Defined cases: words are split at space and tab to carriage return, A-Z in lower
 case; a text of 1 to 4 words is one shingle, its whole sequence; null text, or
 one without words, has no shingle and is its own component; a null identifier
 is larger than any other; repeated rows have one set; an empty table gives no
-row; other columns are ignored, and kept by ``drop_near``.
+row; other columns are ignored, and kept by ``drop_near``, which decides per identifier and text.
 """
 
 from __future__ import annotations
@@ -316,6 +316,20 @@ def components(docs: DataFrame, id_col: str = "doc_id", slot_bits: int = SLOT_BI
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one text of every component, the one with the smallest identifier, all columns kept."""
-    gone = save(components(docs, id_col).filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("gone_id")).distinct(), "jaccard-gone")
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")
+    """``docs`` with one text of every component, the one with the smallest identifier, all columns kept.
+
+    A text is known by identifier and digest: a null identifier, or one that stands on several texts,
+    takes no other text along."""
+    digest = F.sha2(F.coalesce(docs["text"], F.lit("")).cast("binary"), 256)
+    # Null identifiers last; equal identifiers in order of the digest.
+    text_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), digest.alias("digest"))
+    found = save(components(docs.select(text_id.alias("text_id"), "text"), "text_id").filter("n_shingles > 0").select(
+        "id.id", "id.digest", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")), "jaccard-found")
+    gone = found.filter(~F.col("kept")).select("id", "digest").distinct()
+    again = save(found.filter("kept").groupBy("id", "digest").count().filter("count > 1").select("id", "digest"), "jaccard-again")
+    left = docs.join(gone, docs[id_col].eqNullSafe(gone["id"]) & (digest == gone["digest"]), "left_anti")
+    if again.isEmpty():
+        return left
+    same = docs[id_col].eqNullSafe(again["id"]) & (digest == again["digest"])
+    return left.join(again, same, "left_anti").unionByName(
+        left.join(again, same, "left_semi").dropDuplicates([id_col, "text"]))

@@ -84,6 +84,23 @@ def test_jaccard_join_is_brute_force(docs, empty):
     assert jaccard_join.components(empty, slot_bits=12).count() == 0
 
 
+def test_drop_near_decides_per_text(spark):
+    other = " ".join(f"z{i}" for i in range(20))
+    near = [BASE + " seventeen", BASE + " eighteen", BASE]
+    texts = [(1, BASE, "a"), (None, near[0], "b"), (None, other, "c"),           # linked to an id; a clean text without one
+             (5, near[1], "d"), (5, " ".join(f"y{i}" for i in range(20)), "e"),  # one id, two texts
+             (None, " ".join(f"x{i}" for i in range(30)), "f"), (None, " ".join(f"x{i}" for i in range(31)), "g"),
+             (None, " ".join(f"x{i}" for i in range(30)), "h"), (9, "v w", "i"), (9, "v w", "i"),
+             (None, None, "j"), (None, None, "k"), (None, "", "l")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, mark string")
+    left = jaccard_join.drop_near(docs)
+    marks = sorted(r["mark"] for r in left.collect())
+    assert left.columns == docs.columns
+    assert [m for m in marks if m not in "fgh"] == ["a", "c", "e", "i", "j", "k", "l"]
+    assert len([m for m in marks if m in "fgh"]) == 1
+    assert jaccard_join.drop_near(docs.filter("mark = 'z'")).count() == 0
+
+
 def test_large_group_of_near_copies(spark):
     rng = np.random.default_rng(3)
     base = [f"b{i}" for i in range(120)]
