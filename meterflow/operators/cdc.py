@@ -24,9 +24,8 @@ def latest_by_key(changes: DataFrame, keys: list[str], order: tuple[str, ...] =
 
 def apply_changes(current: DataFrame, changes: DataFrame, keys: list[str],
                   order: tuple[str, ...] = ORDER) -> DataFrame:
-    """Upsert ``changes`` into ``current`` (insert, else replace every non-key column;
-    delete on ``op = 'd'``). ``current`` rows lose ties to any change."""
-    data_cols = [c for c in current.columns if c not in ("op", "lsn")]
-    cur = current.select(*data_cols, F.lit("r").alias("op"), F.lit(-(1 << 63)).cast("bigint").alias("lsn"))
-    ch = changes.select(*data_cols, "op", F.col("lsn").cast("bigint"))
-    return latest_by_key(cur.unionByName(ch), keys, order).select(*data_cols)
+    """The latest change per key of ``current`` and ``changes``, with ``op`` and ``lsn``, deletes
+    kept: as ``current`` of the next batch they hold off older changes that come late, so batches in
+    any order end like ``latest_by_key`` over all changes at once."""
+    ch = changes.select(*current.columns[:-2], "op", F.col("lsn").cast("bigint"))
+    return latest_by_key(current.unionByName(ch), keys, order, keep_deletes=True).select(*current.columns)

@@ -114,49 +114,49 @@ def _with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     return df.withColumn("bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
 
 
-def read_keyed(spark: SparkSession, path: str, schema, bucket_filter=None) -> DataFrame:
-    """Current rows of a keyed table (empty when it does not exist yet),
-    optionally only from the buckets selected by ``bucket_filter``."""
+# Stored with each row of a keyed table: the change it comes from. A deleted key stays as a row with
+# op 'd' (a tombstone). Rows of tables from before have neither and are older than any change of their time.
+CHANGE = [T.StructField("op", T.StringType(), True), T.StructField("lsn", T.LongType(), True)]
+
+
+def read_stored(spark: SparkSession, path: str, schema, bucket_filter=None) -> DataFrame:
+    """Stored rows of a keyed table, tombstones included, with ``op`` and ``lsn`` (empty when it does not
+    exist yet), optionally only from the buckets selected by ``bucket_filter``."""
+    stored = T.StructType(schema.fields + CHANGE)
     if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    stored = T.StructType(schema.fields + [T.StructField("bucket", T.IntegerType(), True)])
-    t = spark.read.schema(stored).parquet(path)
+        return spark.createDataFrame([], stored)
+    t = spark.read.schema(T.StructType(stored.fields + [T.StructField("bucket", T.IntegerType(), True)])).parquet(path)
     if bucket_filter is not None:
         t = t.where(bucket_filter)
-    return t.select(*schema.fieldNames())
+    return t.select(*stored.fieldNames())
+
+
+def read_keyed(spark: SparkSession, path: str, schema, bucket_filter=None) -> DataFrame:
+    """Current rows of a keyed table (empty when it does not exist yet),
+    optionally only from the buckets selected by ``bucket_filter``."""
+    return (read_stored(spark, path, schema, bucket_filter).where(~F.col("op").eqNullSafe("d"))
+            .select(*schema.fieldNames()))
 
 
 def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, buckets: int = KEYED_BUCKETS) -> None:
     """Apply a batch of changes (row columns + ``op``, ``lsn``) to the keyed table at
-    ``path`` (B4): insert, replace every non-key column, or delete.
+    ``path`` (B4): insert, replace every non-key column, or delete (a tombstone stays).
 
     The table is partitioned by a hash bucket of the key; only the buckets the
     batch touches are read, merged (``apply_changes``) and rewritten with
     dynamic partition overwrite, so a batch costs O(touched buckets), not
-    O(table). Replaying a batch yields the same rows (a change never loses to
-    the row it produced), so the write is idempotent.
+    O(table). Each row keeps the ``lsn`` of its change, so a delayed older change
+    neither replaces a row nor brings a deleted key back, and replaying a
+    batch yields the same rows: the write is idempotent.
     """
     spark = changes.sparkSession
     ch = _with_key_bucket(changes, keys, buckets)
     exists = _exists(spark, path)
-    cur = read_keyed(spark, path, schema, bucket_filter=partition_filter(ch, ["bucket"]) if exists else None)
-    cur = _with_key_bucket(cur, keys, buckets)
-    merged = apply_changes(cur.drop("bucket"), ch.drop("bucket"), keys)
+    cur = read_stored(spark, path, schema, bucket_filter=partition_filter(ch, ["bucket"]) if exists else None)
+    merged = apply_changes(cur, ch.drop("bucket"), keys)
     merged = _with_key_bucket(merged, keys, buckets)
     if exists:
         merged = _reliable_checkpoint(merged)
-    touched = ch.select("bucket").distinct()
-    # Buckets whose keys were all deleted must still be rewritten (as empty).
-    empty = touched.join(merged.select("bucket").distinct(), "bucket", "left_anti")
-    if exists and not empty.isEmpty():
-        _clear_partitions(spark, path, [r.bucket for r in empty.collect()])
+    # Every touched bucket has a row, if only a tombstone, so all of them are rewritten.
     (merged.hint("rebalance", "bucket").sortWithinPartitions("bucket", *keys).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
-
-
-def _clear_partitions(spark: SparkSession, path: str, buckets: list[int]) -> None:
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for b in buckets:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"bucket={b}"), True)

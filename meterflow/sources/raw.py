@@ -23,8 +23,13 @@ RAW_SCHEMAS = {
 
 
 def load_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Typed raw table ``root/name`` (parquet) with its declared schema."""
-    return spark.read.schema(RAW_SCHEMAS[name]).parquet(f"{root.rstrip('/')}/{name}")
+    """Typed raw table ``root/name`` (parquet) with its declared schema; of a keyed table (``schemas.CDC_ROWS``)
+    the current rows, without the tombstones of deleted keys."""
+    schema, path = RAW_SCHEMAS[name], f"{root.rstrip('/')}/{name}"
+    if name not in schemas.CDC_ROWS:
+        return spark.read.schema(schema).parquet(path)
+    stored = T.StructType(schema.fields + [T.StructField("op", T.StringType(), True)])
+    return spark.read.schema(stored).parquet(path).where(~F.col("op").eqNullSafe("d")).select(*schema.fieldNames())
 
 
 SERVING_STORED = T.StructType(schemas.DAILY_USAGE.fields + [T.StructField("bucket", T.IntegerType(), True)])

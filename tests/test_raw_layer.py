@@ -90,6 +90,20 @@ def test_keyed_upsert_is_idempotent_and_deletes(spark, tmp_dir):
     assert tables.read_keyed(spark, path, schemas.ACCOUNTS).count() == 0
 
 
+def test_late_changes_neither_revive_nor_replace(spark, tmp_dir):
+    path = tmp_dir + "/raw/accounts"
+    whole = [(1, "a1", "2024-01-01", 1, "c"), (1, "x", "2024-01-03", 3, "d"), (1, "a2", "2024-01-02", 2, "u"),   # update after its delete
+             (2, "b2", "2024-01-01", 5, "u"), (2, "b1", "2024-01-01", 4, "c"),        # same time, smaller lsn, later
+             (3, "x", "2024-01-02", 7, "d"), (3, "c1", "2024-01-01", 6, "c"),         # delete before its create
+             (4, "x", "2024-01-02", 8, "d"), (4, "d1", "2024-01-03", 9, "c")]         # created again
+    for ch in whole:
+        tables.upsert_changes(_changes(spark, [ch]), path, ["account_id"], schemas.ACCOUNTS, buckets=2)
+    want = sorted((r.account_id, r.owner_name) for r in cdc.latest_by_key(_changes(spark, whole), ["account_id"]).collect())
+    for t in (tables.read_keyed(spark, path, schemas.ACCOUNTS), raw.load_raw(spark, tmp_dir + "/raw", "accounts")):
+        assert t.columns == schemas.ACCOUNTS.fieldNames()
+        assert sorted((r.account_id, r.owner_name) for r in t.collect()) == want == [(2, "b2"), (4, "d1")]
+
+
 def test_serving_upsert_last_write_wins(spark, tmp_dir):
     from meterflow.operators.serving import daily_usage_rows
     tu = "msisdn string, date string, category string, usage_type string, up_bytes long, down_bytes long, call_duration_sec long, call_count long"
