@@ -5,7 +5,7 @@ equivalent spellings made one, everything but letters and digits a single
 space), and the SHA-256 of the whole form is joined to the digests of the known
 licences in the same form. Two units are looked up: the whole text, and each of
 its lines as a text of its own, which finds licence notices inside longer
-documents. Whole texts never leave the scan: only (id, digest) rows are joined.
+documents. Whole texts never leave the scan: only (id, row number, digest) rows are joined.
 
 Defined cases: null text counts as empty; an empty canonical form matches
 nothing; a known text given twice counts once under its smallest name; repeated
@@ -47,14 +47,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", known: list[tuple[str, str]] =
     """Per row: the identifier, canonical_sha256, license_id of the whole text (null: none),
     n_license_lines and line_licenses (sorted names, comma-joined) of its lines."""
     table = known_digests(docs.sparkSession, known)
-    whole = docs.select(F.col(id_col).alias("id"), F.sha2(canonical(F.col("text")), 256).alias("canonical_sha256"))
-    whole = whole.join(table.withColumnRenamed("known_digest", "canonical_sha256"), "canonical_sha256", "left")
-    lines = docs.select(F.col(id_col).alias("id"), F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("id", F.sha2(canonical(F.col("line")), 256).alias("known_digest")).join(table, "known_digest")
-    lines = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n_license_lines"),
-                                    F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("line_licenses"))
-    lines = lines.withColumnRenamed("id", "line_id")
-    return whole.join(lines, whole["id"].eqNullSafe(lines["line_id"]), "left").select(
-        F.col("id").alias(id_col), "canonical_sha256", "license_id",
-        F.coalesce("n_license_lines", F.lit(0)).cast("long").alias("n_license_lines"),
-        F.coalesce("line_licenses", F.lit("")).alias("line_licenses"))
+    # Every row is numbered once, then read as its whole text and its lines; the number brings them together again.
+    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), "text")
+    units = rows.select("id", "row", F.explode(F.concat(
+        F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("text"))),
+        F.coalesce(F.transform(F.split("text", "\n"), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("text"))),
+                   F.array().cast("array<struct<whole:boolean,text:string>>")))).alias("unit"))
+    units = units.select("id", "row", "unit.whole", F.sha2(canonical(F.col("unit.text")), 256).alias("known_digest"))
+    units = units.join(table, "known_digest", "left").filter("whole or license_id is not null")
+    line = F.when(~F.col("whole"), F.col("license_id"))
+    found = units.groupBy("row", "id").agg(
+        F.max(F.when(F.col("whole"), F.col("known_digest"))).alias("canonical_sha256"),
+        F.max(F.when(F.col("whole"), F.col("license_id"))).alias("license_id"),
+        F.count(line).alias("n_license_lines"),
+        F.array_join(F.array_sort(F.collect_set(line)), ",").alias("line_licenses"))
+    return found.select(F.col("id").alias(id_col), "canonical_sha256", "license_id", "n_license_lines", "line_licenses")

@@ -261,6 +261,17 @@ def test_license_scan(docs, empty):
     assert out[0]["license_id"] is None and out[0]["n_license_lines"] == 0 and license_scan.scan(empty).count() == 0
 
 
+def test_license_scan_is_per_row(spark):
+    mit, apache = "intro\nReleased under the MIT License.\nend", "Licensed under the Apache License, Version 2.0"
+    docs = spark.createDataFrame([(1, mit), (1, mit), (None, mit), (None, "no licence here"), (None, None), (2, apache), (2, "plain\ntext")],
+                                 "doc_id long, text string").repartition(3)
+    out = license_scan.scan(docs)
+    alone = [license_scan.scan(spark.createDataFrame([(r["doc_id"], r["text"])], docs.schema)).collect()[0] for r in docs.collect()]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(key, out.collect())) == sorted(map(key, alone))
+    assert sorted((r["doc_id"] or 0, r["n_license_lines"]) for r in out.collect() if r["doc_id"] != 2) == [(0, 0), (0, 0), (0, 1), (1, 1), (1, 1)]
+
+
 def test_mixing(docs, empty):
     out = mixing.plan(docs, evenness=0.5, repeat_limit=3.0, block_rows=2).collect()
     tokens, read = Counter(), Counter()
