@@ -3,8 +3,8 @@
 Every version of a text is addressed by its SHA-256. The ledger, a table in a
 shared folder, holds for each blob the rule versions it was scanned with and
 what they found. A run reads the ledger, scans only the blobs (one copy of
-each) that lack a rule version, appends the outcome and joins the findings back
-to all paths. Positions are code points: the pieces between the matches and the
+each) that lack a rule version, appends the outcome and joins the findings of
+the current rule versions back to all paths. Positions are code points: the pieces between the matches and the
 matches themselves, in order, add up to them.
 
 Defined cases: a null text is the empty text; repeated rows, and paths that
@@ -47,7 +47,7 @@ RULES = [
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
 ]
 BASE = 3   # the first rules of the list are the base ones
-SPAN = "start:bigint,rule:int,kind:string,end:bigint"
+SPAN = "start:bigint,rule:int,kind:string,end:bigint,version:int"
 
 
 def _hits(rule: Rule, number: int, text: Column, missing: Column) -> Column:
@@ -59,25 +59,27 @@ def _hits(rule: Rule, number: int, text: Column, missing: Column) -> Column:
     sizes = F.transform(pieces, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"),
                                                    F.length(x["secret"]).alias("secret")))
     return F.when(F.array_contains(missing, rule.tag) & text.rlike(rule.pattern), F.struct(
-        F.lit(number).alias("rule"), F.lit(rule.kind).alias("kind"), F.lit(rule.least).alias("least"), sizes.alias("sizes")))
+        F.lit(number).alias("rule"), F.lit(rule.kind).alias("kind"), F.lit(rule.version).alias("version"),
+        F.lit(rule.least).alias("least"), sizes.alias("sizes")))
 
 
 def scan_blobs(blobs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     """(blob, findings) of the blobs (blob, text, missing) with any; findings in order of start, then rule."""
     found = blobs.select("blob", F.explode(F.array_compact(F.array(*[
         _hits(r, i, F.col("text"), F.col("missing")) for i, r in enumerate(rules)]))).alias("x"))
-    piece = found.select("blob", "x.rule", "x.kind", "x.least", F.posexplode("x.sizes").alias("i", "size"))
+    piece = found.select("blob", "x.rule", "x.kind", "x.version", "x.least", F.posexplode("x.sizes").alias("i", "size"))
     # A text that stands in two rows under one identifier was read twice.
     piece = piece.filter("size.hit is not null").dropDuplicates(["blob", "rule", "i"])
     before = Window.partitionBy("blob", "rule").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("size.gap").cast("long") + F.col("size.hit")).over(before)
-    spans = piece.select("blob", "rule", "kind", "least", (end - F.col("size.hit")).alias("start"), end.alias("end"),
+    spans = piece.select("blob", "rule", "kind", "version", "least", (end - F.col("size.hit")).alias("start"), end.alias("end"),
                          F.col("size.secret").alias("secret")).filter("secret >= least")
-    return spans.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "kind", "end"))).alias("findings"))
+    return spans.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rule", "kind", "end", "version"))).alias("findings"))
 
 
 def scan(versions: DataFrame, id_col: str = "doc_id", ledger: str | None = None, rules: list[Rule] = RULES) -> DataFrame:
-    """Per row of ``versions``: the identifier, blob and findings (array of start, rule, kind, end).
+    """Per row of ``versions``: the identifier, blob and findings (array of start, rule, kind, end, version),
+    of the rule versions given, whatever others the ledger knows.
 
     ``ledger`` is a folder kept between runs; a fresh one if not given."""
     spark = versions.sparkSession
@@ -101,10 +103,18 @@ def scan(versions: DataFrame, id_col: str = "doc_id", ledger: str | None = None,
     batch = todo.join(found, "blob", "left").select(
         "blob", F.col("missing").alias("rules"), F.coalesce("findings", F.array().cast(f"array<struct<{SPAN}>>")).alias("findings"))
     batch.write.mode("append").parquet(ledger)
-    tags = [r.kind for r in rules]
-    known = (spark.read.schema(schema).parquet(ledger).filter("size(findings) > 0").groupBy("blob")
-             .agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
-             .withColumn("findings", F.filter("findings", lambda x: x["kind"].isin(tags))))
+
+    def current(x: Column) -> Column:
+        """The finding under its rule's number now, null if its rule version is not among ``rules``."""
+        # A finding of an older ledger has no version: it is that of its batch.
+        prefix = F.concat(x["kind"], F.lit("@"))
+        tag = F.coalesce(F.concat(prefix, x["version"]), F.get(F.filter("rules", lambda t: t.startswith(prefix)), F.lit(0)))
+        return F.struct(x["start"].alias("start"), (F.nullif(F.array_position(wanted, tag), F.lit(0)) - 1).cast("int").alias("rule"),
+                        x["kind"].alias("kind"), x["end"].alias("end"), x["version"].alias("version"))
+
+    known = (spark.read.schema(schema).parquet(ledger).filter("size(findings) > 0")
+             .select("blob", F.filter(F.transform("findings", current), lambda x: x["rule"].isNotNull()).alias("findings"))
+             .groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings")))
     return paths.join(known, "blob", "left").select(
         F.col("id").alias(id_col), "blob", F.coalesce("findings", F.array().cast(f"array<struct<{SPAN}>>")).alias("findings"))
 
