@@ -2,7 +2,7 @@
 
 Stages take (spark, docs, sf_dir) and return a table that is written before the
 next one reads it. All but the last keep the columns of documents; the last adds
-n_tokens, weight and copies (how often a document is read; 0: left out by the budget).
+n_tokens, weight and copies (how often a document is to be read; 0: left out by the budget): a plan for the reader.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("language ID", language), ("exact dedup", exact), ("n-gram Jaccard join", near),
           ("benchmark decontamination", benchmark), ("mixing to target weights", mixed)]
-#: Language models, components and BM25 retrieval aren't SQL; tests hold the stages against brute force.
+#: Language models, components and BM25 retrieval aren't SQL; test_pipeline_stages_are_brute_force holds what
+#: each stage keeps of its own input against brute force.
 ORACLE_SQL = None
 
 

@@ -338,3 +338,43 @@ def test_pipeline(spark, docs):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "text", "copies"} <= set(out.columns)
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "language ID"
+
+
+def test_pipeline_stages_are_brute_force(spark):
+    sf = shared_dir(spark, "test-sf")
+    def number(i, k, n=24):
+        # Words of letters: no digits, so that all of a text counts as letters.
+        return " ".join("q" + "".join("abcdefghij"[int(c)] for c in str(1000 * i + k + j)) for j in range(n))
+    texts = [number(i, 0) for i in range(1, 7)]
+    texts += [texts[0], texts[1], texts[2] + " end", texts[3] + " one", "start " + texts[3], texts[0].upper(), f"Filler before. {ITEM} And after.",
+              f"{texts[4][:60]} {ITEM} {number(9, 500)}", None, "", "123 456", "быстрая лиса прыгает через собаку", "η γρήγορη αλεπού", "敏捷的狐狸"]
+    docs = [(i + 1, t, "en" if t and t.isascii() else None, "ab"[i % 2], 1) for i, t in enumerate(texts)] + [(None, texts[5], "en", "a", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+
+    def language(rows):
+        return [r for r in rows if re.search("[a-z]", (r[1] or "").lower())]
+
+    def exact(rows):
+        return [r for r in rows if r[0] == min((x[0] for x in rows if x[1] == r[1] and x[0] is not None), default=None)]
+
+    def near(rows):
+        sets, label = [sets_of(r[1]) for r in rows], list(range(len(rows)))
+        for _ in rows:
+            for a in label[:]:
+                for b in range(len(rows)):
+                    if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                        label[a] = label[b] = min(label[a], label[b])
+        return [r for i, r in enumerate(rows) if r[0] == min(x[0] for k, x in enumerate(rows) if label[k] == label[i])]
+
+    def benchmark(rows):
+        return [r for r in rows if ITEM not in r[1]]
+
+    from meterflow.llm.common import save
+    table, rows = spark.read.parquet(f"{sf}/documents.parquet"), docs
+    for (name, stage), brute in zip(corpus_pipeline.STAGES, (language, exact, near, benchmark, list)):
+        table, rows, size = save(stage(spark, table, sf), "test-stage"), brute(rows), len(rows)
+        kept = sorted((r["doc_id"] or 0, r["text"]) for r in table.collect())
+        assert kept == sorted((r[0] or 0, r[1]) for r in rows), name
+        assert len(rows) < size or brute is list
+    assert {r["doc_id"] for r in table.collect()} and all(r["copies"] >= 0 for r in table.collect())
