@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import decontaminate, exact_dedup, jaccard_join, lang_id, license_scan, lm_score, mixing, secret_scan, token_counts, url_filter
+from . import decontaminate, exact_dedup, jaccard_join, lang_id, license_scan, lm_score, mixing, periodic_runs, secret_scan, token_counts, url_filter
 from .common import fold, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,9 @@ def op9_exact_dedup(spark, sf):
 def op10_url_filter(spark, sf):
     """Verdict on every page's url."""
     return url_filter.judge(table(spark, sf, "pages")).withColumn("ratio", F.round("ratio", 6))
+
+
+@query
+def op13_periodic_runs(spark, sf):
+    """Periodic runs of words of every document, some of them made to stutter."""
+    return periodic_runs.report(table(spark, sf, "documents"), order=periodic_runs.stutter)

@@ -137,5 +137,34 @@ SELECT page_id, host, path, rule, coalesce(fixed, CASE WHEN ratio < cut AND leng
 FROM r JOIN scores ON scores.body = r.body, cut"""
 
 
+def _crc32(expr: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    bits = f"list_transform(range(8 * length({expr})), lambda k: (ascii(substr({expr}, (k // 8 + 1)::BIGINT, 1))::BIGINT >> (k % 8)) & 1)"
+    step = "CASE WHEN (c & 1) <> b THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    return f"xor(list_reduce(list_prepend(4294967295, {bits}), lambda c, b: {step}), 4294967295)"
+
+
+PERIODIC_RUNS = f"""
+WITH t AS (SELECT doc_id, coalesce(regexp_extract_all(text, {_q(WORD)}), []) AS ws, {_crc32("doc_id::VARCHAR")} AS h FROM documents),
+a AS (SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) END AS a, 3 + (h // 10) % 8 AS m FROM t),
+u AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN ws ELSE
+        list_transform(range(n), lambda i: ws[(1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // m) END)::BIGINT]) END AS ws FROM a),
+x AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(ws) AS w FROM u),
+same AS (SELECT a.doc_id, a.i, a.i - b.i AS q FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.w = b.w AND b.i < a.i AND 4 * (a.i - b.i) <= a.n),
+stretch AS (SELECT doc_id, q, min(i) - q AS s, count(*) + q AS len
+            FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM same)
+            GROUP BY doc_id, q, g HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, len, min(q) AS q FROM stretch GROUP BY 1, 2, 3),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS body FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+found AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+            list([s, len, q] ORDER BY len / q DESC, s, q)[1] AS best FROM runs GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS "start", best[2]::BIGINT AS length, best[3]::BIGINT AS period,
+       (1000 * best[2] // best[3])::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(coalesce(body, '')) AS collapsed_sha256
+FROM documents LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
 ORACLE = {"op1_license_scan": licenses(), "op4_mix_sources": mix(), "op7_secret_scan": secrets(),
-          "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": urls()}
+          "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": urls(),
+          "op13_periodic_runs": PERIODIC_RUNS}
