@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import decontaminate, exact_dedup, jaccard_join, lang_id, license_scan, lm_score, mixing, periodic_runs, secret_scan, token_counts, url_filter
+from . import decontaminate, exact_dedup, hard_negatives, jaccard_join, lang_id, license_scan, lm_score, mixing, periodic_runs, secret_scan, token_counts, url_filter
 from .common import fold, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,13 @@ def op10_url_filter(spark, sf):
     return url_filter.judge(table(spark, sf, "pages")).withColumn("ratio", F.round("ratio", 6))
 
 
+@query
+def op11_hard_negatives(spark, sf):
+    """Hard negatives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), label, F.col("id") % 100 == 0)
+
+
 @query
 def op13_periodic_runs(spark, sf):
     """Periodic runs of words of every document, some of them made to stutter."""

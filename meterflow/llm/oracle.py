@@ -165,6 +165,21 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS "start"
 FROM documents LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 10"""
+
+
 ORACLE = {"op1_license_scan": licenses(), "op4_mix_sources": mix(), "op7_secret_scan": secrets(),
           "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": urls(),
-          "op13_periodic_runs": PERIODIC_RUNS}
+          "op11_hard_negatives": HARD_NEGATIVES, "op13_periodic_runs": PERIODIC_RUNS}
