@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import prepare
-from . import decontaminate, exact_dedup, hard_negatives, jaccard_join, lang_id, license_scan, lm_score, mixing, periodic_runs, secret_scan, token_counts, url_filter
+from . import decontaminate, exact_dedup, hard_negatives, jaccard_join, lang_id, license_scan, lm_score, mixing, periodic_runs, personal_data, secret_scan, token_counts, url_filter
 from .common import fold, shared_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,12 @@ def op11_hard_negatives(spark, sf):
     return hard_negatives.mine(table(spark, sf, "embeddings"), label, F.col("id") % 100 == 0)
 
 
+@query
+def op12_personal_data(spark, sf):
+    """Personal data of every document's text."""
+    return personal_data.report(personal_data.scan(table(spark, sf, "documents")))
+
+
 @query
 def op13_periodic_runs(spark, sf):
     """Periodic runs of words of every document, some of them made to stutter."""

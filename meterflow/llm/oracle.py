@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, license_texts, mixing, secret_scan, url_filter
+from . import license_scan, license_texts, mixing, personal_data, secret_scan, url_filter
 from .common import LOWER, UPPER, WORD
 
 
@@ -180,6 +180,61 @@ WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
 QUALIFY row_number() OVER w <= 10"""
 
 
+def personal(rounds: int = 8) -> str:
+    kinds, n_votes, shapes = personal_data.KINDS, personal_data.VOTES, personal_data.SHAPES
+    found = " UNION ALL ".join(f"""
+  SELECT row, {i} AS k, '{k.name}' AS kind, {extra} AS extra, hits[i] AS hit, right(gaps[i], {personal_data.BEFORE}) AS before,
+         left(gaps[i + 1], {personal_data.AFTER}) AS after, (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+           + list_sum(list_transform(hits[1:i], lambda x: length(x))))::BIGINT AS e
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+    SELECT row, string_split_regex(text, {_q(p)}) AS gaps, regexp_extract_all(text, {_q(p)}, 0) AS hits FROM d WHERE regexp_matches(text, {_q(p)})))"""
+                              for i, k in enumerate(kinds) for extra, p in ((False, k.base), (True, k.extra)))
+    subject = {"valid": "ok::VARCHAR", "before": f"translate(before, '{UPPER}', '{LOWER}')"}
+    votes = ", ".join("CASE kind " + " ".join(
+        f"WHEN '{k.name}' THEN CASE WHEN regexp_matches({subject.get(x.subject, x.subject)}, {_q(x.against)}) THEN -1 "
+        f"WHEN regexp_matches({subject.get(x.subject, x.subject)}, {_q(x.favour)}) THEN 1 ELSE 0 END"
+        for k in kinds for x in [k.labelers[j]]) + f" END AS v{j}" for j in range(n_votes))
+    vs = ", ".join(f"v{j}" for j in range(n_votes))
+    long = lambda rel, key, names: " UNION ALL ".join(f"SELECT {key}, kind, n, '{x}' AS name, {x}::VARCHAR AS value FROM {rel}" for x in names)
+    fit = lambda to, rel, key, odds: f"""
+{to}w AS (SELECT kind, name, value, sum(n * p) AS yes, sum(n * (1 - p)) AS no
+          FROM {rel} JOIN (SELECT {key}, 1 / (1 + exp(-odds)) AS p FROM {odds}) USING ({key}) GROUP BY 1, 2, 3),
+{to}m AS (SELECT kind, name, value, ln((yes + 1) / (sum(yes) OVER g + count(*) OVER g)) - ln((no + 1) / (sum(no) OVER g + count(*) OVER g)) AS o,
+            ln((sum(yes) OVER g + 1) / (sum(no) OVER g + 1)) AS prior FROM {to}w WINDOW g AS (PARTITION BY kind, name)),
+{to} AS MATERIALIZED (SELECT {key}, sum(o) + max(prior) AS odds FROM {rel} JOIN {to}m USING (kind, name, value) GROUP BY 1),"""
+    rounds_sql = "".join(fit(f"p{r}", "pat_long", "pid", f"p{r - 1}") for r in range(1, rounds + 1))
+    names = [f"v{j}" for j in range(n_votes)] + [f"f_{n}" for n in shapes]
+    counts = ", ".join(f"count(*) FILTER (base AND kind = '{k.name}') AS n_{k.name}" for k in kinds)
+    outs = ", ".join(f"coalesce(n_{k.name}, 0)::BIGINT AS n_{k.name}" for k in kinds)
+    line = "kind || ':' || s || ':' || e, ',' ORDER BY k, s"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({found}),
+forms AS (SELECT *, e - length(hit) AS s, regexp_replace(hit, '[^0-9]', '', 'g') AS digits, right(before, 1) || '~' || after AS edge,
+  CASE WHEN kind = 'email' THEN regexp_replace(regexp_replace(hit, ' ?[\\[(]at[\\])] ?', '@', 'g'), ' ?([\\[(]dot[\\])]|\\.) ?', '.', 'g') ELSE hit END AS plain FROM found),
+checked AS (SELECT *, CASE kind
+    WHEN 'ip' THEN extra OR len(list_filter(string_split(hit, '.'), lambda x: ltrim(x, '0') <> '' AND (length(ltrim(x, '0')) > 3 OR TRY_CAST(x AS BIGINT) > 255))) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(length(digits)), lambda i:
+      CASE WHEN i % 2 = 0 THEN reverse(digits)[(i + 1)::BIGINT]::INT ELSE (2 * reverse(digits)[(i + 1)::BIGINT]::INT) // 10 + (2 * reverse(digits)[(i + 1)::BIGINT]::INT) % 10 END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15 ELSE true END AND NOT (extra AND regexp_matches(edge, '[0-9]')) AS ok FROM forms),
+cand AS MATERIALIZED (SELECT row_number() OVER () AS cid, row, k, kind, extra, ok, s, e, {votes},
+    {", ".join(f"{x} AS f_{n}" for n, x in shapes.items())}, 1 AS n
+  FROM checked WHERE kind <> 'card' OR ok OR extra OR length(digits) >= {personal_data.LEAST_DIGITS}),
+pat AS MATERIALIZED (SELECT *, row_number() OVER () AS pid FROM (SELECT kind, {vs}, count(*) AS n FROM cand GROUP BY ALL)),
+pat_long AS MATERIALIZED ({long("pat", "pid", [f"v{j}" for j in range(n_votes)])}),
+p0 AS (SELECT pid, {" + ".join(f"{w} * v{j}" for j, w in enumerate(personal_data.FIRST_WEIGHTS))} AS odds FROM pat),{rounds_sql}
+first AS (SELECT cid, odds FROM cand JOIN pat USING (kind, {vs}) JOIN p{rounds} USING (pid)),
+cand_long AS MATERIALIZED ({long("cand", "cid", names)}),{fit("last", "cand_long", "cid", "first")}
+spans AS (SELECT *, NOT extra AND ok AS base FROM cand LEFT JOIN last USING (cid) WHERE ok AND (NOT extra OR odds > 0)),
+free AS (SELECT *, base OR (coalesce(max(e) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) <= s
+    AND coalesce(min(CASE WHEN base THEN s END) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), e) >= e) AS stays
+  FROM spans WINDOW w AS (PARTITION BY row ORDER BY s, base DESC, e DESC, kind)),
+lists AS (SELECT row, {counts}, string_agg({line}) FILTER (base) AS first, string_agg({line}) AS spans, count(*) FILTER (NOT base) AS n_added
+          FROM free WHERE stays GROUP BY 1)
+SELECT doc_id, {outs}, sha256(coalesce(first, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_added, 0)::BIGINT AS n_added
+FROM d LEFT JOIN lists USING (row)"""
+
+
 ORACLE = {"op1_license_scan": licenses(), "op4_mix_sources": mix(), "op7_secret_scan": secrets(),
           "op9_exact_dedup": EXACT_DEDUP, "op10_url_filter": urls(),
-          "op11_hard_negatives": HARD_NEGATIVES, "op13_periodic_runs": PERIODIC_RUNS}
+          "op11_hard_negatives": HARD_NEGATIVES, "op12_personal_data": personal(), "op13_periodic_runs": PERIODIC_RUNS}
