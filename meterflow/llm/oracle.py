@@ -199,7 +199,8 @@ def personal(rounds: int = 8) -> str:
     fit = lambda to, rel, key, odds: f"""
 {to}w AS (SELECT kind, name, value, sum(n * p) AS yes, sum(n * (1 - p)) AS no
           FROM {rel} JOIN (SELECT {key}, 1 / (1 + exp(-odds)) AS p FROM {odds}) USING ({key}) GROUP BY 1, 2, 3),
-{to}m AS (SELECT kind, name, value, ln((yes + 1) / (sum(yes) OVER g + count(*) OVER g)) - ln((no + 1) / (sum(no) OVER g + count(*) OVER g)) AS o,
+{to}m AS (SELECT kind, name, value, ln((yes + count(*) OVER g * (yes + no) / (sum(yes + no) OVER g)) / (sum(yes) OVER g + count(*) OVER g))
+              - ln((no + count(*) OVER g * (yes + no) / (sum(yes + no) OVER g)) / (sum(no) OVER g + count(*) OVER g)) AS o,
             ln((sum(yes) OVER g + 1) / (sum(no) OVER g + 1)) AS prior FROM {to}w WINDOW g AS (PARTITION BY kind, name)),
 {to} AS MATERIALIZED (SELECT {key}, sum(o) + max(prior) AS odds FROM {rel} JOIN {to}m USING (kind, name, value) GROUP BY 1),"""
     rounds_sql = "".join(fit(f"p{r}", "pat_long", "pid", f"p{r - 1}") for r in range(1, rounds + 1))

@@ -61,7 +61,7 @@ KINDS = (
          r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
          r"[A-Za-z0-9._%+-]+ ?[\[(]at[\])] ?[A-Za-z0-9-]+( ?(\.|[\[(]dot[\])]) ?[A-Za-z0-9-]+)+",
          r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++)++",
-         (Labeler("form", "plain", r"^[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@([A-Za-z0-9-]+\.)+[A-Za-z]{2,24}$", r"\.\.|^[._%+-]|@-|-\.|@[0-9.]+$"),
+         (Labeler("form", "plain", r"^[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9.-]{1,253}\.[A-Za-z]{2,24}$", r"\.\.|^[._%+-]|@-|-\.|@[0-9.]+$"),
           _CHECK,
           Labeler("gazetteer", "plain", r"\.(com|org|net|edu|gov|int|info|biz|io|at|au|be|br|ca|ch|cn|de|es|eu|fr|in|it|jp|mx|nl|uk|us)$",
                   r"\.(gif|html|invalid|jpg|js|local|png|py|test|txt)$"),
@@ -174,7 +174,8 @@ def _log_odds(model: dict[str, float], parts: dict[str, Column]) -> Column:
 
 
 def _model(weights: list) -> dict[str, float]:
-    """Log odds of each kind and of each of its features' values, from (kind, name, value, yes, no), smoothed by one."""
+    """Log odds of each kind and of each of its features' values, from (kind, name, value, yes, no). Either share is
+    smoothed towards that of the value among all, so that a rare value tells little."""
     model: dict[str, float] = {}
     groups: dict[tuple, list] = {}
     for kind, name, value, yes, no in weights:
@@ -183,7 +184,8 @@ def _model(weights: list) -> dict[str, float]:
         all_yes, all_no, n = sum(r[1] for r in rows), sum(r[2] for r in rows), len(rows)
         model[f"prior|{kind}"] = math.log((all_yes + 1) / (all_no + 1))
         for value, yes, no in rows:
-            model[f"{name}|{kind}|{value}"] = math.log((yes + 1) / (all_yes + n)) - math.log((no + 1) / (all_no + n))
+            some = n * (yes + no) / (all_yes + all_no)
+            model[f"{name}|{kind}|{value}"] = math.log((yes + some) / (all_yes + n)) - math.log((no + some) / (all_no + n))
     return model
 
 
