@@ -1,9 +1,10 @@
 """Price ticks → OHLC candles and indicators (mart 4: C2, E7, F2-F4, B9).
 
-Prices carry four decimals, so the mid price ``(bid + ask) / 2`` is exact in
-units of 1/2000000. Candles and moving averages work on those integer units and
-convert to a price once at the end; sums then do not depend on the order in
-which a distributed aggregate adds them.
+Quotes carry up to six decimals (``quality.split_ticks`` sets finer ones aside),
+so the mid price ``(bid + ask) / 2`` is exact in units of 1/2000000. Candles and
+moving averages work on those integer units and convert to a price once at the
+end; sums then do not depend on the order in which a distributed aggregate adds
+them. A finer quote that reaches an operator ends the job: it is never rounded.
 """
 
 from __future__ import annotations
@@ -26,22 +27,37 @@ def _price(units: Column) -> Column:
     return units.cast("double") / MID_SCALE
 
 
+QUOTE_DECIMALS = 6
+#: Units of a candle's order key per microsecond: beyond twice any mid price that is accepted.
+KEY_STEP = "10000000000000000000"
+
+
+def quote_is_exact(quote: Column) -> Column:
+    """Whether a quote has at most six decimals and a size whose units fit the order key; a NULL quote is neither."""
+    return (F.round(quote, QUOTE_DECIMALS) == quote) & (F.abs(quote) < 1e12)
+
+
 def with_mid(ticks: DataFrame) -> DataFrame:
     """Adds ``mid_units`` (exact, 1/2000000) and ``mid_price``."""
-    units = F.round((F.col("bid_price") + F.col("ask_price")) * (MID_SCALE // 2)).cast("bigint")
+    bid, ask = F.col("bid_price"), F.col("ask_price")
+    whole = [F.round(q * 10 ** QUOTE_DECIMALS).cast("bigint") for q in (bid, ask)]
+    units = (F.when(bid.isNull() | ask.isNull(), F.lit(None))
+             .when(quote_is_exact(bid) & quote_is_exact(ask), whole[0] + whole[1])
+             .otherwise(F.raise_error(F.concat(F.lit("quote finer than six decimals or out of range: "), bid, F.lit(", "), ask)).cast("bigint")))
     return ticks.withColumn("mid_units", units).withColumn("mid_price", _price(F.col("mid_units")))
 
 
-def _order_key(ts: str, units: str, minutes: int = 1) -> Column:
-    """Time order inside the candle; ties on the timestamp are broken by the price,
-    so open and close are deterministic for prices of any size."""
-    return F.struct(F.col(ts), F.col(units))
+def _order_key(ts: str, units: str) -> Column:
+    """Time order inside the candle; ties on the timestamp are broken by the price. One number
+    rather than a struct: of that, ``min_by`` and ``max_by`` run as a hash aggregate."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(19,0)")
+    return (micros * F.lit(KEY_STEP).cast("decimal(20,0)") + F.col(units).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def _direct_candles(ticks: DataFrame, minutes: int) -> DataFrame:
     """Candles of one width straight from ticks: one hash aggregate, one shuffle."""
     t = with_mid(ticks)
-    k = _order_key("tick_time", "mid_units", minutes)
+    k = _order_key("tick_time", "mid_units")
     return (t.groupBy("pair_name", bucket_start("tick_time", minutes).alias("candle_time"))
             .agg(F.min_by("mid_units", k).alias("open_u"), F.max("mid_units").alias("high_u"),
                  F.min("mid_units").alias("low_u"), F.max_by("mid_units", k).alias("close_u"),

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.barrier import evaluate_once
 from ..functions.parsing import parse_compact_time, parse_event_time, to_int, to_long
+from .forex import quote_is_exact
 
 ERRORS = "errors"
 
@@ -109,12 +110,17 @@ def split_usage_voice(wire: DataFrame) -> Split:
 
 
 def split_ticks(wire: DataFrame) -> Split:
-    """Tick messages (text time, numeric prices) → typed ticks + quarantine."""
+    """Tick messages (text time, numeric prices) → typed ticks + quarantine, which also takes
+    quotes that the marts could not hold exactly (``forex.quote_is_exact``)."""
+    def quote(c: str) -> Column:
+        x = F.col(c).cast("double")
+        return F.when(quote_is_exact(x), x)
+
     typed = {
         "tick_time": parse_event_time("timestamp"),
         "pair_name": F.col("pair_name"),
-        "bid_price": F.col("bid_price").cast("double"),
-        "ask_price": F.col("ask_price").cast("double"),
+        "bid_price": quote("bid_price"),
+        "ask_price": quote("ask_price"),
         "spread": F.col("spread").cast("double"),
     }
     return _split(wire, typed, ["tick_time", "bid_price", "ask_price"], MAX_LENGTHS["ticks"])

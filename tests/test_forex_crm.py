@@ -96,3 +96,25 @@ def test_blocked_indicators_equal_per_pair_window(spark):
         got = forex.with_indicators(m1, "M1", block_rows=block)
         assert got.count() == want.count() == 600
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, block
+
+
+def test_quotes_of_any_size_are_exact_or_set_aside(spark):
+    import pytest
+
+    from meterflow.operators import quality
+    wire = [("2024-01-01 00:00:00.000001", "A", 0.0000010, 0.000002, 0.0), ("2024-01-01 00:00:01", "A", 1e-8, 3e-8, 2e-8),
+            ("2024-01-01 00:00:02", "A", 123456789.123456, 123456789.123457, 0.0), ("2024-01-01 00:00:03", "A", -1.5, -1.25, 0.25),
+            ("2024-01-01 00:00:04", "A", 1e300, 1.0, 0.0), ("2024-01-01 00:00:05", "A", 1.1234567, 1.2, 0.0)]
+    split = quality.split_ticks(spark.createDataFrame(wire, "timestamp string, pair_name string, bid_price double, ask_price double, spread double"))
+    assert sorted(r["errors"] for r in split.quarantine.collect()) == ["bid_price", "bid_price", "bid_price,ask_price"]
+    out = forex.candles(split.good, 1).first()
+    assert (out.open_price, out.high_price, out.low_price, out.close_price, out.tick_count) == (1.5e-6, 123456789.1234565, -1.375, -1.375, 3)
+    bad = spark.createDataFrame([(ts("2024-01-01 00:00:00"), "A", 1e-8, 3e-8, 0.0)], split.good.schema)
+    with pytest.raises(Exception, match="finer than six decimals"):
+        forex.candles(bad, 1).collect()
+
+
+def test_candle_ties_on_time_go_by_price(spark):
+    rows = [(ts("2024-01-01 00:00:00.5"), "A", p, p, 0.0) for p in (2.0, -3.0, 1.0)]
+    out = forex.candles(spark.createDataFrame(rows, "tick_time timestamp_ntz, pair_name string, bid_price double, ask_price double, spread double"), 30).first()
+    assert (out.open_price, out.close_price) == (-3.0, 2.0)

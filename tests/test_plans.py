@@ -6,9 +6,10 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from meterflow.plans.catalog import JOBS
 
 SF = "/root/testdata/sf0.001"
-BATCH = sorted(k for k in E.queries() if not k.startswith("stream_"))
+BATCH = sorted(k for k in JOBS if not k.startswith("stream_"))
 
 
 @pytest.mark.parametrize("key", BATCH)
