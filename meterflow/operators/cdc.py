@@ -20,12 +20,3 @@ def latest_by_key(changes: DataFrame, keys: list[str], order: tuple[str, ...] =
     g = changes.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_l"))
     out = g.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in cols])
     return out if keep_deletes else out.where(~F.col("op").eqNullSafe("d"))   # a change without op is an upsert
-
-
-def apply_changes(current: DataFrame, changes: DataFrame, keys: list[str],
-                  order: tuple[str, ...] = ORDER) -> DataFrame:
-    """The latest change per key of ``current`` and ``changes``, with ``op`` and ``lsn``, deletes
-    kept: as ``current`` of the next batch they hold off older changes that come late, so batches in
-    any order end like ``latest_by_key`` over all changes at once."""
-    ch = changes.select(*current.columns[:-2], "op", F.col("lsn").cast("bigint"))
-    return latest_by_key(current.unionByName(ch), keys, order, keep_deletes=True).select(*current.columns)

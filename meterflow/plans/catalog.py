@@ -6,6 +6,7 @@ and runs one operator or mart over the whole input.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,13 +17,17 @@ from ..functions.timebuckets import bucket_start, day_string
 from ..operators import cdc as cdc_ops
 from ..operators import crm, forex, quality, serving, sessions, usage
 from ..session import work_dir
-from ..sinks import tables as table_sink
+from ..sinks import keyed, tables as table_sink
 from ..sinks import topics as topic_sink
 from ..sources import cdc as cdc_src
-from ..sources import topics
+from ..sources import files, topics
 from ..session import prepare
 from ..sources.fixtures import load, load_stream
-from ..streaming import daily, ingest
+from ..sources.raw import read_serving_for
+from ..streaming import daily, flush, ingest
+
+#: Buckets of the serving table that the lookups read: the test tables hold a few MB a day.
+LOOKUP_BUCKETS = 2
 
 Job = Callable[[SparkSession, str], DataFrame]
 JOBS: dict[str, Job] = {}
@@ -216,6 +221,38 @@ def _ts_parse(spark, sf):
     return w.select(F.col("event_datetime").alias("event_text"), parse_event_time("event_datetime").alias("event_time"))
 
 
+def _write_drops(spark, sf):
+    """The data feed as CSV drops with three headers: the usual one, one turned round with a column
+    that nothing reads, and one in another order without the address."""
+    rows = load(spark, sf, "cdr_data_drop")
+    names = schemas.CDR_DATA_FIELDS
+    path = work_dir(spark, "drops", "cdr_data")
+    shapes = [names, [*reversed(names), "note"], [c for c in (names[3:] + names[:3]) if c != "ip_address"]]
+    for layout, columns in enumerate(shapes):
+        part = rows.where(F.col("layout") == layout).withColumn("note", F.concat(F.lit('a "note", of '), "msisdn"))
+        part.select(*columns).write.mode("append").option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+@job("cdr_csv_typed")
+def _csv_typed(spark, sf):
+    """A1: CSV drops whose files differ in their headers, read by column name and typed."""
+    return quality.split_cdr_data(files.read_cdr_data(spark, _write_drops(spark, sf), glob="part-*")).good
+
+
+@job("stream_csv_ingest")
+def _stream_csv(spark, sf):
+    """The same drops as a stream, a few files at a time, published to the topic by msisdn and
+    persisted from there as typed rows."""
+    base = work_dir(spark, "streams", "csv")
+    _await(ingest.start_drop_ingest(spark, _write_drops(spark, sf), "cdr_data", f"{base}/ckpt/drops", topics_path=f"{base}/topics",
+                                    max_files_per_trigger=4, glob="part-*"))
+    msgs = topics.read_topics(spark, [topics.CDR_DATA_TOPIC], "json", f"{base}/topics", streaming=True)
+    _await(ingest.start_raw_ingest(msgs, topics.CDR_DATA_TOPIC, schemas.CDR_DATA_WIRE, "cdr_data",
+                                   f"{base}/raw", f"{base}/quarantine", f"{base}/ckpt/raw"))
+    return spark.read.schema(schemas.CDR_DATA).parquet(f"{base}/raw").select(*schemas.CDR_DATA.fieldNames())
+
+
 def _all_messages(spark, sf):
     return (topic_sink.to_messages(load(spark, sf, "cdr_data_wire"), topics.CDR_DATA_TOPIC, "msisdn")
             .unionByName(topic_sink.to_messages(load(spark, sf, "cdr_voice_wire"), topics.CDR_VOICE_TOPIC, "msisdn"))
@@ -301,16 +338,25 @@ def _req_errors(spark, sf):
     return v.where(F.col("error").isNotNull()).select("request_id", "msisdn", "start_time", "end_time", "error")
 
 
+def _stored_rows(spark, sf, requests):
+    """The serving table, written, and read for the requests."""
+    path = work_dir(spark, "serving")
+    table_sink.write_daily_usage(serving.daily_usage_rows(_type_usage(spark, sf)), path, LOOKUP_BUCKETS)
+    return read_serving_for(spark, path, requests, LOOKUP_BUCKETS)
+
+
 @job("usage_lookup_response")
 def _lookup_response(spark, sf):
+    """The JSON answer to every valid request, from the stored serving table."""
     v = quality.validate_requests(load(spark, sf, "lookup_requests"))
-    return serving.lookup_responses(v, serving.daily_usage_rows(_type_usage(spark, sf)))
+    return serving.lookup_responses(v, _stored_rows(spark, sf, v))
 
 
 @job("usage_lookup")
 def _lookup(spark, sf):
+    """The rows of every valid request, from the stored serving table."""
     v = quality.validate_requests(load(spark, sf, "lookup_requests"))
-    return serving.usage_lookup(v, serving.daily_usage_rows(_type_usage(spark, sf)))
+    return serving.usage_lookup(v, _stored_rows(spark, sf, v))
 
 
 # -- streams -----------------------------------------------------------------------------
@@ -405,22 +451,122 @@ def _stream_raw(spark, sf):
     return spark.read.parquet(f"{base}/raw").drop("batch")
 
 
-@job("stream_cdc_accounts")
-def _stream_cdc(spark, sf):
-    """The account change feed applied continuously to the keyed accounts table, in
-    four parts out of order: older changes and updates of deleted keys come late."""
-    path = work_dir(spark, "topics", "cdc-accounts")
+def _stream_changes(spark, sf, table):
+    """A change feed applied continuously to its keyed table, in four parts out of order: older changes
+    and updates of deleted keys come late; the table is compacted on the way."""
+    name = {"accounts": "account_changes", "addresses": "address_changes", "devices": "device_changes"}[table]
+    row, keys = schemas.CDC_ROWS[table], schemas.CDC_KEYS[table]
+    path = work_dir(spark, "topics", f"cdc-{table}")
     base = work_dir(spark, "streams", "cdc")
-    changes = load(spark, sf, "account_changes")
+    changes = load(spark, sf, name)
     for part in range(4):
-        ev = cdc_src.to_change_events(changes.where(F.pmod(F.xxhash64("lsn"), F.lit(4)) == part), schemas.ACCOUNTS,
-                                      ["account_id"], "accounts")
+        ev = cdc_src.to_change_events(changes.where(F.pmod(F.xxhash64("lsn"), F.lit(4)) == part), row, keys, table)
         topic_sink.write_messages(ev, "json", path)
-        msgs = topics.read_topics(spark, ["crm.crm_system.accounts"], "json", path, streaming=True)
-        q = ingest.start_cdc_apply(msgs, schemas.ACCOUNTS, ["account_id"], f"{base}/accounts", f"{base}/checkpoint",
-                                   buckets=FIXTURE_KEYED_BUCKETS)
+        msgs = topics.read_topics(spark, [topics.CDC_TOPIC_PREFIX + table], "json", path, streaming=True)
+        q = ingest.start_cdc_apply(msgs, row, keys, f"{base}/table", f"{base}/checkpoint", buckets=FIXTURE_KEYED_BUCKETS,
+                                   compact_every=2, ratio=1.2)
         _await(q)
-    return table_sink.read_keyed(spark, f"{base}/accounts", schemas.ACCOUNTS)
+    return keyed.read_keyed(spark, f"{base}/table", keys, row)
+
+
+@job("stream_cdc_accounts")
+def _stream_cdc(spark, sf):
+    """The account change feed."""
+    return _stream_changes(spark, sf, "accounts")
+
+
+@job("stream_cdc_addresses")
+def _stream_cdc_addresses(spark, sf):
+    """The address change feed."""
+    return _stream_changes(spark, sf, "addresses")
+
+
+@job("stream_cdc_devices")
+def _stream_cdc_devices(spark, sf):
+    """The device change feed."""
+    return _stream_changes(spark, sf, "devices")
+
+
+@job("stream_cdc_dead_letters")
+def _stream_dead(spark, sf):
+    """The account change feed with events cut short, without a row image and without a key; what
+    cannot be applied is in the side table with its reason."""
+    keys, row = schemas.CDC_KEYS["accounts"], schemas.ACCOUNTS
+    base = work_dir(spark, "streams", "cdc-dead")
+    changes = load(spark, sf, "account_changes")
+    ev = cdc_src.to_change_events(changes, row, keys, "accounts").withColumn("lsn", F.regexp_extract("value", r'"lsn":(\d+)', 1).cast("long"))
+    value = (F.when(F.col("lsn") % 53 == 0, F.substring("value", 1, 40))
+             .when(F.col("lsn") % 59 == 0, F.regexp_replace("value", '"after":\\{[^}]*\\},?', ""))
+             .when(F.col("lsn") % 61 == 0, F.regexp_replace("value", '"account_id":\\d+,?', "")).otherwise(F.col("value")))
+    topic_sink.write_messages(ev.select("topic", F.col("lsn").cast("string").alias("key"), value.alias("value")), "json", f"{base}/topic")
+    msgs = topics.read_topics(spark, [topics.CDC_TOPIC_PREFIX + "accounts"], "json", f"{base}/topic", streaming=True)
+    _await(ingest.start_cdc_apply(msgs, row, keys, f"{base}/table", f"{base}/checkpoint", buckets=FIXTURE_KEYED_BUCKETS,
+                                  quarantine_path=f"{base}/quarantine"))
+    dead = spark.read.schema("topic string, key string, value string, error string").option("recursiveFileLookup", True).parquet(f"{base}/quarantine")
+    return dead.select(F.col("key").cast("long").alias("lsn"), "error")
+
+
+@job("stream_summary_to_serving")
+def _stream_serving(spark, sf):
+    """Nested summaries of every subscriber-day from the topic into the serving table; the newest version
+    of each comes first and an older one, of half the usage, after it."""
+    base = work_dir(spark, "streams", "serving")
+    usage_rows = _type_usage(spark, sf)
+    half = usage_rows.select(*usage_rows.columns[:4], *[F.floor(F.col(c) / 2).cast("bigint").alias(c) for c in usage_rows.columns[4:]])
+    for rows, sent in ((usage_rows, "2024-06-01T00:00:02.000000"), (half, "2024-06-01T00:00:01.000000")):
+        msgs = topic_sink.to_messages(serving.daily_summary(rows, now=F.lit(sent)), topics.SUMMARY_TOPIC, "msisdn")
+        topic_sink.write_messages(msgs, "json", f"{base}/topic")
+        src = topics.read_topics(spark, [topics.SUMMARY_TOPIC], "json", f"{base}/topic", streaming=True)
+        _await(daily.start_summary_to_serving(src, f"{base}/serving", f"{base}/checkpoint", buckets=FIXTURE_SERVING_BUCKETS))
+    return daily.read_serving(spark, f"{base}/serving")
+
+
+FLUSH_TIMEOUT_S = 300
+
+
+@job("stream_idle_flush")
+def _stream_flush(spark, sf):
+    """Both feeds in three parts while the stream runs: most of all days but the newest, then the
+    newest day, which closes the others, then the rest of the closed days. The last summary published
+    of each subscriber-day holds all of its usage."""
+    base = work_dir(spark, "streams", "flush")
+    feeds = {"cdr_data": "event_datetime", "cdr_voice": "start_time"}
+    whole = {name: load(spark, sf, name) for name in feeds}
+    newest = max((t for t in (whole[n].agg(F.max(F.to_date(c))).first()[0] for n, c in feeds.items()) if t), default=None)
+    streams = []
+    for name, c in feeds.items():
+        part = F.when(F.to_date(c) == F.lit(newest).cast("date"), 1).when(F.pmod(F.xxhash64("msisdn", c), F.lit(5)) == 0, 2).otherwise(0)
+        whole[name] = whole[name].withColumn("part", part)
+        table_sink.make_folder(spark, f"{base}/{name}")
+        streams.append(spark.readStream.schema(whole[name].drop("part").schema).option("recursiveFileLookup", True).parquet(f"{base}/{name}"))
+    table_sink.make_folder(spark, f"{base}/summary")
+    q = flush.start_flush(*streams, f"{base}/summary", f"{base}/late", f"{base}/checkpoint", idle_ms=1000, recheck_ms=1000,
+                          watermark="1 hour", processing_time="1 second")
+
+    def published():
+        m = spark.read.schema(schemas.TOPIC_MESSAGE).option("recursiveFileLookup", True).json(f"{base}/summary")
+        s = topics.parse_messages(m, schemas.USAGE_SUMMARY)
+        return s.groupBy("msisdn", "date").agg(F.max_by(F.struct(*s.columns), "timestamp").alias("s")).select("s.*")
+
+    def usage_of(rows):
+        return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in ("up_bytes", "down_bytes", "call_duration_sec", "call_count")]).first()
+
+    try:
+        for part in range(3):
+            for name in feeds:
+                whole[name].where(F.col("part") == part).drop("part").write.parquet(f"{base}/staged-{name}-{part}")
+                table_sink.publish_folder(spark, f"{base}/staged-{name}-{part}", f"{base}/{name}/{part}")
+            kept = {n: whole[n].where(F.col("part") <= part).drop("part") for n in feeds}
+            want, until = usage_of(usage.daily_type_usage(kept["cdr_data"], kept["cdr_voice"])), time.time() + FLUSH_TIMEOUT_S
+            while usage_of(serving.summary_to_type_usage(published())) != want:
+                if q.exception():
+                    raise RuntimeError(str(q.exception()))
+                if time.time() > until:
+                    raise TimeoutError(f"part {part} was not published in {FLUSH_TIMEOUT_S}s")
+                time.sleep(1)
+    finally:
+        q.stop()
+    return published().select("msisdn", "date", F.size("data_usage").alias("data_types"), F.size("voice_usage").alias("voice_types"), "costs.*")
 
 
 @job("tower_session_pair_summary")

@@ -482,6 +482,16 @@ def _():
 ORACLE["stream_daily_usage"] = cte("cdr_data", "cdr_voice") + ",\n" + _TYPE_USAGE + "\nSELECT * FROM tu"
 ORACLE["stream_daily_usage_late"] = ORACLE["stream_daily_usage"]
 ORACLE["stream_raw_ingest"] = ORACLE["cdr_data_typed"]
+
+
+@oracle("cdr_csv_typed", "cdr_data_drop")
+def _():
+    return f"""SELECT msisdn, CAST(tower_id AS INTEGER) AS tower_id, CAST(up_bytes AS BIGINT) AS up_bytes, CAST(down_bytes AS BIGINT) AS down_bytes,
+        data_type, CASE WHEN layout < 2 THEN ip_address END AS ip_address, website_url, {_ts('event_datetime')} AS event_datetime
+      FROM cdr_data_drop WHERE up_bytes NOT LIKE '%bad%'"""
+
+
+ORACLE["stream_csv_ingest"] = ORACLE["cdr_csv_typed"]
 ORACLE["stream_cdc_accounts"] = ORACLE["cdc_latest_accounts"]
 
 
@@ -561,3 +571,16 @@ def _():
                     'voice_cost_wak': CAST({_cents_voice('s')} AS DOUBLE) / 100,
                     'total_cost_wak': CAST({_cents_total('b', 's')} AS DOUBLE) / 100}}}}) AS VARCHAR) AS summary
       FROM s"""
+
+
+ORACLE["stream_idle_flush"] = ORACLE["stream_daily_summary"]
+ORACLE["stream_summary_to_serving"] = ORACLE["daily_usage_rows"]
+ORACLE["stream_cdc_addresses"] = ORACLE["cdc_latest_addresses"]
+ORACLE["stream_cdc_devices"] = ORACLE["cdc_latest_devices"]
+
+
+@oracle("stream_cdc_dead_letters", "account_changes")
+def _():
+    # Deletes have no row image to lose.
+    return """SELECT lsn, CASE WHEN lsn % 53 = 0 THEN 'unreadable' WHEN lsn % 59 = 0 THEN 'no row image' ELSE 'no key' END AS error
+      FROM account_changes WHERE lsn % 53 = 0 OR (lsn % 59 = 0 AND op <> 'd') OR (lsn % 59 <> 0 AND lsn % 61 = 0)"""

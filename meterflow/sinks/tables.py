@@ -5,15 +5,12 @@ patterns cover the source system's writes:
 
 * date-partitioned serving rows, replaced per touched date with dynamic
   partition overwrite (a replayed micro-batch writes the same rows again);
-* keyed dimension tables partitioned by a hash bucket of the key; a batch of
-  changes rewrites only the buckets it touches.
+* keyed dimension tables take appended changes (``sinks.keyed``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-
-from ..operators.cdc import apply_changes
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def with_audit(df: DataFrame) -> DataFrame:
@@ -44,6 +41,19 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+
+
+def publish_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Make a folder that has been written whole appear under its name; an existing one is an error."""
+    src, dst = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, target))
+    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise OSError(f"{staged} was not published as {target}")
+
+
 def _reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the session's shared checkpoint folder (never executor-local)."""
     from ..session import reliable_checkpoint
@@ -63,8 +73,9 @@ def partition_filter(df: DataFrame, partition_cols: list[str]):
 
 
 def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols: list[str],
-                      sort_cols: list[str] | None = None) -> None:
-    """Upsert ``rows`` into a table partitioned by ``partition_cols``: last write wins per key.
+                      sort_cols: list[str] | None = None, version: str | None = None) -> None:
+    """Upsert ``rows`` into a table partitioned by ``partition_cols``: last write wins per key (B5), or with
+    ``version`` the row of the greatest value of that column, a stored one of none or less.
 
     Only the partitions present in ``rows`` are read and rewritten (dynamic
     partition overwrite); ``key`` must include the partition columns. The
@@ -79,8 +90,13 @@ def upsert_partitions(rows: DataFrame, path: str, key: list[str], partition_cols
         # only the touched partitions; the semi join keeps the exact pairs.
         old = (spark.read.schema(rows.schema).parquet(path).where(partition_filter(rows, partition_cols))
                .join(touched, partition_cols, "left_semi"))
-        keep = old.join(rows.select(*key), key, "left_anti")
-        merged = keep.unionByName(rows.select(*old.columns))
+        new = rows.select(*old.columns)
+        if version:
+            # Only what is not older than its stored row replaces it.
+            stored = old.select(*key, F.col(version).alias("_stored"))
+            new = new.join(stored, key, "left").where(F.col("_stored").isNull() | (F.col("_stored") <= F.col(version))).drop("_stored")
+        keep = old.join(new.select(*key), key, "left_anti")
+        merged = keep.unionByName(new)
         merged = _reliable_checkpoint(merged)
     # Cluster rows by partition so each partition is written by few tasks;
     # ``rebalance`` lets AQE split a hot partition instead of one task writing it.
@@ -97,66 +113,10 @@ def write_daily_usage(rows: DataFrame, path: str, buckets: int | None = None) ->
     """Serving table write (B5, G3): partitioned by (date, bucket of msisdn) — the
     source store's (msisdn, date) partition key — with rows clustered as
     (msisdn, hour, category, usage_type) inside each partition. A micro-batch
-    rewrites only the (date, bucket) partitions it touches."""
+    rewrites only the (date, bucket) partitions it touches. Rows that bring
+    ``updated_at`` replace only stored ones that are not newer; others get the time of the write."""
     from ..operators.serving import SERVING_KEY, with_bucket
-    b = with_bucket(rows, buckets)
+    versioned = "updated_at" in rows.columns
+    b = with_bucket(rows if versioned else rows.withColumn("updated_at", F.current_timestamp().cast("timestamp_ntz")), buckets)
     upsert_partitions(b, path, SERVING_KEY + ["bucket"], ["date", "bucket"],
-                      ["msisdn", "hour", "category", "usage_type"])
-
-
-# -- keyed dimension table ---------------------------------------------------------------------
-
-# Hash buckets of the key in a keyed table (a table property: keep it fixed).
-KEYED_BUCKETS = 64
-
-
-def _with_key_bucket(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
-
-
-# Stored with each row of a keyed table: the change it comes from. A deleted key stays as a row with
-# op 'd' (a tombstone). Rows of tables from before have neither and are older than any change of their time.
-CHANGE = [T.StructField("op", T.StringType(), True), T.StructField("lsn", T.LongType(), True)]
-
-
-def read_stored(spark: SparkSession, path: str, schema, bucket_filter=None) -> DataFrame:
-    """Stored rows of a keyed table, tombstones included, with ``op`` and ``lsn`` (empty when it does not
-    exist yet), optionally only from the buckets selected by ``bucket_filter``."""
-    stored = T.StructType(schema.fields + CHANGE)
-    if not _exists(spark, path):
-        return spark.createDataFrame([], stored)
-    t = spark.read.schema(T.StructType(stored.fields + [T.StructField("bucket", T.IntegerType(), True)])).parquet(path)
-    if bucket_filter is not None:
-        t = t.where(bucket_filter)
-    return t.select(*stored.fieldNames())
-
-
-def read_keyed(spark: SparkSession, path: str, schema, bucket_filter=None) -> DataFrame:
-    """Current rows of a keyed table (empty when it does not exist yet),
-    optionally only from the buckets selected by ``bucket_filter``."""
-    return (read_stored(spark, path, schema, bucket_filter).where(~F.col("op").eqNullSafe("d"))
-            .select(*schema.fieldNames()))
-
-
-def upsert_changes(changes: DataFrame, path: str, keys: list[str], schema, buckets: int = KEYED_BUCKETS) -> None:
-    """Apply a batch of changes (row columns + ``op``, ``lsn``) to the keyed table at
-    ``path`` (B4): insert, replace every non-key column, or delete (a tombstone stays).
-
-    The table is partitioned by a hash bucket of the key; only the buckets the
-    batch touches are read, merged (``apply_changes``) and rewritten with
-    dynamic partition overwrite, so a batch costs O(touched buckets), not
-    O(table). Each row keeps the ``lsn`` of its change, so a delayed older change
-    neither replaces a row nor brings a deleted key back, and replaying a
-    batch yields the same rows: the write is idempotent.
-    """
-    spark = changes.sparkSession
-    ch = _with_key_bucket(changes, keys, buckets)
-    exists = _exists(spark, path)
-    cur = read_stored(spark, path, schema, bucket_filter=partition_filter(ch, ["bucket"]) if exists else None)
-    merged = apply_changes(cur, ch.drop("bucket"), keys)
-    merged = _with_key_bucket(merged, keys, buckets)
-    if exists:
-        merged = _reliable_checkpoint(merged)
-    # Every touched bucket has a row, if only a tombstone, so all of them are rewritten.
-    (merged.hint("rebalance", "bucket").sortWithinPartitions("bucket", *keys).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+                      ["msisdn", "hour", "category", "usage_type"], version="updated_at" if versioned else None)

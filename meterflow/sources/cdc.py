@@ -8,6 +8,9 @@ timestamps travel as epoch microseconds.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType, TimestampNTZType
 
@@ -19,20 +22,42 @@ def _ts_fields(row: StructType) -> set[str]:
     return {f.name for f in row.fields if isinstance(f.dataType, TimestampNTZType)}
 
 
-def parse_changes(messages: DataFrame, row: StructType, keys: list[str]) -> DataFrame:
-    """JSON change events → one flat row per change:
-    ``op, lsn, <row columns>``; non-key columns are NULL for a delete and
-    a delete's ``modified_ts`` is the event time."""
+# Why an event cannot be applied.
+UNREADABLE, NO_IMAGE, NO_KEY = "unreadable", "no row image", "no key"
+
+
+@dataclass(frozen=True)
+class ChangeSplit:
+    """Both outputs of one parse of change events. Persist ``parsed`` when reading both."""
+    parsed: DataFrame
+    columns: list[str]
+    raw_columns: list[str]
+
+    @property
+    def good(self) -> DataFrame:
+        return self.parsed.where(F.col("error") == "").select(*self.columns)
+
+    @property
+    def dead(self) -> DataFrame:
+        """Events that cannot be applied, as they came, with ``error``."""
+        return self.parsed.where(F.col("error") != "").select(*[F.col(f"_raw.{c}").alias(c) for c in self.raw_columns], "error")
+
+
+def split_changes(messages: DataFrame, row: StructType, keys: list[str]) -> ChangeSplit:
+    """JSON change events → flat changes, and the events that cannot be applied.
+
+    A flat change is ``op, lsn, <row columns>``; non-key columns are NULL for a delete and a delete's
+    ``modified_ts`` is the event time. An event is unreadable if its value is no JSON or has none of an
+    event's fields, else it lacks the row image (C12: only a delete may) or the key. A message without a
+    value is what connectors send after a delete for the broker's own clean-up: no event, in neither output."""
     v = F.from_json("value", cdc_envelope(row), {"mode": "PERMISSIVE"})
-    x = messages.select(v.alias("v"))
+    x = messages.where(F.col("value").isNotNull()).select(F.struct(*messages.columns).alias("_raw"), v.alias("v"))
 
     def pick(field: str) -> Column:
         return F.coalesce(F.col(f"v.payload.{field}"), F.col(f"v.{field}"))
 
-    x = evaluate_once(x.select(pick("op").alias("op"), pick("before").alias("before"), pick("after").alias("after"),
-                               pick("ts_ms").alias("ts_ms"), pick("source").alias("source")))
-    # An event without a row image is only meaningful as a delete.
-    x = x.where(F.col("after").isNotNull() | (F.col("op") == "d"))
+    fields = ("op", "before", "after", "ts_ms", "source")
+    x = evaluate_once(x.select("_raw", *[pick(f).alias(f) for f in fields]))
     ts = _ts_fields(row)
     cols = []
     for f in row.fields:
@@ -45,11 +70,20 @@ def parse_changes(messages: DataFrame, row: StructType, keys: list[str]) -> Data
             if f.name == "modified_ts":
                 c = F.coalesce(c, F.timestamp_millis(F.col("ts_ms")).cast("timestamp_ntz"))
         cols.append(c.cast(f.dataType).alias(f.name))
-    out = x.select("op", F.col("source.lsn").alias("lsn"), *cols)
-    # A change without its key cannot be applied to a keyed table: skip it.
-    for k in keys:
-        out = out.where(F.col(k).isNotNull())
-    return out
+
+    def every(conditions: list[Column]) -> Column:
+        return reduce(lambda a, b: a & b, conditions)
+
+    no_image = F.col("after").isNull() & ~F.col("op").eqNullSafe("d")
+    has_key = every([F.coalesce(F.col(f"after.{k}"), F.col(f"before.{k}")).isNotNull() for k in keys])
+    error = (F.when(every([F.col(f).isNull() for f in fields]), UNREADABLE).when(no_image, NO_IMAGE).when(~has_key, NO_KEY).otherwise(""))
+    x = x.select("_raw", "op", F.col("source.lsn").alias("lsn"), *cols, error.alias("error"))
+    return ChangeSplit(x, ["op", "lsn", *row.fieldNames()], messages.columns)
+
+
+def parse_changes(messages: DataFrame, row: StructType, keys: list[str]) -> DataFrame:
+    """The changes that can be applied, flat (see ``split_changes``)."""
+    return split_changes(messages, row, keys).good
 
 
 def to_change_events(changes: DataFrame, row: StructType, keys: list[str], table: str) -> DataFrame:

@@ -123,6 +123,18 @@ ADAPTERS: dict[str, Adapter] = {a.name: a for a in [
         "AS call_duration_sec",
         f"CASE WHEN event_id % 2 = 0 THEN substr({TS_TEXT}, 1, 19) ELSE {TS_TEXT} END AS start_time",
     ], VOICE_EVENTS, ("events",)),
+    # CSV drops of the data feed: addresses with separators and quotes, and which of three headers a row's file has.
+    Adapter("cdr_data_drop", "events", [
+        f"{MSISDN_OF_USER} AS msisdn",
+        "CAST(1 + event_id % 3 AS STRING) AS tower_id",
+        f"CASE WHEN event_id % 97 = 0 THEN 'bad, \"bad\"' ELSE CAST({UP} AS STRING) END AS up_bytes",
+        f"CAST({DOWN} AS STRING) AS down_bytes",
+        f"{DATA_TYPE_OF_ID} AS data_type",
+        "'10.' || CAST(user_id % 256 AS STRING) || '.' || CAST(event_id % 256 AS STRING) || '.1' AS ip_address",
+        "'https://www.site' || CAST(event_id % 97 AS STRING) || '.co.za/?q=\"a,' || CAST(event_id % 7 AS STRING) || '\",b' AS website_url",
+        f"{TS_TEXT} AS event_datetime",
+        "CAST(event_id % 3 AS INT) AS layout",
+    ], DATA_EVENTS, ("events",)),
     # Tick messages: text time (some unreadable), numeric prices.
     Adapter("tick_wire", "events", [
         f"CASE WHEN event_id % 83 = 0 THEN 'n/a' ELSE {TS_TEXT} END AS timestamp",

@@ -27,12 +27,15 @@ def load_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     the current rows, without the tombstones of deleted keys."""
     schema, path = RAW_SCHEMAS[name], f"{root.rstrip('/')}/{name}"
     if name not in schemas.CDC_ROWS:
-        return spark.read.schema(schema).parquet(path)
-    stored = T.StructType(schema.fields + [T.StructField("op", T.StringType(), True)])
-    return spark.read.schema(stored).parquet(path).where(~F.col("op").eqNullSafe("d")).select(*schema.fieldNames())
+        # The folders of micro-batches below are no column of the table.
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    from ..sinks.keyed import read_keyed
+    return read_keyed(spark, path, schemas.CDC_KEYS[name], schema)
 
 
-SERVING_STORED = T.StructType(schemas.DAILY_USAGE.fields + [T.StructField("bucket", T.IntegerType(), True)])
+#: ``updated_at`` is when the row was written, or the time of the summary it comes from; NULL in tables from before.
+SERVING_STORED = T.StructType(schemas.DAILY_USAGE.fields + [
+    T.StructField("updated_at", T.TimestampNTZType(), True), T.StructField("bucket", T.IntegerType(), True)])
 
 
 def read_serving_table(spark: SparkSession, path: str) -> DataFrame:
@@ -40,6 +43,20 @@ def read_serving_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SERVING_STORED).parquet(path)
 
 
+def read_serving_for(spark: SparkSession, path: str, requests: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The stored rows that validated lookup requests can touch (A7, C8): the days and buckets they name
+    become a partition filter, so no other partition is listed or read. At most one value a stored
+    partition travels to the driver: days are cut to those that the table has."""
+    from ..operators.serving import lookup_partitions
+    from ..sinks.tables import partition_filter
+    stored = read_serving_table(spark, path)
+    wanted = lookup_partitions(requests, buckets)
+    # Partition columns alone are asked for here: this reads no file.
+    present = stored.select("date", "bucket").distinct()
+    touched = wanted.join(present, ["date", "bucket"], "left_semi")
+    return stored.where(partition_filter(touched, ["date", "bucket"])).select(*schemas.DAILY_USAGE.fieldNames())
+
+
 def scan_serving(spark: SparkSession, path: str, msisdn: str, start_date: str, end_date: str,
                  buckets: int | None = None) -> DataFrame:
     """Keyed range scan of the serving table: one subscriber, dates inclusive.

@@ -20,12 +20,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.serving import daily_summary, daily_usage_rows, SERVING_COLUMNS, with_bucket
+from ..operators.serving import SERVING_COLUMNS, daily_summary, daily_usage_rows, summary_updates, with_bucket
 from ..sources.raw import read_serving_table
 from ..operators.usage import usage_stream
 from ..session import use_rocksdb_state
 from ..sinks.tables import partition_filter, write_daily_usage
-from ..sinks.topics import to_messages
+from ..sinks.topics import publish_batch, to_messages
+from ..sources.topics import SUMMARY_TOPIC, parse_messages
+from .. import schemas
 
 TYPE_USAGE_COLUMNS = ["msisdn", "date", "category", "usage_type", "up_bytes", "down_bytes",
                       "call_duration_sec", "call_count"]
@@ -49,16 +51,17 @@ def daily_usage_state(cdr_data: DataFrame | None, cdr_voice: DataFrame | None,
     return g.select(*TYPE_USAGE_COLUMNS)
 
 
-def serving_writer(serving_path: str, summary_path: str | None = None, buckets: int | None = None):
+def serving_writer(serving_path: str, summary_path: str | None = None, buckets: int | None = None,
+                   fmt: str = "json", bootstrap: str | None = None):
     """foreachBatch function: upsert changed serving rows (J9); optionally publish
-    the nested daily summary of every touched subscriber-day (B2, J4)."""
+    the nested daily summary of every touched subscriber-day (B2, J4) to a folder or Kafka."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
             write_daily_usage(daily_usage_rows(batch), serving_path, buckets)
-            if summary_path:
+            if summary_path or fmt != "json":
                 spark = batch.sparkSession
                 # Only the touched (date, bucket) partitions are listed and read.
                 touched = with_bucket(batch.select("msisdn", "date").distinct(), buckets)
@@ -66,8 +69,7 @@ def serving_writer(serving_path: str, summary_path: str | None = None, buckets:
                         .where(partition_filter(touched, ["date", "bucket"]))
                         .join(touched, ["date", "bucket", "msisdn"], "left_semi").select(*SERVING_COLUMNS))
                 summ = daily_summary(rows.select(*TYPE_USAGE_COLUMNS))
-                (to_messages(summ, "cdr-usage-summary", "msisdn")
-                 .write.mode("overwrite").json(f"{summary_path}/batch={batch_id}"))
+                publish_batch(to_messages(summ, SUMMARY_TOPIC, "msisdn"), batch_id, fmt, summary_path, bootstrap)
         finally:
             batch.unpersist()
     return write
@@ -76,7 +78,7 @@ def serving_writer(serving_path: str, summary_path: str | None = None, buckets:
 def start_daily_usage(cdr_data: DataFrame | None, cdr_voice: DataFrame | None, serving_path: str,
                       checkpoint: str, watermark: str | None = None, summary_path: str | None = None,
                       available_now: bool = True, processing_time: str = "10 seconds",
-                      buckets: int | None = None) -> StreamingQuery:
+                      buckets: int | None = None, fmt: str = "json", bootstrap: str | None = None) -> StreamingQuery:
     """Start the daily usage stream into the serving table.
 
     ``buckets`` is the serving table's msisdn bucket count per date (a table
@@ -87,7 +89,25 @@ def start_daily_usage(cdr_data: DataFrame | None, cdr_voice: DataFrame | None, s
     use_rocksdb_state((cdr_data if cdr_data is not None else cdr_voice).sparkSession)
     agg = daily_usage_state(cdr_data, cdr_voice, watermark)
     w = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(serving_writer(serving_path, summary_path, buckets)))
+         .foreachBatch(serving_writer(serving_path, summary_path, buckets, fmt, bootstrap)))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
+
+
+def start_summary_to_serving(messages: DataFrame, serving_path: str, checkpoint: str, available_now: bool = True,
+                             processing_time: str = "10 seconds", buckets: int | None = None) -> StreamingQuery:
+    """Summary topic → serving table (J9): a message's maps become rows, and a row replaces a stored one
+    unless that comes from a newer message, in whatever order the messages arrive."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = summary_updates(batch).persist()
+        try:
+            if not rows.isEmpty():
+                write_daily_usage(rows, serving_path, buckets)
+        finally:
+            rows.unpersist()
+
+    w = (parse_messages(messages, schemas.USAGE_SUMMARY, SUMMARY_TOPIC).writeStream
+         .option("checkpointLocation", checkpoint).foreachBatch(write))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 

@@ -3,7 +3,7 @@
 from meterflow import schemas
 from meterflow.plans import jobs
 from meterflow.sinks import topics as topic_sink
-from meterflow.sinks.tables import read_keyed
+from meterflow.sinks.keyed import read_keyed
 from meterflow.sources import cdc as cdc_src, topics
 from meterflow.sources.fixtures import load
 
@@ -25,7 +25,7 @@ def test_persistence_then_marts(spark, tmp_dir):
         assert q.awaitTermination(300)
         assert q.exception() is None
     for table, row in schemas.CDC_ROWS.items():
-        assert read_keyed(spark, f"{raw}/{table}", row).count() > 0
+        assert read_keyed(spark, f"{raw}/{table}", schemas.CDC_KEYS[table], row).count() > 0
     assert spark.read.parquet(f"{raw}/cdr_data").count() == load(spark, SF, "cdr_data_wire").count() - \
         spark.read.parquet(f"{raw}/_quarantine/cdr_data").count()
     out = f"{tmp_dir}/marts"

@@ -2,7 +2,7 @@ import os
 
 from meterflow import schemas
 from meterflow.operators import cdc, quality
-from meterflow.sinks import tables, topics as topic_sink
+from meterflow.sinks import keyed, tables, topics as topic_sink
 from pyspark.sql import functions as F
 
 from meterflow.operators.serving import bucket_of
@@ -81,13 +81,13 @@ def test_keyed_upsert_is_idempotent_and_deletes(spark, tmp_dir):
                            (3, "c1", "2024-01-01", 3, "c")])
     ch2 = _changes(spark, [(1, "a2", "2024-01-02", 4, "u"), (2, "b1", "2024-01-02", 5, "d")])
     for ch in (ch1, ch2, ch2):  # the second batch replayed
-        tables.upsert_changes(ch, path, ["account_id"], schemas.ACCOUNTS, buckets=2)
-    cur = sorted((r.account_id, r.owner_name) for r in tables.read_keyed(spark, path, schemas.ACCOUNTS).collect())
+        keyed.append_changes(ch, path, ["account_id"], schemas.ACCOUNTS, buckets=2)
+    cur = sorted((r.account_id, r.owner_name) for r in keyed.read_keyed(spark, path, ["account_id"], schemas.ACCOUNTS).collect())
     assert cur == [(1, "a2"), (3, "c1")]
     # Deleting every key of a bucket empties that bucket.
-    tables.upsert_changes(_changes(spark, [(1, "x", "2024-01-03", 6, "d"), (3, "x", "2024-01-03", 7, "d")]),
+    keyed.append_changes(_changes(spark, [(1, "x", "2024-01-03", 6, "d"), (3, "x", "2024-01-03", 7, "d")]),
                           path, ["account_id"], schemas.ACCOUNTS, buckets=2)
-    assert tables.read_keyed(spark, path, schemas.ACCOUNTS).count() == 0
+    assert keyed.read_keyed(spark, path, ["account_id"], schemas.ACCOUNTS).count() == 0
 
 
 def test_late_changes_neither_revive_nor_replace(spark, tmp_dir):
@@ -97,9 +97,9 @@ def test_late_changes_neither_revive_nor_replace(spark, tmp_dir):
              (3, "x", "2024-01-02", 7, "d"), (3, "c1", "2024-01-01", 6, "c"),         # delete before its create
              (4, "x", "2024-01-02", 8, "d"), (4, "d1", "2024-01-03", 9, "c")]         # created again
     for ch in whole:
-        tables.upsert_changes(_changes(spark, [ch]), path, ["account_id"], schemas.ACCOUNTS, buckets=2)
+        keyed.append_changes(_changes(spark, [ch]), path, ["account_id"], schemas.ACCOUNTS, buckets=2)
     want = sorted((r.account_id, r.owner_name) for r in cdc.latest_by_key(_changes(spark, whole), ["account_id"]).collect())
-    for t in (tables.read_keyed(spark, path, schemas.ACCOUNTS), raw.load_raw(spark, tmp_dir + "/raw", "accounts")):
+    for t in (keyed.read_keyed(spark, path, ["account_id"], schemas.ACCOUNTS), raw.load_raw(spark, tmp_dir + "/raw", "accounts")):
         assert t.columns == schemas.ACCOUNTS.fieldNames()
         assert sorted((r.account_id, r.owner_name) for r in t.collect()) == want == [(2, "b2"), (4, "d1")]
 
