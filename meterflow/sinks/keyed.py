@@ -86,7 +86,11 @@ def compact(spark: SparkSession, path: str, keys: list[str], schema: T.StructTyp
     rows = folded.select(*keys, *[F.col(f"l.{c}").alias(c) for c in cols], "bucket", "n")
     rows = rows.where(~(F.coalesce(old, F.lit(False)) & (F.col("n") == 1))).select(*_stored(schema).fieldNames(), "bucket")
     rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", *keys).write.mode("append").partitionBy("bucket").parquet(path)
+    _delete(spark, files)
+    return chosen
+
+
+def _delete(spark: SparkSession, files: list[str]) -> None:
     for f in files:
         jpath = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f))
         jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, False)
-    return chosen

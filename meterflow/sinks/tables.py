@@ -10,6 +10,9 @@ patterns cover the source system's writes:
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -28,29 +31,73 @@ def append_raw(df: DataFrame, path: str, partition_by: str | None = None) -> Non
 
 
 def materialize(df: DataFrame, name: str, path: str | None = None) -> None:
-    """Full refresh of a mart (B6): a catalog table, or plain parquet at ``path``."""
+    """Full refresh of a mart (B6): a catalog table, or plain parquet at ``path``.
+
+    The new rows are written whole to a folder of their own and then take the old ones' place: a refresh that fails
+    leaves the old mart as it was. A catalog table changes by one ``SET LOCATION``; the version before it is kept
+    for queries that still read it. A plain folder is swapped by renames."""
+    spark = df.sparkSession
     if path:
-        df.write.mode("overwrite").parquet(path)
+        parent, _, base = path.rstrip("/").rpartition("/")
+        staged = f"{parent}/_staged-{base}-{uuid.uuid4().hex}"
+        df.write.parquet(staged)
+        swap_folder(spark, staged, path.rstrip("/"))
+        return
+    database, _, table = name.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    home = f"{spark.catalog.getDatabase(database).locationUri}/_versions/{table}"
+    version = f"{home}/{time.time_ns()}-{uuid.uuid4().hex}"
+    df.write.parquet(version)
+    known = spark.catalog.tableExists(f"{database}.{table}")
+    if known and [(f.name, f.dataType) for f in spark.table(name).schema] != [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"DROP TABLE {database}.{table}")     # other columns: no version of the old ones to keep
+        known = False
+    if known:
+        spark.sql(f"ALTER TABLE {database}.{table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(f"{database}.{table}")
     else:
-        df.write.mode("overwrite").saveAsTable(name)
+        spark.sql(f"CREATE TABLE {database}.{table} USING parquet LOCATION '{version}'")
+    fs = _fs(spark, home)
+    for old in sorted(x.getPath().toString() for x in fs.listStatus(_jpath(spark, home)))[:-2]:
+        fs.delete(_jpath(spark, old), True)
+
+
+def _jpath(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    return _jpath(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def swap_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """``staged``, written whole, takes the place of ``target``, which stays if that fails."""
+    fs, new, at = _fs(spark, target), _jpath(spark, staged), _jpath(spark, target)
+    parent, _, base = target.rpartition("/")
+    aside = _jpath(spark, f"{parent}/_old-{base}-{uuid.uuid4().hex}")
+    had = fs.exists(at)
+    if had and not fs.rename(at, aside):
+        raise OSError(f"{target} could not be moved aside")
+    if not fs.rename(new, at):
+        if had:
+            fs.rename(aside, at)
+        raise OSError(f"{staged} could not take the place of {target}")
+    if had:
+        fs.delete(aside, True)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    return _fs(spark, path).exists(_jpath(spark, path))
 
 
 def make_folder(spark: SparkSession, path: str) -> None:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(jpath)
+    _fs(spark, path).mkdirs(_jpath(spark, path))
 
 
 def publish_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Make a folder that has been written whole appear under its name; an existing one is an error."""
-    src, dst = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, target))
-    fs = src.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(dst) or not fs.rename(src, dst):
+    fs, dst = _fs(spark, target), _jpath(spark, target)
+    if fs.exists(dst) or not fs.rename(_jpath(spark, staged), dst):
         raise OSError(f"{staged} was not published as {target}")
 
 

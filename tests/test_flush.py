@@ -64,39 +64,58 @@ def test_idle_flush_job_publishes_to_summary_topic(spark, tmp_dir):
     assert json.loads(got[0].value)["data_usage"] == {"text": {"up": 100, "down": 200}}
 
 
-def test_flushed_day_state_removed_after_watermark_passes(spark, tmp_dir):
-    src = f"{tmp_dir}/in"
+def _wait(q, done, seconds=120):
+    until = time.time() + seconds
+    while time.time() < until:
+        assert q.exception() is None, q.exception()
+        if done():
+            return
+        time.sleep(0.5)
+    raise AssertionError("not reached in time")
+
+
+def _put(src, name, lines):
+    with open(f"{src}/.{name}", "w") as f:
+        f.write(HDR + "".join(x + "\n" for x in lines))
+    os.replace(f"{src}/.{name}", f"{src}/{name}")
+
+
+def test_closed_day_keeps_its_total_and_expired_day_sends_usage_aside(spark, tmp_dir):
+    """The watermark passes day 1: its state becomes a closed-day record, and late usage adds to the published
+    total. Once the record has expired, late usage goes to the side folder; the day isn't started anew."""
+    from meterflow.sources import topics
+    from meterflow.streaming.flush import DAY_MS, late_usage, start_flush
+    src, out, late = f"{tmp_dir}/in", f"{tmp_dir}/summary", f"{tmp_dir}/late"
     os.makedirs(src)
-    with open(f"{src}/cdr_data_1.csv", "w") as f:
-        f.write(HDR + "271,1,100,200,text,ip,u,2024-01-15 10:00:00\n")
+    os.makedirs(out)
+    _put(src, "cdr_data_1.csv", ["271,1,100,200,text,ip,u,2024-01-15 10:00:00"])
     d = quality.split_cdr_data(files.read_cdr_data(spark, src, streaming=True)).good
-    s = idle_flush_summaries(d, None, idle_ms=500, recheck_ms=500, watermark="1 hour")
-    out = f"{tmp_dir}/summary"
-    q = (s.writeStream.outputMode("append").option("checkpointLocation", f"{tmp_dir}/ckpt")
-         .foreachBatch(lambda b, i: None if b.isEmpty() else b.write.mode("overwrite").json(f"{out}/batch={i}"))
-         .trigger(processingTime="300 milliseconds").start())
+    q = start_flush(d, None, out, late, f"{tmp_dir}/ckpt", idle_ms=500, recheck_ms=500, watermark="1 hour",
+                    keep_closed_ms=25_000, processing_time="300 milliseconds")
+
+    def totals(date):
+        m = topics.read_topics(spark, [topics.SUMMARY_TOPIC], "json", out)
+        return sorted(v["data_usage"]["text"]["up"] for v in (json.loads(r.value) for r in m.collect()) if v["date"] == date)
 
-    def state_rows():
+    def state():
         p = q.lastProgress
         return p["stateOperators"][0]["numRowsTotal"] if p and p.get("stateOperators") else None
 
     try:
-        deadline = time.time() + 60
-        while time.time() < deadline and not os.path.isdir(out):
-            time.sleep(0.5)
-        assert state_rows() == 1                      # flushed, still kept for later rows of the day
-        with open(f"{src}/cdr_data_2.csv", "w") as f:  # two days later: the watermark passes day 1
-            f.write(HDR + "271,1,1,1,text,ip,u,2024-01-17 10:00:00\n")
-        deadline, seen = time.time() + 90, []
-        while time.time() < deadline:
-            time.sleep(0.5)
-            assert q.exception() is None, q.exception()
-            seen.append(state_rows())
-            if len(spark.read.schema("msisdn string, date string, value string").json(out).collect()) >= 2 \
-                    and seen[-1] == 1:
-                break
-        dates = sorted(r.date for r in spark.read.schema("msisdn string, date string, value string").json(out).collect())
+        _wait(q, lambda: totals("2024-01-15") == [100])
+        open_rows = state()
+        _put(src, "cdr_data_2.csv", ["271,1,1,1,text,ip,u,2024-03-17 10:00:00"])     # the watermark passes day 1 by far
+        _wait(q, lambda: totals("2024-03-17") == [1])
+        time.sleep(5)                                                                 # day 1 is looked at again and closed
+        _put(src, "cdr_data_3.csv", ["271,1,7,0,text,ip,u,2024-01-15 11:00:00"])
+        _wait(q, lambda: totals("2024-01-15") == [100, 107])
+        time.sleep(40)                                                                # the record expires
+        _put(src, "cdr_data_4.csv", ["271,1,5,2,text,ip,u,2024-01-15 12:00:00", "272,1,3,0,video,ip,u,2024-01-15 12:00:00"])
+        _wait(q, lambda: len(late_usage(spark, late).collect()) == 2)
+        time.sleep(3)
     finally:
         q.stop()
-    assert dates == ["2024-01-15", "2024-01-17"]
-    assert seen[-1] == 1   # day 1 evicted (J3); only the open day 3 remains
+    assert totals("2024-01-15") == [100, 107]
+    assert {tuple(r) for r in late_usage(spark, late).collect()} == {
+        ("271", "2024-01-15", "data", "text", 5, 2, 0, 0), ("272", "2024-01-15", "data", "video", 3, 0, 0, 0)}
+    assert open_rows and DAY_MS == 86_400_000
