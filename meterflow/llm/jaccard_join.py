@@ -47,7 +47,7 @@ from .common import save
 from .components import connect
 
 N, NUM, DEN = 5, 80, 100          # words of a shingle; the similarity NUM / DEN
-SLOT_BITS = 27                    # the frequency table: 2**SLOT_BITS bytes at most, fewer for small corpora
+SLOT_BITS = 26                    # the frequency table: 2**SLOT_BITS slots of 4 bits at most, fewer for small corpora
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16)
 
 
@@ -136,9 +136,9 @@ def _fingerprints(bits: int):
     return run
 
 
-def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
-    """Per slot (the top bits of a hash) the log2 of the largest frequency in it, 0 if all occur once.
-    Two slots a shingle, by the texts' bytes, up to ``2**slot_bits``."""
+def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> bytes:
+    """Per slot (the top bits of a hash) the log2 of the largest frequency in it, 15 at most, 0 if all occur once;
+    two slots a byte. Two slots a shingle, by the texts' bytes, up to ``2**slot_bits``."""
     total = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6
     slot_bits = min(slot_bits, max(16, math.ceil(math.log2(total + 1)) + 1))
     # Ranges of about two million occurrences each, by the texts' bytes: a task's share doesn't follow the corpus.
@@ -154,10 +154,17 @@ def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> np.ndarray:
     got = docs.select("text").mapInArrow(_fingerprints(bits), "range long, blob binary").groupBy("range").applyInPandas(
         levels, "range long, blob binary")
     got = save(got, "jaccard-levels")
-    out = np.zeros((1 << bits, 1 << (slot_bits - bits)), np.uint8)
-    for r in got.toLocalIterator():      # 2**slot_bits bytes in all, a file split at a time
-        out[r["range"]] = np.frombuffer(zlib.decompress(r["blob"]), np.uint8)
-    return out.reshape(-1)
+    out = np.zeros((1 << bits, 1 << (slot_bits - bits - 1)), np.uint8)
+    for r in got.toLocalIterator():      # 2**(slot_bits - 1) bytes in all, a file split at a time
+        level = np.minimum(np.frombuffer(zlib.decompress(r["blob"]), np.uint8), 15)
+        out[r["range"]] = level[::2] | level[1::2] << 4
+    return out.tobytes()
+
+
+def levels_of(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The level of each hash's slot in a table of two slots a byte."""
+    slot = (hashes >> np.uint64(64 - len(table).bit_length())).astype(np.int64)
+    return table[slot >> 1] >> (4 * (slot & 1)).astype(np.uint8) & 15
 
 
 class Signature(NamedTuple):
@@ -170,7 +177,7 @@ class Signature(NamedTuple):
 
 def prefix(hashes: np.ndarray, levels: np.ndarray) -> Signature:
     """The prefix that costs least."""
-    level = levels[(hashes >> np.uint64(65 - len(levels).bit_length())).astype(np.int64)]
+    level = levels_of(hashes, levels)
     order = np.lexsort((hashes, level))
     cost = np.cumsum(np.where(level[order] > 0, 2.0 ** level[order], 0.0))
     n = len(hashes)
@@ -188,7 +195,8 @@ SIGNED = "n long, key binary, asked int, matched long, mean_level double, tokens
 
 def _prefixes(shared):
     def run(batches):
-        make, levels = Shingler(), shared.value
+        # The table is the broadcast's own bytes: no copy of it in a worker.
+        make, levels = Shingler(), np.frombuffer(shared.value, np.uint8)
         kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
