@@ -112,17 +112,23 @@ class Shingler:
 
 
 def _fingerprints(bits: int):
-    """Rows (range, blob): the top ``bits`` of each hash, and the next 32 of all that share them."""
+    """Rows (range, blob, more): the top ``bits`` of each hash, the next 32 of all that share them, each once,
+    and pairs (those 32, times beyond the first) of the ones met more often."""
     def run(batches):
         make, held, size = Shingler(), [], 0
 
         def flushed():
-            h = np.sort(np.concatenate(held))
-            span = (h >> np.uint64(64 - bits)).astype(np.int64)
-            print32 = (h >> np.uint64(32 - bits)).astype(np.uint32)
-            names, starts = np.unique(span, return_index=True)
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([x.tobytes() for x in np.split(print32, starts[1:])], pa.binary())],
-                                              ["range", "blob"])
+            h = np.sort(np.concatenate(held) >> np.uint64(32 - bits))
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            h, beyond = h[starts], np.minimum(np.diff(np.r_[starts, len(h)]) - 1, (1 << 32) - 1).astype(np.uint32)
+            span, print32 = (h >> np.uint64(32)).astype(np.int64), h.astype(np.uint32)
+            names, cuts = np.unique(span, return_index=True)
+            blobs, more = [], []
+            for prints, times in zip(np.split(print32, cuts[1:]), np.split(beyond, cuts[1:])):
+                blobs.append(prints.tobytes())
+                more.append(np.column_stack([prints[times > 0], times[times > 0]]).tobytes())
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(blobs, pa.binary()), pa.array(more, pa.binary())],
+                                              ["range", "blob", "more"])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for t in batch.column(0)[at:at + 256].cast(pa.binary()).to_pylist():
@@ -146,12 +152,14 @@ def frequency_levels(docs: DataFrame, slot_bits: int = SLOT_BITS) -> bytes:
 
     def levels(key, rows):
         prints, times = np.unique(np.concatenate([np.frombuffer(b, np.uint32) for b in rows["blob"]]), return_counts=True)
+        more = np.concatenate([np.frombuffer(b, np.uint32).reshape(-1, 2) for b in rows["more"]])
+        np.add.at(times, np.searchsorted(prints, more[:, 0]), more[:, 1].astype(np.int64))
         many = times > 1
         table = np.zeros(1 << (slot_bits - bits), np.uint8)
         np.maximum.at(table, prints[many] >> np.uint32(32 - slot_bits + bits), np.log2(times[many]).astype(np.uint8))
-        return rows.iloc[:1].assign(blob=[zlib.compress(table.tobytes(), 1)])
+        return rows.iloc[:1][["range"]].assign(blob=[zlib.compress(table.tobytes(), 1)])
 
-    got = docs.select("text").mapInArrow(_fingerprints(bits), "range long, blob binary").groupBy("range").applyInPandas(
+    got = docs.select("text").mapInArrow(_fingerprints(bits), "range long, blob binary, more binary").groupBy("range").applyInPandas(
         levels, "range long, blob binary")
     got = save(got, "jaccard-levels")
     out = np.zeros((1 << bits, 1 << (slot_bits - bits - 1)), np.uint8)
