@@ -263,18 +263,24 @@ def _open_groups(members: DataFrame, turn: int) -> DataFrame:
     return groups.filter("first <> last").select("token", "leader")
 
 
-def _across_labels(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets with different labels that the bounds leave, a the larger."""
-    names = ("key", "n", "matched", "asked", "label", "place")
-    large, small = (members.select("token", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+def _across_labels(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with different labels that the bounds leave, a the larger.
+
+    Sets meet in the group of the first shingle that their prefixes share, where all shared ones are counted, so a pair
+    is made once, not once a shared shingle."""
+    names = ("key", "n", "matched", "asked", "label", "place", "tokens")
+    rows = members.join(sets.select("key", "tokens", "places"), "key")
     behind_a, behind_b = f"{_up('n_a', NUM, DEN)} - asked_a", f"{_up('n_b', 2 * NUM, NUM + DEN)} - asked_b"   # shingles after the prefix
-    small = small.filter(F.expr(f"place_b < n_b - ({behind_b})"))
-    needed = _needed("n_a", "n_b")
-    met = large.join(small, "token").filter(F.expr("(n_a > n_b or n_a = n_b and key_a > key_b) and label_a <> label_b")).filter(
-        _may_reach("{}_a", "{}_b")).filter(F.expr(f"least(place_a, place_b) + least(n_a - place_a, n_b - place_b) >= {needed}"))
-    met = met.groupBy(F.col("key_a").alias("a"), F.col("key_b").alias("b")).agg(
-        F.count(F.lit(1)).alias("times"), F.min(F.expr(f"{needed} - greatest({behind_a}, {behind_b})")).alias("least_times"))
-    return met.filter("times >= least_times").select("a", "b")
+    large, small = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in names], "places") for s in "ab")
+    # As the smaller one a set is read up to a shorter prefix.
+    small = small.filter(F.expr(f"place_b < n_b - ({behind_b})")).withColumn(
+        "tokens_b", F.expr(f"slice(tokens_b, 1, size(filter(places, p -> p < n_b - ({behind_b}))))")).drop("places")
+    needed, shared = _needed("n_a", "n_b"), "array_intersect(tokens_a, tokens_b)"     # in the order of the prefixes
+    met = large.drop("places").join(small, "token").filter(
+        F.expr("(n_a > n_b or n_a = n_b and key_a > key_b) and label_a <> label_b")).filter(_may_reach("{}_a", "{}_b")).filter(
+        F.expr(f"least(place_a, place_b) + least(n_a - place_a, n_b - place_b) >= {needed}")).filter(
+        F.expr(f"{shared}[0] = token and size({shared}) >= {needed} - greatest({behind_a}, {behind_b})"))
+    return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
 def _led(members: DataFrame, sets: DataFrame, turn: int) -> DataFrame:
@@ -304,7 +310,7 @@ def link_classes(sets: DataFrame) -> DataFrame:
     links = links.unionByName(found)
     labels = save(connect(nodes, links), "jaccard-labels")
     members = index.join(labels, "key")
-    found = save(verify(_across_labels(members.join(_open_groups(members, 2).select("token"), "token")), sets), "jaccard-links")
+    found = save(verify(_across_labels(members.join(_open_groups(members, 2).select("token"), "token"), sets), sets), "jaccard-links")
     if found.isEmpty():
         return labels
     return save(connect(nodes, links.unionByName(found)), "jaccard-labels")
