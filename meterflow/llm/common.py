@@ -42,3 +42,8 @@ def ascii_lower(c: Column) -> Column:
 def fold(c: Column, n: int) -> Column:
     """crc32 of the value as text, modulo ``n``; null counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one, ``_row``: whatever their names, they meet no column that an operator adds."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns]).alias("_row")

@@ -32,6 +32,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import whole_row
+
 WORDS = re.compile(r"[^\W_]+")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
 K1, B, BLOCK, GROUPS = 1.2, 0.75, 16, 32
@@ -214,4 +216,4 @@ def find_items(docs: DataFrame, benchmark: DataFrame, extra: list[Column], least
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.8) -> DataFrame:
     """``docs`` without the texts that hold a test item."""
-    return find_items(docs, benchmark, [F.col(c) for c in docs.columns], least).filter(~F.col("contaminated")).select(*docs.columns)
+    return find_items(docs, benchmark, [whole_row(docs)], least).filter(~F.col("contaminated")).select("_row.*")

@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import whole_row
+
 LETTERS = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 # First code points of script ranges, in order, and the scripts from there on.
@@ -217,5 +219,5 @@ def predict(docs: DataFrame, model: Model, extra: list[Column], penalty: float =
 
 def keep_known(docs: DataFrame, learnt: DataFrame, least: float = 0.4, **kw) -> DataFrame:
     """``docs`` without the texts of no language or without a language for ``least`` of their letters."""
-    out = predict(docs, fit(learnt, **kw), [F.col(c) for c in docs.columns])
-    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*docs.columns)
+    out = predict(docs, fit(learnt, **kw), [whole_row(docs)])
+    return out.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("_row.*")

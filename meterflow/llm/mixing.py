@@ -24,7 +24,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, save
+from .common import WORD, save, whole_row
 
 ADDED = ["n_tokens", "weight", "copies"]
 
@@ -115,11 +115,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     # Rows that repeat an identifier get its copies in turn, so none is multiplied.
     chosen = plan(docs, id_col=id_col, **kw).select(F.col("id").alias("mix_id"), *ADDED)
     turn = F.row_number().over(Window.partitionBy("mix_id", "mix_tokens").orderBy("mix_tokens"))
-    docs = docs.drop(*ADDED, "mix_id", "mix_tokens", "mix_turn")
-    left = docs.withColumns({"mix_id": F.col(id_col), "mix_tokens": word_count(F.col("text"))}).withColumn("mix_turn", turn)
+    kept = whole_row(docs.drop(*ADDED))
+    left = docs.select(kept, F.col(id_col).alias("mix_id"), word_count(F.col("text")).alias("mix_tokens")).withColumn("mix_turn", turn)
     right = chosen.withColumn("mix_tokens", F.col("n_tokens")).withColumn("mix_turn2", F.row_number().over(
         Window.partitionBy("mix_id", "mix_tokens").orderBy(F.desc("copies")))).withColumnsRenamed(
         {"mix_id": "mix_id2", "mix_tokens": "mix_tokens2"})
     on = (F.col("mix_id").eqNullSafe(F.col("mix_id2")) & (F.col("mix_tokens") == F.col("mix_tokens2"))
           & (F.col("mix_turn") == F.col("mix_turn2")))
-    return left.join(right, on).drop("mix_id", "mix_tokens", "mix_turn", "mix_id2", "mix_tokens2", "mix_turn2")
+    return left.join(right, on).select("_row.*", *ADDED)

@@ -243,3 +243,25 @@ def test_query_columns(spark, key):
     cur = con.execute(ORACLE[key])
     columns = [d[0] for d in cur.description]
     assert digest([tuple(r) for r in df.collect()], df.columns) == digest(cur.fetchall(), columns)
+
+
+# --- stages pass any columns through ---------------------------------------------------------------------------
+
+CLASHES = ["score", "lang_pred", "_text", "spans", "items", "overlap", "contaminated", "mix_id", "mix_turn", "mix_tokens", "mix_turn2", "_row", "id", "a.b", "a`b"]
+
+
+def test_stages_carry_clashing_names(spark):
+    from meterflow.llm import decontaminate, lang_id, mixing
+    body = "the quick brown fox jumps over the lazy dog and runs far away from the old house on the hill"
+    item = "Which river runs through the old town of Farbridge? The long green river runs through it every day."
+    rows = [(1, body, "en", "a"), (2, f"Before. {item} After.", "en", "a"), (3, None, None, None), (None, body, "en", "b"), (None, body, "en", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for out, ids in ((lang_id.keep_known(docs, docs.select("doc_id", "text", "lang")), [None, None, 1, 2]),
+                     (decontaminate.drop_contaminated(docs, bench), [None, None, 1, 3]), (mixing.mix(docs), [None, None, 1, 2, 3])):
+        got = out.collect()
+        assert sorted((r["doc_id"] for r in got), key=lambda x: (x is not None, x)) == ids
+        assert all(r[c] == f"own {c}" for r in got for c in CLASHES) and set(docs.columns) <= set(out.columns)
+    assert mixing.mix(docs.filter("doc_id < 0")).count() == 0 and set(mixing.ADDED) <= set(mixing.mix(docs).columns)
