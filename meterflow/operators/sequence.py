@@ -40,5 +40,12 @@ def neighbours(df: DataFrame, key: list[str], order: list, values: list[str], ch
 
 
 def hour_chunk(ts: str) -> Column:
-    """Default chunk: the hour of the leading timestamp."""
+    """The hour of the leading timestamp."""
     return F.date_trunc("hour", F.col(ts))
+
+
+def time_chunk(ts: str, key: str) -> Column:
+    """Default chunk: the hour. Rows without a subscriber (NULL or empty) are those of everyone who
+    isn't known, so their chunk is the minute: an hour of them is sixty tasks' work."""
+    nobody = F.col(key).isNull() | (F.col(key) == "")
+    return F.when(nobody, F.date_trunc("minute", F.col(ts))).otherwise(hour_chunk(ts))

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .sequence import hour_chunk, neighbours
+from .sequence import time_chunk, neighbours
 
 KEY, TS, TOWER = "msisdn", "event_datetime", "tower_id"
 # Equal timestamps on two towers are ordered by tower id.
@@ -30,7 +30,7 @@ def interactions(cdr_data: DataFrame, cdr_voice: DataFrame) -> DataFrame:
     """
     u = (cdr_data.select(KEY, TOWER, TS)
          .unionByName(cdr_voice.select(KEY, TOWER, F.col("start_time").alias(TS))))
-    return u.distinct().withColumn("_chunk", hour_chunk(TS))
+    return u.distinct().withColumn("_chunk", time_chunk(TS, KEY))
 
 
 def tower_interactions(cdr_data: DataFrame, cdr_voice: DataFrame) -> DataFrame:

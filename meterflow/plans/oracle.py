@@ -55,47 +55,35 @@ def _():
       FROM cdr_voice GROUP BY msisdn, call_type, time_15min, time_30min, time_1hr"""
 
 
-def _mart1_ctes() -> str:
-    d, v = "event_datetime", "start_time"
-    return f"""ds AS (
-        SELECT msisdn, data_type, {B(d, 15)} AS t15, {B(d, 30)} AS t30, {B(d, 60)} AS t60,
-               SUM(up_bytes) AS up, SUM(down_bytes) AS down, COUNT(*) AS n
-        FROM cdr_data GROUP BY ALL),
-      vs AS (
-        SELECT msisdn, call_type, {B(v, 15)} AS t15, {B(v, 30)} AS t30, {B(v, 60)} AS t60,
-               SUM(call_duration_sec) AS dur, COUNT(*) AS n
-        FROM cdr_voice GROUP BY ALL)"""
-
-
-def _branch(tag: str, col: str, cat: str) -> str:
-    if cat == "data":
-        return (f"SELECT '{tag}' AS interval_type, msisdn, {col} AS datetime, data_type AS usage_type, 'data' AS category, "
-                "CAST(up AS BIGINT) AS total_up_bytes, CAST(down AS BIGINT) AS total_down_bytes, "
-                "CAST(up + down AS BIGINT) AS total_bytes, CAST(0 AS BIGINT) AS call_duration_sec, n AS session_count FROM ds")
-    return (f"SELECT '{tag}', msisdn, {col}, call_type, 'voice', CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), "
-            "CAST(dur AS BIGINT), n FROM vs")
+# Every usage event in one shape; a measure that its category lacks is 0.
+_EVENTS = """ev AS (
+        SELECT 'data' AS category, msisdn, data_type AS usage_type, event_datetime AS moment, up_bytes AS up, down_bytes AS down, 0 AS secs FROM cdr_data
+        UNION ALL BY NAME
+        SELECT 'voice' AS category, msisdn, call_type AS usage_type, start_time AS moment, 0 AS up, 0 AS down, call_duration_sec AS secs FROM cdr_voice),
+      tag(interval_type, minutes) AS (VALUES ('15min', 15), ('30min', 30), ('1hr', 60))"""
+_WIDTH = "to_minutes(CAST(minutes AS INTEGER))"
+
+
+def _summed(rel: str, group: str) -> str:
+    return f"""SELECT interval_type, msisdn, datetime, usage_type, category, CAST(sum(up) AS BIGINT) AS total_up_bytes,
+        CAST(sum(down) AS BIGINT) AS total_down_bytes, CAST(sum(up + down) AS BIGINT) AS total_bytes,
+        CAST(sum(secs) AS BIGINT) AS call_duration_sec, count(*) AS session_count
+      FROM {rel} GROUP BY {group}"""
 
 
 @oracle("cdr_usage_summary", "cdr_data", "cdr_voice")
 def _():
-    parts = [_branch(tag, col, cat) for tag, col in (("15min", "t15"), ("30min", "t30"), ("1hr", "t60"))
-             for cat in ("data", "voice")]
-    return _mart1_ctes() + "\n" + "\nUNION ALL\n".join(parts)
+    # The grain stays a quarter of an hour whatever the tag: a group's bucket is its quarter's.
+    return _EVENTS + f""",
+      q AS (SELECT *, time_bucket(INTERVAL 15 MINUTE, moment) AS quarter, time_bucket({_WIDTH}, moment) AS datetime FROM ev CROSS JOIN tag)
+      {_summed("q", "interval_type, msisdn, datetime, usage_type, category, quarter")}"""
 
 
 @oracle("cdr_usage_rollup", "cdr_data", "cdr_voice")
 def _():
-    d, v = "event_datetime", "start_time"
-    parts = []
-    for tag, n in (("15min", 15), ("30min", 30), ("1hr", 60)):
-        parts.append(f"""SELECT '{tag}' AS interval_type, msisdn, {B(d, n)} AS datetime, data_type AS usage_type,
-              'data' AS category, CAST(SUM(up_bytes) AS BIGINT) AS total_up_bytes,
-              CAST(SUM(down_bytes) AS BIGINT) AS total_down_bytes,
-              CAST(SUM(up_bytes + down_bytes) AS BIGINT) AS total_bytes, CAST(0 AS BIGINT) AS call_duration_sec,
-              COUNT(*) AS session_count FROM cdr_data GROUP BY ALL""")
-        parts.append(f"""SELECT '{tag}', msisdn, {B(v, n)}, call_type, 'voice', CAST(0 AS BIGINT), CAST(0 AS BIGINT),
-              CAST(0 AS BIGINT), CAST(SUM(call_duration_sec) AS BIGINT), COUNT(*) FROM cdr_voice GROUP BY ALL""")
-    return "\nUNION ALL\n".join(parts)
+    return _EVENTS + f""",
+      q AS (SELECT *, time_bucket({_WIDTH}, moment) AS datetime FROM ev CROSS JOIN tag)
+      {_summed("q", "interval_type, msisdn, datetime, usage_type, category")}"""
 
 
 @oracle("daily_data_usage", "cdr_data")
@@ -153,15 +141,10 @@ def _():
 
 
 def _candle_ctes(minutes: int, name: str) -> str:
-    b = B("tick_time", minutes)
-    return f"""{name}_w AS (
-        SELECT pair_name, {b} AS candle_time,
-          first_value(mu) OVER w AS o, max(mu) OVER w AS h, min(mu) OVER w AS l, last_value(mu) OVER w AS c,
-          count(*) OVER w AS n
-        FROM ticks
-        WINDOW w AS (PARTITION BY pair_name, {b} ORDER BY tick_time, mu
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
-      {name} AS (SELECT DISTINCT ON (pair_name, candle_time) * FROM {name}_w)"""
+    # Time and price as one order key, of which the least and greatest tick open and close the candle.
+    return f"""{name} AS (SELECT pair_name, time_bucket(INTERVAL {minutes} MINUTE, tick_time) AS candle_time,
+          arg_min(mu, (tick_time, mu)) AS o, arg_max(mu, (tick_time, mu)) AS c, max(mu) AS h, min(mu) AS l, count(*) AS n
+        FROM ticks GROUP BY ALL)"""
 
 
 _TICKS = f"ticks AS (SELECT tick_time, pair_name, {_MU} AS mu FROM forex_ticks)"
@@ -229,32 +212,26 @@ def _():
 
 # -- mart 3 ---------------------------------------------------------------------------------
 
-_INFO = """acct AS (
-        SELECT a.account_id, a.owner_name, a.email, a.phone_number, ad.street_address, ad.city, ad.state,
-               ad.postal_code, ad.country, d.device_id, d.device_name, d.device_type, d.device_os
-        FROM accounts a LEFT JOIN addresses ad ON a.account_id = ad.account_id
-        LEFT JOIN devices d ON a.account_id = d.account_id)"""
-_HOURLY = """hd AS (SELECT msisdn, date_trunc('hour', event_datetime) AS hour,
-                   CAST(SUM(up_bytes + down_bytes) AS BIGINT) AS data_bytes FROM cdr_data GROUP BY ALL),
-      hv AS (SELECT msisdn, date_trunc('hour', start_time) AS hour,
-                   CAST(SUM(call_duration_sec) AS BIGINT) AS voice_seconds FROM cdr_voice GROUP BY ALL),
-      hb AS (SELECT COALESCE(hd.msisdn, hv.msisdn) AS msisdn, COALESCE(hd.hour, hv.hour) AS hour,
-                   COALESCE(data_bytes, 0) AS data_bytes, COALESCE(voice_seconds, 0) AS voice_seconds
-             FROM hd FULL OUTER JOIN hv ON hd.msisdn = hv.msisdn AND hd.hour = hv.hour),
-      costs AS (SELECT msisdn, hour, data_bytes, voice_seconds,
-                   CAST(data_bytes AS DOUBLE) * 49 / 1073741824 AS data_cost_zar,
-                   CAST(voice_seconds AS DOUBLE) / 60 AS voice_cost_zar,
-                   CAST(data_bytes AS DOUBLE) * 49 / 1073741824 + CAST(voice_seconds AS DOUBLE) / 60 AS total_cost_zar
-                FROM hb)"""
-_RB = """bal AS (SELECT *,
-          CAST(SUM(data_bytes) OVER w AS DOUBLE) * 49 / 1073741824 + CAST(SUM(voice_seconds) OVER w AS DOUBLE) / 60
-            AS cumulative_cost_zar
-        FROM costs WINDOW w AS (PARTITION BY msisdn ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+# The contract's account columns, in its order: an account, its address if any, one row a device.
+_INFO_COLUMNS = ["account_id", "owner_name", "email", "phone_number", "street_address", "city", "state", "postal_code", "country",
+                 "device_id", "device_name", "device_type", "device_os"]
+_INFO = f"""info AS (SELECT {", ".join(_INFO_COLUMNS)} FROM accounts LEFT JOIN addresses USING (account_id) LEFT JOIN devices USING (account_id))"""
+# Bytes and seconds of every subscriber-hour from one pass over both feeds; money from the sums.
+_HOURLY = """used AS (
+        SELECT msisdn, date_trunc('hour', event_datetime) AS hour, up_bytes + down_bytes AS b, 0 AS s FROM cdr_data
+        UNION ALL SELECT msisdn, date_trunc('hour', start_time), 0, call_duration_sec FROM cdr_voice),
+      costs AS (SELECT msisdn, hour, CAST(sum(b) AS BIGINT) AS data_bytes, CAST(sum(s) AS BIGINT) AS voice_seconds,
+                  sum(b)::DOUBLE * 49 / 1073741824 AS data_cost_zar, sum(s)::DOUBLE / 60 AS voice_cost_zar,
+                  sum(b)::DOUBLE * 49 / 1073741824 + sum(s)::DOUBLE / 60 AS total_cost_zar
+                FROM used GROUP BY msisdn, hour)"""
+_RB = """bal AS (SELECT c.*, (SELECT sum(e.data_bytes)::DOUBLE * 49 / 1073741824 + sum(e.voice_seconds)::DOUBLE / 60
+                   FROM costs e WHERE e.msisdn IS NOT DISTINCT FROM c.msisdn AND e.hour <= c.hour) AS cumulative_cost_zar FROM costs c)"""
+_WAK = ", ".join(f"{c}_cost_zar AS {c}_cost_wak" for c in ("data", "voice", "total", "cumulative"))
 
 
 @oracle("crm_account_info", "accounts", "addresses", "devices")
 def _():
-    return _INFO + "\nSELECT * FROM acct"
+    return _INFO + "\nSELECT * FROM info"
 
 
 @oracle("hourly_data_cost", "cdr_data")
@@ -279,19 +256,14 @@ ORACLE["hourly_costs_union"] = ORACLE["hourly_costs"]
 
 @oracle("running_balance", "cdr_data", "cdr_voice")
 def _():
-    return _HOURLY + ",\n" + _RB + """
-      SELECT *, data_cost_zar AS data_cost_wak, voice_cost_zar AS voice_cost_wak, total_cost_zar AS total_cost_wak,
-        cumulative_cost_zar AS cumulative_cost_wak FROM bal"""
+    return _HOURLY + ",\n" + _RB + f"\nSELECT *, {_WAK} FROM bal"
 
 
 @oracle("crm_flattened", "cdr_data", "cdr_voice", "accounts", "addresses", "devices")
 def _():
-    return _INFO + ",\n" + _HOURLY + ",\n" + _RB + """
-      SELECT bal.msisdn, bal.hour AS datetime, acct.*, bal.data_cost_zar, bal.voice_cost_zar, bal.total_cost_zar,
-        bal.cumulative_cost_zar, bal.data_cost_zar AS data_cost_wak, bal.voice_cost_zar AS voice_cost_wak,
-        bal.total_cost_zar AS total_cost_wak, bal.cumulative_cost_zar AS cumulative_cost_wak
-      FROM bal LEFT JOIN acct ON bal.msisdn = acct.phone_number
-      ORDER BY bal.msisdn, bal.hour"""
+    return _INFO + ",\n" + _HOURLY + ",\n" + _RB + f"""
+      SELECT msisdn, hour AS datetime, {", ".join(_INFO_COLUMNS)}, data_cost_zar, voice_cost_zar, total_cost_zar, cumulative_cost_zar, {_WAK}
+      FROM bal LEFT JOIN info ON phone_number = msisdn"""
 
 
 # -- raw layer ------------------------------------------------------------------------------

@@ -141,3 +141,18 @@ def test_sessions_and_pairs_per_subscriber(spark, pts):
         want_p.update({(f"27{s:08d}", t, x): v[:3] for (t, x), v in _brute_pairs(path).items()})
     assert got_s == sorted(want_s)
     assert got_p == want_p
+
+
+def test_rows_without_a_subscriber_are_cut_finer_and_stay_right(spark):
+    """NULL and empty subscribers: chunks of a minute, sessions as for any other key."""
+    from meterflow.operators.sequence import time_chunk
+    rows = []
+    for k, m in enumerate((None, "", "27123")):
+        for i in range(600):
+            rows.append((m, (i // 7) % 3, 1, 1, "t", f"2024-01-01 0{i * 20 // 3600}:{i * 20 // 60 % 60:02d}:{i * 20 % 60:02d}"))
+    d = cdr_data(spark, rows)
+    out = sessions.tower_sessions(d, empty_voice(spark)).collect()
+    per = {m: sorted((r.tower_id, r.session_start, r.session_end) for r in out if r.msisdn == m) for m in (None, "", "27123")}
+    assert len(per[None]) == 86 and per[None] == per[""] == per["27123"]
+    chunks = d.select("msisdn", time_chunk("event_datetime", "msisdn").alias("c")).distinct().groupBy("msisdn").count().collect()
+    assert {r.msisdn: r["count"] for r in chunks} == {None: 200, "": 200, "27123": 4}

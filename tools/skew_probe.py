@@ -4,8 +4,8 @@ Builds a skewed copy of the usage feeds from the test tables (every event
 with event_id % 3 = 0 is reassigned to one subscriber), runs the session and
 usage jobs through the noop sink, and reads Spark's event log (written to a
 scratch folder) to report, per stage, the total records read from shuffle and
-the largest single task's share. With ``--copies`` that third is moreover one and the same record repeated.
-Usage: python tools/skew_probe.py [sf_dir] [--copies]
+the largest single task's share. With ``--copies`` that third is moreover one and the same record repeated, with ``--nobody`` it has no subscriber.
+Usage: python tools/skew_probe.py [sf_dir] [--copies] [--nobody]
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ def main() -> None:
     from meterflow.operators import sessions, usage
     from meterflow.sources.fixtures import load
 
-    hot = "27999999999"
+    hot = None if "--nobody" in sys.argv else "27999999999"
 
     copies = "--copies" in sys.argv
 
@@ -45,7 +45,7 @@ def main() -> None:
         # event_id is gone after the adapter; use a stable hash of the row instead.
         df = df.withColumn("_h", F.pmod(F.xxhash64(*df.columns), F.lit(3)))
         h = F.col("_h")
-        df = df.withColumn("msisdn", F.when(h == 0, F.lit(hot)).otherwise(F.col("msisdn")))
+        df = df.withColumn("msisdn", F.when(h == 0, F.lit(hot).cast("string")).otherwise(F.col("msisdn")))
         if copies:
             # A third of all rows become copies of one and the same record.
             ts = "event_datetime" if "event_datetime" in df.columns else "start_time"
@@ -56,7 +56,7 @@ def main() -> None:
 
     d, v = skew(load(spark, sf, "cdr_data")), skew(load(spark, sf, "cdr_voice"))
     total = d.count() + v.count()
-    hot_rows = d.where(F.col("msisdn") == hot).count() + v.where(F.col("msisdn") == hot).count()
+    hot_rows = sum(x.where(F.col("msisdn").eqNullSafe(F.lit(hot).cast("string"))).count() for x in (d, v))
     jobs = {"tower_sessions": lambda: sessions.tower_sessions(d, v),
             "usage_rollup": lambda: usage.usage_rollup(d, v),
             "daily_costs": lambda: usage.daily_costs(usage.daily_type_usage(d, v)),
