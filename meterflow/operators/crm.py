@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.rates import RATES, Rates
 from ..functions.timebuckets import hour_start
+from ..session import reliable_checkpoint
 from .joins import left_join
 from .usage import usage_stream
 
@@ -113,7 +114,9 @@ def crm_mart(cdr_data: DataFrame, cdr_voice: DataFrame, info: DataFrame, ordered
     the much smaller hourly rows cannot replace it: the account info is
     joined with a sort-merge join at scale, which re-partitions by hash.
     """
-    return crm_flattened(running_balance(hourly_costs(cdr_data, cdr_voice, rates), rates), info, ordered)
+    # ``left_join`` reads its left side twice: the hourly rows are written once, so the feeds are scanned once.
+    balance = reliable_checkpoint(running_balance(hourly_costs(cdr_data, cdr_voice, rates), rates))
+    return crm_flattened(balance, info, ordered)
 
 
 def crm_flattened(balance: DataFrame, info: DataFrame, ordered: bool = True) -> DataFrame:

@@ -14,7 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .sequence import time_chunk, neighbours
+from ..session import reliable_checkpoint
+from .sequence import neighbours, time_chunk
 
 KEY, TS, TOWER = "msisdn", "event_datetime", "tower_id"
 # Equal timestamps on two towers are ordered by tower id.
@@ -89,6 +90,8 @@ def session_pair_summary(cdr_data: DataFrame, cdr_voice: DataFrame) -> DataFrame
     us = F.unix_micros(F.col(TS).cast("timestamp"))
     r = (n.select(KEY, TOWER, TS, "_chunk", is_s.alias("is_s"), is_e.alias("is_e"), us.alias("us"))
          .where(F.col("is_s") | F.col("is_e")))
+    # Written once: the running totals and the chunk summaries both read it, and the feeds are scanned once.
+    r = reliable_checkpoint(r)
     g = [KEY, TOWER]
     e_cnt = F.when(F.col("is_e"), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
     # Micro sums can exceed 64 bits for a hot group: keep them exact as decimal(38,0).

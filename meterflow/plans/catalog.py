@@ -247,7 +247,7 @@ def _stream_csv(spark, sf):
     base = work_dir(spark, "streams", "csv")
     _await(ingest.start_drop_ingest(spark, _write_drops(spark, sf), "cdr_data", f"{base}/ckpt/drops", topics_path=f"{base}/topics",
                                     max_files_per_trigger=4, glob="part-*"))
-    msgs = topics.read_topics(spark, [topics.CDR_DATA_TOPIC], "json", f"{base}/topics", streaming=True)
+    msgs = topics.read_topics(spark, [topics.CDR_DATA_TOPIC], "json", f"{base}/topics", streaming=True, max_per_trigger=4)
     _await(ingest.start_raw_ingest(msgs, topics.CDR_DATA_TOPIC, schemas.CDR_DATA_WIRE, "cdr_data",
                                    f"{base}/raw", f"{base}/quarantine", f"{base}/ckpt/raw"))
     return spark.read.schema(schemas.CDR_DATA).parquet(f"{base}/raw").select(*schemas.CDR_DATA.fieldNames())
@@ -435,20 +435,20 @@ def _stream_summary(spark, sf):
 
 def _write_topic(spark, sf, name, topic, key):
     path = work_dir(spark, "topics", topic)
-    topic_sink.write_messages(topic_sink.to_messages(load(spark, sf, name), topic, key), "json", path)
+    topic_sink.write_messages(topic_sink.to_messages(load(spark, sf, name), topic, key).repartition(6), "json", path)
     return path
 
 
 @job("stream_raw_ingest")
 def _stream_raw(spark, sf):
-    """A JSON topic of data-usage records streamed into the typed raw table + quarantine."""
+    """A JSON topic of data-usage records streamed, a few files a micro-batch, into the typed raw table + quarantine."""
     tpath = _write_topic(spark, sf, "cdr_data_wire", topics.CDR_DATA_TOPIC, "msisdn")
     base = work_dir(spark, "streams", "raw")
-    msgs = topics.read_topics(spark, [topics.CDR_DATA_TOPIC], "json", tpath, streaming=True)
+    msgs = topics.read_topics(spark, [topics.CDR_DATA_TOPIC], "json", tpath, streaming=True, max_per_trigger=2)
     q = ingest.start_raw_ingest(msgs, topics.CDR_DATA_TOPIC, schemas.CDR_DATA_WIRE, "cdr_data",
                                 f"{base}/raw", f"{base}/quarantine", f"{base}/checkpoint")
     _await(q)
-    return spark.read.parquet(f"{base}/raw").drop("batch")
+    return spark.read.schema(schemas.CDR_DATA).parquet(f"{base}/raw").select(*schemas.CDR_DATA.fieldNames())
 
 
 def _stream_changes(spark, sf, table):

@@ -47,7 +47,7 @@ def build_marts(spark: SparkSession, raw_root: str) -> dict:
         "cdr_usage_rollup": lambda: usage.usage_rollup(d, v),
         "cdr_tower_sessions": lambda: sessions.tower_sessions(d, v),
         "cdr_tower_session_pairs": lambda: sessions.session_pair_summary(d, v),
-        "crm_flattened": lambda: crm.crm_flattened(crm.running_balance(crm.hourly_costs(d, v)), info, ordered=False),
+        "crm_flattened": lambda: crm.crm_mart(d, v, info, ordered=False),
         "forex_ohlc_indicators": lambda: forex.ohlc_indicators(load_raw(spark, raw_root, "forex_ticks"), ordered=False),
     }
 

@@ -73,3 +73,34 @@ def test_interactions_dedupe_map_side(spark):
     ex = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
     # A partial HashAggregate under the first shuffle: copies collapse before it.
     assert any("HashAggregate" in line for line in lines[ex + 1:])
+
+
+@pytest.mark.parametrize("key", ["crm_flattened", "tower_session_pair_summary"])
+def test_feeds_are_scanned_once(spark, key):
+    """What reads the feeds has been written once: the plan of the result reads that, not the feeds again."""
+    assert "events.parquet" not in _final_plan(E.queries()[key](spark, SF))
+
+
+def test_kafka_options(spark, monkeypatch):
+    """The Kafka branch of the topic source, as far as it goes without a connector: what it asks the reader for."""
+    from meterflow.sources import topics
+    asked = {}
+
+    class Reader:
+        def format(self, f):
+            asked["format"] = f
+            return self
+
+        def option(self, k, v):
+            asked[k] = v
+            return self
+
+        def load(self):
+            return spark.createDataFrame([("t", bytearray(b"k"), bytearray(b"v"), 1)], "topic string, key binary, value binary, offset long")
+
+    class Session:
+        readStream = Reader()
+
+    out = topics.read_topics(Session(), ["a", "b"], "kafka", bootstrap="h:9092", streaming=True, max_per_trigger=9)
+    assert asked == {"format": "kafka", "maxOffsetsPerTrigger": 9, "kafka.bootstrap.servers": "h:9092", "subscribe": "a,b", "startingOffsets": "earliest"}
+    assert [tuple(r) for r in out.collect()] == [("t", "k", "v")]
