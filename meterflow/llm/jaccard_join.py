@@ -48,6 +48,7 @@ from .components import connect
 
 N, NUM, DEN = 5, 80, 100          # words of a shingle; the similarity NUM / DEN
 SLOT_BITS = 26                    # the frequency table: 2**SLOT_BITS slots of 4 bits at most, fewer for small corpora
+FOLD = 1 << 20                    # hashes that are folded at a time
 MATCHES = (1, 2, 3, 4, 6, 8, 12, 16)
 
 
@@ -118,7 +119,10 @@ def _fingerprints(bits: int):
         make, held, size = Shingler(), [], 0
 
         def flushed():
-            h = np.sort(np.concatenate(held) >> np.uint64(32 - bits))
+            h = np.concatenate(held)
+            held.clear()
+            h >>= np.uint64(32 - bits)
+            h.sort()
             starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
             h, beyond = h[starts], np.minimum(np.diff(np.r_[starts, len(h)]) - 1, (1 << 32) - 1).astype(np.uint32)
             span, print32 = (h >> np.uint64(32)).astype(np.int64), h.astype(np.uint32)
@@ -134,9 +138,9 @@ def _fingerprints(bits: int):
                 for t in batch.column(0)[at:at + 256].cast(pa.binary()).to_pylist():
                     held.append(make(t, distinct=False))   # a repeat within a text may only cost a candidate
                     size += len(held[-1])
-                    if size > 4_000_000:
+                    if size > FOLD:
                         yield flushed()
-                        held, size = [], 0
+                        size = 0
         if size:
             yield flushed()
     return run
@@ -279,7 +283,7 @@ def _across_labels(members: DataFrame, sets: DataFrame) -> DataFrame:
     met = large.drop("places").join(small, "token").filter(
         F.expr("(n_a > n_b or n_a = n_b and key_a > key_b) and label_a <> label_b")).filter(_may_reach("{}_a", "{}_b")).filter(
         F.expr(f"least(place_a, place_b) + least(n_a - place_a, n_b - place_b) >= {needed}")).filter(
-        F.expr(f"{shared}[0] = token and size({shared}) >= {needed} - greatest({behind_a}, {behind_b})"))
+        F.expr(f"exists(array({shared}), x -> x[0] = token and size(x) >= {needed} - greatest({behind_a}, {behind_b}))"))
     return met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
 
 
