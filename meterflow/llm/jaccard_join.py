@@ -211,8 +211,8 @@ def _prefixes(shared):
         make, levels = Shingler(), np.frombuffer(shared.value, np.uint8)
         kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, out = batch.slice(at, 256), []
+            for at in range(0, batch.num_rows, 64):
+                part, out = batch.slice(at, 64), []
                 for t in part.column(1).cast(pa.binary()).to_pylist():
                     h = make(t)
                     if not len(h):
