@@ -521,16 +521,15 @@ def _stream_serving(spark, sf):
     return daily.read_serving(spark, f"{base}/serving")
 
 
-FLUSH_TIMEOUT_S = 300
+FLUSH_TIMEOUT_S, RECHECK_MS = 300, 3000
 
 
-@job("stream_idle_flush")
-def _stream_flush(spark, sf):
-    """Both feeds in three parts while the stream runs: most of all days but the newest, then the
-    newest day, which closes the others, then the rest of the closed days. The last summary published
-    of each subscriber-day holds all of its usage."""
-    base = work_dir(spark, "streams", "flush")
+def _in_parts(spark, sf, base, start, done=None):
+    """Both feeds in three parts while a stream runs: most of all days but the newest, then the newest day, which
+    closes the others, then the rest of the closed days. The next part follows once the stream has ended a micro-batch
+    with all rows so far, and ``done``, if given, returns all of their usage."""
     feeds = {"cdr_data": "event_datetime", "cdr_voice": "start_time"}
+    sums = ("up_bytes", "down_bytes", "call_duration_sec", "call_count")
     whole = {name: load(spark, sf, name) for name in feeds}
     newest = max((t for t in (whole[n].agg(F.max(F.to_date(c))).first()[0] for n, c in feeds.items()) if t), default=None)
     streams = []
@@ -539,36 +538,80 @@ def _stream_flush(spark, sf):
         whole[name] = whole[name].withColumn("part", part)
         table_sink.make_folder(spark, f"{base}/{name}")
         streams.append(spark.readStream.schema(whole[name].drop("part").schema).option("recursiveFileLookup", True).parquet(f"{base}/{name}"))
-    table_sink.make_folder(spark, f"{base}/summary")
-    q = flush.start_flush(*streams, f"{base}/summary", f"{base}/late", f"{base}/checkpoint", idle_ms=1000, recheck_ms=1000,
-                          watermark="1 hour", processing_time="1 second")
-
-    def published():
-        m = spark.read.schema(schemas.TOPIC_MESSAGE).option("recursiveFileLookup", True).json(f"{base}/summary")
-        s = topics.parse_messages(m, schemas.USAGE_SUMMARY)
-        return s.groupBy("msisdn", "date").agg(F.max_by(F.struct(*s.columns), "timestamp").alias("s")).select("s.*")
-
-    def usage_of(rows):
-        return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in ("up_bytes", "down_bytes", "call_duration_sec", "call_count")]).first()
 
+    q, before = start(*streams), {}
     try:
         for part in range(3):
             for name in feeds:
                 whole[name].where(F.col("part") == part).drop("part").write.parquet(f"{base}/staged-{name}-{part}")
                 table_sink.publish_folder(spark, f"{base}/staged-{name}-{part}", f"{base}/{name}/{part}")
-            kept = {n: whole[n].where(F.col("part") <= part).drop("part") for n in feeds}
-            want, until = usage_of(usage.daily_type_usage(kept["cdr_data"], kept["cdr_voice"])), time.time() + FLUSH_TIMEOUT_S
-            while usage_of(serving.summary_to_type_usage(published())) != want:
-                if q.exception():
-                    raise RuntimeError(str(q.exception()))
-                if time.time() > until:
-                    raise TimeoutError(f"part {part} was not published in {FLUSH_TIMEOUT_S}s")
-                time.sleep(1)
+            kept = [whole[n].where(F.col("part") <= part).drop("part") for n in feeds]
+            rows = sum(k.count() for k in kept)
+            _until(q, lambda: _rows_in(q, before) >= rows)
+            if done:
+                want = usage.daily_type_usage(*kept).agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in sums]).first()
+                _until(q, lambda: done().agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long") for c in sums]).first() == want)
+            if part == 1:
+                # The watermark has moved with the next micro-batch; after that the keys are looked at again.
+                last, since = _last_batch(q), time.time()
+                _until(q, lambda: _last_batch(q) >= last + 3 and time.time() > since + 2 * RECHECK_MS / 1000)
     finally:
         q.stop()
+
+
+def _last_batch(q) -> int:
+    return q.lastProgress["batchId"] if q.lastProgress else -1
+
+
+def _rows_in(q, batches: dict) -> int:
+    """Rows of all micro-batches that have ended; ``batches`` keeps those seen so far."""
+    batches.update({p["batchId"]: p["numInputRows"] for p in q.recentProgress})
+    return sum(batches.values())
+
+
+def _until(q, reached) -> None:
+    """Wait, for a bounded time, until the running stream has come that far."""
+    until = time.time() + FLUSH_TIMEOUT_S
+    while not reached():
+        if q.exception():
+            raise RuntimeError(str(q.exception()))
+        if time.time() > until:
+            raise TimeoutError(f"stream {q.id} did not come that far in {FLUSH_TIMEOUT_S}s")
+        time.sleep(1)
+
+
+@job("stream_idle_flush")
+def _stream_flush(spark, sf):
+    """The feeds in three parts; the last summary published of each subscriber-day holds all of its usage."""
+    base = work_dir(spark, "streams", "flush")
+    table_sink.make_folder(spark, f"{base}/summary")
+
+    def published():
+        m = spark.read.schema(schemas.TOPIC_MESSAGE).option("recursiveFileLookup", True).json(f"{base}/summary")
+        s = topics.parse_messages(m, schemas.USAGE_SUMMARY)
+        return s.groupBy("msisdn", "date").agg(F.max_by(F.struct(*s.columns), "timestamp").alias("s")).select("s.*")
+
+    _in_parts(spark, sf, base, lambda d, v: flush.start_flush(
+        d, v, f"{base}/summary", f"{base}/late", f"{base}/checkpoint", idle_ms=1000, recheck_ms=RECHECK_MS, watermark="1 hour",
+        processing_time="1 second"), lambda: serving.summary_to_type_usage(published()))
     return published().select("msisdn", "date", F.size("data_usage").alias("data_types"), F.size("voice_usage").alias("voice_types"), "costs.*")
 
 
+@job("stream_daily_usage_bounded")
+def _stream_bounded(spark, sf):
+    """The feeds in three parts into the serving table with a watermark per feed and state that goes when its day
+    is closed; the usage that then comes late is written aside, and added to the stored totals."""
+    base = work_dir(spark, "streams", "bounded")
+
+    def stored():
+        return flush.with_late(daily.read_serving(spark, f"{base}/serving"), flush.late_usage(spark, f"{base}/late"))
+
+    _in_parts(spark, sf, base, lambda d, v: flush.start_bounded_usage(
+        d, v, f"{base}/serving", f"{base}/late", f"{base}/checkpoint", "1 hour", keep_closed_ms=1, recheck_ms=RECHECK_MS,
+        processing_time="1 second", buckets=FIXTURE_SERVING_BUCKETS))
+    return stored().select(*daily.TYPE_USAGE_COLUMNS)
+
+
 @job("tower_session_pair_summary")
 def _pair_summary(spark, sf):
     return sessions.session_pair_summary(load(spark, sf, "cdr_data"), load(spark, sf, "cdr_voice"))

@@ -546,6 +546,7 @@ def _():
 
 
 ORACLE["stream_idle_flush"] = ORACLE["stream_daily_summary"]
+ORACLE["stream_daily_usage_bounded"] = ORACLE["stream_daily_usage"]
 ORACLE["stream_summary_to_serving"] = ORACLE["daily_usage_rows"]
 ORACLE["stream_cdc_addresses"] = ORACLE["cdc_latest_addresses"]
 ORACLE["stream_cdc_devices"] = ORACLE["cdc_latest_devices"]
