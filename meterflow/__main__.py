@@ -1,4 +1,4 @@
-"""Command line: ``python -m meterflow marts|persist|usage ...`` (spark-submit friendly)."""
+"""Command line: ``python -m meterflow marts|persist|usage|serving ...`` (spark-submit friendly)."""
 
 from __future__ import annotations
 
@@ -14,15 +14,22 @@ def main(argv: list[str] | None = None) -> None:
     s = sub.add_parser("persist", help="topics and change feeds -> raw tables (runs until stopped)")
     s.add_argument("--raw", required=True)
     s.add_argument("--work", required=True)
-    s.add_argument("--format", default="kafka", choices=["kafka", "json"])
-    s.add_argument("--bootstrap")
-    s.add_argument("--topics-path")
-    u = sub.add_parser("usage", help="CSV drops -> daily usage serving table (runs until stopped)")
-    u.add_argument("--drops", required=True)
+    u = sub.add_parser("usage", help="topics, or CSV drops by way of topics -> daily usage serving table (runs until stopped)")
+    u.add_argument("--drops")
     u.add_argument("--serving", required=True)
     u.add_argument("--work", required=True)
     u.add_argument("--summary")
+    w = sub.add_parser("serving", help="summary topic -> serving table (runs until stopped)")
+    w.add_argument("--serving", required=True)
+    w.add_argument("--work", required=True)
+    w.add_argument("--summary", help="folder of the summary topic, with --format json")
+    for x, fmt in ((s, "kafka"), (u, "json"), (w, "json")):
+        x.add_argument("--format", default=fmt, choices=["kafka", "json"])
+        x.add_argument("--bootstrap")
+        x.add_argument("--topics-path")
     a = p.parse_args(argv)
+    if a.cmd == "usage" and not (a.drops or a.topics_path or a.format == "kafka"):
+        p.error("usage needs --drops, --topics-path or --format kafka")
 
     from .plans import jobs
     from .session import build_session
@@ -32,8 +39,12 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "persist":
         jobs.start_persistence(spark, a.raw, a.work, a.format, a.topics_path, a.bootstrap)
         spark.streams.awaitAnyTermination()     # any stream failing stops the service
+    elif a.cmd == "serving":
+        jobs.start_serving_writer(spark, a.serving, a.work, a.format, a.summary, a.bootstrap)
+        spark.streams.awaitAnyTermination()
     else:
-        jobs.start_usage_service(spark, a.drops, a.serving, a.work, summary_path=a.summary)
+        jobs.start_usage_service(spark, a.drops, a.serving, a.work, summary_path=a.summary, fmt=a.format,
+                                 topics_path=a.topics_path, bootstrap=a.bootstrap)
         spark.streams.awaitAnyTermination()     # usage or quarantine failing stops the service
 
 
