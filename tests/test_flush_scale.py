@@ -1,10 +1,14 @@
-"""The flush with many days of a subscriber and with micro-batches longer than the bounded time; no session needed."""
+"""The flush with many days of a subscriber, with micro-batches and looks longer than the bounded time, and with days that have expired."""
 import json
+from datetime import datetime
 
 import pytest
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
+from meterflow.operators import serving, usage
 from meterflow.plans import catalog
+from meterflow.sources.fixtures import load
+from meterflow.streaming import flush
 from meterflow.streaming.flush import DAY_MS, IdleFlush, day_end_ms
 
 IN = Row("msisdn", "date", "category", "usage_type", "first", "second")
@@ -119,3 +123,47 @@ def test_wait_outlasts_a_long_micro_batch_but_no_stream_that_stands_still(monkey
     for q in (Running(10 ** 9, idle=True), Running(10 ** 9, ends=True)):
         with pytest.raises(TimeoutError):
             catalog._until(q, q.far, lambda got: got >= 100)
+
+
+class Busy:
+    """A stream that ends a micro-batch every 100 s and publishes all at 250 s; a look shows what was there when it
+    began, and the second one waits 400 s for the stream's tasks."""
+    id, exception, status = "q", staticmethod(lambda: None), {"isTriggerActive": True}
+
+    def __init__(self, clock):
+        self.clock, self.looks = clock, 0
+
+    @property
+    def lastProgress(self):
+        return {"batchId": int(self.clock[0] // 100)}
+
+    def far(self):
+        self.looks += 1
+        got = 100 if self.clock[0] >= 250 else 0
+        self.clock[0] += 400 if self.looks == 2 else 1
+        return got
+
+
+def test_a_look_that_waits_for_the_stream_is_no_proof_that_it_stands_still(monkeypatch):
+    clock = [0.0]
+    monkeypatch.setattr(catalog.time, "time", lambda: clock[0])
+    monkeypatch.setattr(catalog.time, "sleep", lambda s: clock.__setitem__(0, clock[0] + s))
+    q = Busy(clock)
+    catalog._until(q, q.far, lambda got: got >= 100)
+    assert q.looks == 3
+
+
+def test_usage_of_expired_days_is_in_the_result_of_the_idle_flush(spark, tmp_dir, monkeypatch):
+    # A day a subscriber, all of them ended long before the newest; some come in the last part, after the watermark.
+    monkeypatch.setattr(catalog, "FLUSH_TIMEOUT_S", 60)
+    rows = [(i, datetime(2024, 1, 1, 0, i), i, "view" if i % 2 else "purchase", 1.0, "") for i in range(40)]
+    rows += [(i, datetime(2024, 4, 1), i, "view" if i % 2 else "purchase", 1.0, "") for i in (40, 41)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+                          ).write.parquet(f"{tmp_dir}/sf/events.parquet")
+    cut, late = [], flush.late_usage
+    monkeypatch.setattr(flush, "late_usage", lambda *a: cut.append(late(*a).count()) or late(*a))
+    got = catalog.JOBS["stream_idle_flush"](spark, f"{tmp_dir}/sf").collect()
+    assert cut[-1] > 0
+    d, v = (load(spark, f"{tmp_dir}/sf", n) for n in ("cdr_data", "cdr_voice"))
+    want = serving.daily_summary(usage.daily_type_usage(d, v)).select("msisdn", "date", F.size("data_usage"), F.size("voice_usage"), "costs.*").collect()
+    assert len(got) == 42 and sorted(map(tuple, got)) == sorted(map(tuple, want))
